@@ -173,3 +173,15 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     prepare(docs.sparkSession)
     source = columns(docs.withColumnsRenamed({id_col: "id", text_col: "text"}) if id_col != "id" else docs, id="long", text="string")
     return map_batches(source, run, ", ".join(f"n_{k} long" for k in KINDS) + ", base_spans string, spans string, redacted string", "id").withColumnRenamed("id", id_col)
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with the kind of datum, in brackets, in place of each datum; all rows, other columns and null texts stay as they are."""
+
+    def run(rows: dict[str, list]) -> dict[str, object]:
+        found = [[] if t is None else sum(spans(t), []) for t in rows[text_col]]
+        return {text_col: [redacted(t, x) if x else t for t, x in zip(rows[text_col], found)]}
+
+    prepare(docs.sparkSession)
+    rest = [c for c in docs.columns if c != text_col]
+    return map_batches(docs, run, f"`{text_col}` string", *rest).select([f"`{c}`" for c in docs.columns])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limes.llm import licenses, linededup, packing, pii, sentencepieces, toxicity, warc
+from limes.llm import embeddings, jaccard, licenses, linededup, neighbours, packing, pii, sentencepieces, toxicity, warc
 from limes.llm.common import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -19,6 +19,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def pieces(docs: DataFrame) -> DataFrame:
     """Pieces with a checksum in place of their ids."""
     found = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL)
@@ -41,6 +45,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -49,6 +57,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(table(spark, sf_dir, "documents"))
     return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
