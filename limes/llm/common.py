@@ -37,6 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of one id column that are broadcast at most, some 16 MB; beyond, the join shuffles both sides.
+SMALL_ROWS = 500_000
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """A cut table of ids, marked for broadcast only if it was counted and is small."""
+    return F.broadcast(ids) if ids.count() <= SMALL_ROWS else ids
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,14 +25,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import columns, cut, prepare
+from limes.llm.common import columns, cut, few, prepare
 from limes.llm.graph import components
 
 WORDS = 5
 PERCENT = 80
 KEYS = 16
 COMMON = 256
-GROUPS = 24
+GROUPS = 64
 LEAF = 64
 #: Counters of the sketch: 2 ** SKETCH_BITS, whatever the size of the corpus.
 SKETCH_BITS = 21
@@ -159,10 +159,13 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).view(np.int64) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+            found = [shingles(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["id", "set_hash", "s"])
 
-    used = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    of = cut(docs.join(chosen.select("doc_id"), "doc_id", "left_semi").join(used, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, s array<long>").dropDuplicates(["id"]))
+    used = cut(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    found = docs.join(few(used), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, set_hash binary, s array<long>")
+    of = found.join(chosen.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
+    of = cut(of)
     both = pairs.join(of.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(of.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.filter(common * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select("a", "b")
@@ -172,8 +175,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included).
 
     Texts that are null or hold no word have no shingles and are linked with nothing.  A null id is no node: its row has
-    its n_shingles and a null component.  Rows that repeat an id are one node, with the links of all of their texts.
-    Other columns are left out; an empty table gives an empty result.
+    its n_shingles and a null component.  Rows that repeat an id are one node; if their sets differ, the one with the
+    smallest hash is compared (and copies of each are linked).  Other columns are left out; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     docs = columns(docs.withColumnsRenamed({id_col: "doc_id", text_col: "text"}) if id_col != "doc_id" else docs, doc_id="long", text="string")
@@ -182,12 +185,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # equal sets: one document stands for all
     same = cut(nodes.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     copies = nodes.select("doc_id", "set_hash").join(same.filter("copies > 1"), "set_hash").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    alone = cut(nodes.join(same.select("set_hash", F.col("rep").alias("doc_id")), ["set_hash", "doc_id"], "left_semi").dropDuplicates(["set_hash"]).withColumn("nmax", F.col("n")))
+    alone = cut(nodes.join(same.select("set_hash", F.col("rep").alias("doc_id")), ["set_hash", "doc_id"], "left_semi").withColumn("nmax", F.col("n")))
+    once = alone.groupBy("doc_id").agg(F.min("set_hash").alias("set_hash"))
+    alone = cut(alone.join(once, ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"]))
     entries = alone.select("doc_id", F.explode("keys").alias("key"))
     common = cut(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"))
     wide = cut(entries.join(common, "key").select("doc_id").distinct())
     if not wide.isEmpty():
-        texts = docs.join(wide, "doc_id", "left_semi")
+        texts = docs.join(few(wide), "doc_id", "left_semi")
         entries = entries.join(common, "key", "left_anti").unionByName(rare_keys(texts)).distinct()
     entries = cut(entries)
     shared = entries.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last").select("key", "hub")
