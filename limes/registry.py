@@ -1,11 +1,350 @@
-"""The library's own operators as queries over the given tables, and their SQL."""
+"""The library's own operators as queries over the given tables, each beside the SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from limes.functions import columns as C
+from limes.operators import census, codes, geometry, indicators
+from limes.plans import frames
+
+_FIRST = "[" + ",".join(f"'{x}'" for x in frames.FIRST) + "]"
+_SECOND = "[" + ",".join(f"'{x}'" for x in frames.SECOND) + "]"
+
+#: The derived frames in SQL, for all queries below.
+FRAMES = f"""
+WITH c AS (
+  SELECT *, dep || lpad(cast(n_nationkey // 5 + 1 AS varchar), 2, '0') AS prov FROM (
+    SELECT c_custkey, n_nationkey, n_name, r_name, c_mktsegment, cast(c_custkey % 37 + 1 AS int) AS seq, lpad(cast(n_regionkey + 1 AS varchar), 2, '0') AS dep, cast(round(c_acctbal * 100) AS bigint) AS cents
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) WHERE seq % 11 <> 5),
+d AS (SELECT *, prov || lpad(cast(seq AS varchar), 2, '0') AS ubigeo, {_FIRST}[(seq - 1) % 7 + 1] || ' ' || {_SECOND}[(seq - 1) // 7 + 1] AS nombre FROM c),
+units AS (SELECT DISTINCT 'departamento' AS nivel, dep AS ubigeo, r_name AS nombre FROM d UNION ALL SELECT DISTINCT 'provincia', prov, n_name FROM d UNION ALL SELECT DISTINCT 'distrito', ubigeo, nombre FROM d),
+dist AS (SELECT DISTINCT dep, prov, ubigeo, nombre, seq, r_name, n_name, upper(strip_accents(nombre)) AS norm FROM d),
+pop AS (SELECT ubigeo, sum(cents)::bigint AS value FROM d GROUP BY 1),
+cat AS (
+  SELECT ubigeo, nivel, nombre, upper(strip_accents(nombre)) AS nombre_normalizado, upper(nivel) || ' ' || upper(nombre) AS nombre_censo, upper(nivel) || ' ' || upper(strip_accents(nombre)) AS nombre_censo_normalizado,
+    CASE nivel WHEN 'departamento' THEN upper(dn) WHEN 'provincia' THEN upper(dn) || '|' || upper(pn) ELSE upper(dn) || '|' || upper(pn) || '|' || upper(strip_accents(nombre)) END AS clave_censo,
+    ubigeo[1:2] AS ubigeo_departamento, dn AS nombre_departamento, CASE WHEN nivel = 'departamento' THEN '' ELSE ubigeo[1:4] END AS ubigeo_provincia, CASE WHEN nivel = 'departamento' THEN '' ELSE pn END AS nombre_provincia
+  FROM units u JOIN (SELECT DISTINCT dep, r_name AS dn FROM d) a ON a.dep = u.ubigeo[1:2] LEFT JOIN (SELECT DISTINCT prov, n_name AS pn FROM d) b ON b.prov = u.ubigeo[1:4]),
+cell AS (SELECT ubigeo AS code, (cast(prov[1:2] AS bigint) - 1) * 7 + (seq - 1) % 7 AS gx, (cast(prov[3:4] AS bigint) - 1) * 6 + (seq - 1) // 7 AS gy FROM dist),
+ij AS (SELECT code, k, gx * 4 + CASE (k // 4) % 4 WHEN 0 THEN k % 4 WHEN 1 THEN 4 WHEN 2 THEN 4 - k % 4 ELSE 0 END AS i, gy * 4 + CASE (k // 4) % 4 WHEN 0 THEN 0 WHEN 1 THEN k % 4 WHEN 2 THEN 4 ELSE 4 - k % 4 END AS j FROM cell, (SELECT unnest(range(17)) AS k)),
+v AS (SELECT code, k, i * 1000 + (i * 7919 + j * 104729) % 201 - 100 AS x, j * 1000 + (i * 104729 + j * 7919) % 201 - 100 AS y FROM ij),
+seg AS (SELECT a.code, a.k AS seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM v a JOIN v b ON a.code = b.code AND b.k = a.k + 1),
+und AS (SELECT code, CASE WHEN (x1, y1) < (x2, y2) THEN x1 ELSE x2 END AS x1, CASE WHEN (x1, y1) < (x2, y2) THEN y1 ELSE y2 END AS y1, CASE WHEN (x1, y1) < (x2, y2) THEN x2 ELSE x1 END AS x2, CASE WHEN (x1, y1) < (x2, y2) THEN y2 ELSE y1 END AS y2, (x1, y1) < (x2, y2) AS ahead FROM seg),
+own AS (SELECT x1, y1, x2, y2, string_agg(DISTINCT code, ',' ORDER BY code) AS owners, count(DISTINCT code) AS n_owners, max(code) FILTER (WHERE ahead) AS left_code, max(code) FILTER (WHERE NOT ahead) AS right_code, count(*) AS n FROM und GROUP BY ALL),
+long AS (SELECT 'total' AS measure, ubigeo, value::double AS value FROM pop UNION ALL SELECT 'half', ubigeo, CASE WHEN value % 7 = 0 THEN NULL ELSE floor(value / 2.0) END FROM pop),
+six AS (SELECT unnest(range(7)) AS i),
+cuts AS (SELECT measure, quantile_cont(value, [0, 1/6, 2/6, 3/6, 4/6, 5/6, 1]) AS q FROM long GROUP BY 1)
+"""
+
+_LEN = "sqrt(((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))::double)"
+REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
+
+
+def query(sql: str | None = None):
+    def put(f):
+        REGISTERED[f.__name__] = (f, FRAMES + sql if sql and "FROM pages" not in sql else sql)
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: f for k, (f, _) in REGISTERED.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: sql for k, (_, sql) in REGISTERED.items() if sql}
+
+
+def _cat(s: SparkSession, d: str) -> DataFrame:
+    return codes.catalogue_rows(frames.units(s, d))
+
+
+def _districts(s: SparkSession, d: str) -> DataFrame:
+    return frames.units(s, d).filter("nivel = 'distrito'")
+
+
+def _matched(s: SparkSession, d: str) -> DataFrame:
+    return census.census_match(census.census_hierarchy(frames.sheet(s, d)), _cat(s, d))
+
+
+def _long(s: SparkSession, d: str) -> DataFrame:
+    p = frames.population(s, d)
+    wide = p.select("ubigeo", F.col("value").alias("total"), F.when(F.col("value") % 7 != 0, F.floor(F.col("value") / 2)).alias("half"))
+    return wide.unpivot("ubigeo", ["total", "half"], "measure", "value").select("measure", "ubigeo", F.col("value").cast("double").alias("value"))
+
+
+def _segments(s: SparkSession, d: str) -> DataFrame:
+    return geometry.ring_segments(frames.polygons(s, d))
+
+
+def _owners(s: SparkSession, d: str) -> DataFrame:
+    return geometry.segment_owners(_segments(s, d))
+
+
+@query("SELECT * FROM (SELECT ubigeo, value FROM pop UNION ALL SELECT ubigeo[1:4], sum(value)::bigint FROM pop GROUP BY 1 UNION ALL SELECT ubigeo[1:2], sum(value)::bigint FROM pop GROUP BY 1)".replace("FROM pop", "FROM (SELECT * FROM pop WHERE ubigeo[5:6] <> '09')"))
+def roll_up(s, d):
+    """The sheet's rows of districts, matched and rolled up; rows without a figure add nothing."""
+    rows = _matched(s, d).filter("nivel = 'distrito'").select("ubigeo", F.col("value").cast("long").alias("value"))
+    return census.roll_up(rows)
+
+
+@query("SELECT cast(u.ubigeo AS bigint) * 0 + cast(rpad(u.ubigeo, 6, '0') AS bigint) * 10 AS row_idx, u.nivel, clave_censo, u.ubigeo FROM units u JOIN cat USING (ubigeo)")
+def census_match(s, d):
+    return _matched(s, d).select("row_idx", "nivel", "clave_censo", "ubigeo")
+
+
+@query("SELECT cast(rpad(prov, 6, '0') AS bigint) * 10 + 7 AS row_idx, 'distrito' AS nivel, 'SIN NOMBRE' AS bare, CASE WHEN true THEN 'not in the catalogue' END AS reason FROM (SELECT DISTINCT prov FROM d)")
+def census_unmatched(s, d):
+    return census.census_unmatched(census.census_hierarchy(frames.sheet(s, d)), _cat(s, d))
+
+
+@query("SELECT cast(rpad(ubigeo, 6, '0') AS bigint) * 10 AS row_idx, nivel, clave_censo FROM cat UNION ALL SELECT cast(rpad(prov, 6, '0') AS bigint) * 10 + 7, 'distrito', upper(r_name) || '|' || upper(n_name) || '|SIN NOMBRE' FROM (SELECT DISTINCT prov, r_name, n_name FROM d)")
+def census_hierarchy(s, d):
+    return census.census_hierarchy(frames.sheet(s, d)).select("row_idx", "nivel", "clave_censo")
+
+
+@query("SELECT nivel, count(*) AS present, count(*) FILTER (WHERE nivel <> 'distrito' OR ubigeo[5:6] <> '09') AS with_value, count(*) = max(CASE nivel WHEN 'departamento' THEN 5 WHEN 'provincia' THEN 25 ELSE 1000 END) AS ok FROM units GROUP BY 1")
+def coverage(s, d):
+    expected = s.createDataFrame([("departamento", 5), ("provincia", 25), ("distrito", 1000)], "nivel string, expected long")
+    return census.coverage(_matched(s, d), expected).drop("total")
+
+
+@query("SELECT norm AS bare, count(*) AS n, count(*) * count(*) AS joined FROM dist GROUP BY 1")
+def naive_name_fanout(s, d):
+    return census.naive_name_fanout(census.census_hierarchy(frames.sheet(s, d)), _cat(s, d))
+
+
+@query("SELECT * FROM cat")
+def catalogue_rows(s, d):
+    return _cat(s, d)
+
+
+@query("SELECT ubigeo, CASE WHEN seq = 4 THEN ltrim(ubigeo, '0') ELSE ubigeo END SIMILAR TO '[0-9]{6}' AS ok, lpad(CASE WHEN seq = 4 THEN ltrim(ubigeo, '0') ELSE ubigeo END, 6, '0') AS padded, ubigeo[1:2] AS dep, ubigeo[1:4] AS prov, seq FROM dist")
+def code_functions(s, d):
+    """valid_code, pad_code and parent_codes on codes of which some lost their zero."""
+    raw = F.when(F.substring("ubigeo", 5, 2) == "04", F.ltrim("ubigeo", F.lit("0"))).otherwise(F.col("ubigeo"))
+    padded = C.pad_code(raw, 6)
+    return _districts(s, d).select("ubigeo", C.valid_code(raw, 6).alias("ok"), padded.alias("padded"), *C.parent_codes(padded))
+
+
+@query("SELECT ubigeo, norm AS norm, 'DISTRITO ' || upper(nombre) AS census, r_name || '|' || n_name || '|' || norm AS key FROM dist")
+def name_functions(s, d):
+    """normalize_name, census_name, hierarchy_key and squash_text."""
+    rows = frames.customers(s, d).select("ubigeo", "nombre", "r_name", "n_name").distinct()
+    level = F.lit("distrito")
+    spaced = F.concat(F.lit("  "), F.replace(F.col("nombre"), F.lit(" "), F.lit(" \t ")))
+    return rows.select("ubigeo", C.normalize_name(spaced).alias("norm"), C.census_name(level, C.squash_text(spaced)).alias("census"), C.hierarchy_key(level, F.col("r_name"), F.col("n_name"), F.col("nombre")).alias("key"))
+
+
+@query("SELECT ubigeo, CASE WHEN value % 3 = 0 THEN NULL WHEN value % 3 = 1 THEN value::double ELSE -abs(value)::double END AS n FROM pop")
+def parse_number(s, d):
+    text = F.when(F.col("value") % 3 == 0, F.lit(" - ")).when(F.col("value") % 3 == 1, F.format_number("value", 0)).otherwise(F.concat(F.lit("-"), F.abs("value").cast("string"), F.lit(" *")))
+    return frames.population(s, d).select("ubigeo", C.parse_number(text).alias("n"))
+
+
+
+
+@query("SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&#039;', ''''), '&#034;', '\"'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) AS text FROM pages")
+def cell_text(s, d):
+    return s.read.parquet(f"{d}/pages.parquet").select("page_id", C.cell_text(F.col("html")).alias("text"))
+
+
+@query("SELECT nivel, count(*) AS n, max(e) AS expected, sign(count(*) - max(e))::int AS sign FROM units JOIN (VALUES ('departamento', 5), ('provincia', 24), ('distrito', 2000)) x(l, e) ON l = nivel GROUP BY 1")
+def level_counts(s, d):
+    return codes.level_counts(frames.units(s, d), s.createDataFrame([("departamento", 5), ("provincia", 24), ("distrito", 2000)], "nivel string, expected int"))
+
+
+@query("SELECT ubigeo, 2 AS n FROM dist WHERE seq = 3")
+def duplicate_codes(s, d):
+    rows = _districts(s, d)
+    return codes.duplicate_codes(rows.unionByName(rows.filter("substring(ubigeo, 5, 2) = '03'")))
+
+
+@query("SELECT norm AS nombre_normalizado, count(*) AS n, string_agg(ubigeo, ',' ORDER BY ubigeo) AS codes FROM dist GROUP BY 1 HAVING count(*) > 1")
+def ambiguous_names(s, d):
+    return codes.ambiguous_names(_cat(s, d))
+
+
+@query("SELECT nivel, clave_censo, count(*) AS n FROM (SELECT * FROM cat UNION ALL SELECT * FROM cat WHERE ubigeo LIKE '%03') GROUP BY ALL HAVING count(*) > 1")
+def key_uniqueness(s, d):
+    cat = _cat(s, d)
+    return codes.key_uniqueness(cat.unionByName(cat.filter("ubigeo LIKE '%03'")), "nivel", "clave_censo")
+
+
+@query("SELECT prov AS ubigeo_provincia, regexp_replace(norm, ' .*', '') AS nombre_normalizado, string_agg(ubigeo, ',' ORDER BY ubigeo) AS codes, count(*) AS n FROM dist GROUP BY ALL HAVING count(*) > 1")
+def conflicting_codes(s, d):
+    return codes.conflicting_codes(_cat(s, d).withColumn("nombre_normalizado", F.when(F.col("nivel") == "distrito", F.regexp_replace("nombre_normalizado", " .*", ""))))
+
+
+@query("SELECT prov, prov || lpad((max(seq) + 1)::varchar, 2, '0') AS code, CASE WHEN prov[1:2] = '02' THEN 'retired' ELSE 'ok' END AS status FROM dist GROUP BY 1")
+def next_code(s, d):
+    rows = _districts(s, d)
+    retired = rows.filter("substring(ubigeo, 1, 2) = '02'").groupBy(F.substring("ubigeo", 1, 4).alias("p")).agg((F.max(F.substring("ubigeo", 5, 2).cast("int")) + 1).alias("m")).select(F.concat("p", F.lpad(F.col("m").cast("string"), 2, "0")).alias("ubigeo"))
+    return codes.next_code(rows, retired)
+
+
+@query("SELECT t.prov, g AS gap FROM (SELECT prov, max(seq) AS m FROM dist GROUP BY 1) t, (SELECT unnest(range(1, 38)) AS g) WHERE g < m AND NOT EXISTS (SELECT 1 FROM dist x WHERE x.ubigeo = t.prov || lpad(g::varchar, 2, '0'))")
+def code_gaps(s, d):
+    return codes.code_gaps(_districts(s, d)).select("prov", F.col("gap").cast("long").alias("gap"))
+
+
+@query("SELECT row_number() OVER (ORDER BY ubigeo) AS place, ubigeo FROM units WHERE length(ubigeo) < 6")
+def stable_code_sort(s, d):
+    """Codes by length and text; numbered, so that the order can be compared."""
+    from pyspark.sql import Window
+
+    rows = frames.units(s, d).filter("length(ubigeo) < 6").withColumn("dep", F.substring("ubigeo", 1, 2))
+    before = rows.groupBy("dep").agg(F.count("*").alias("n"))
+    less = before.alias("a").join(before.alias("b"), F.col("b.dep") < F.col("a.dep"), "left").groupBy("a.dep").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("below"))
+    return rows.withColumn("k", F.row_number().over(Window.partitionBy("dep").orderBy("ubigeo"))).join(F.broadcast(less), "dep").select((F.col("k") + F.col("below")).alias("place"), "ubigeo").orderBy("place")
+
+
+@query("SELECT ubigeo AS code, CASE WHEN seq % 13 = 0 AND seq % 2 = 0 THEN 'only_a' ELSE 'undeclared_a' END AS kind FROM dist WHERE seq % 13 = 0 UNION ALL SELECT prov || '99', 'undeclared_b' FROM (SELECT DISTINCT prov FROM dist) UNION ALL SELECT ubigeo, 'resolved' FROM dist WHERE seq = 2")
+def reconcile_codes(s, d):
+    a = _districts(s, d).select(F.col("ubigeo").alias("code"))
+    seq = F.substring("code", 5, 2).cast("int")
+    b = a.filter(seq % 13 != 0).unionByName(a.select(F.concat(F.substring("code", 1, 4), F.lit("99")).alias("code")).distinct())
+    return codes.reconcile(a, b, a.filter(((seq % 13 == 0) & (seq % 2 == 0)) | (seq == 2)))
+
+
+@query("SELECT DISTINCT prov AS code, CASE WHEN dep = '03' THEN 'no children' ELSE 'no parent' END AS fault FROM dist WHERE dep IN ('03', '04')")
+def hierarchy_closure(s, d):
+    u = frames.units(s, d)
+    return codes.hierarchy_closure(u.filter("nivel = 'distrito' AND substring(ubigeo, 1, 2) <> '03'"), u.filter("nivel = 'provincia' AND substring(ubigeo, 1, 2) <> '04'"), 4)
+
+
+@query("SELECT ubigeo AS code, 'lost' AS change FROM dist WHERE seq = 7 UNION ALL SELECT ubigeo, 'added' FROM dist WHERE seq = 8")
+def set_equal(s, d):
+    c = _districts(s, d).select(F.col("ubigeo").alias("code"))
+    return codes.set_equal(c.filter("substring(code, 5, 2) <> '08'"), c.filter("substring(code, 5, 2) <> '07'"))
+
+
+@query("SELECT ubigeo, nombre, 'INEI' AS fuente FROM dist WHERE seq <> 6 UNION ALL SELECT ubigeo, upper(nombre), 'ley' FROM dist WHERE seq = 6")
+def merge_layers(s, d):
+    rows = _districts(s, d).select("ubigeo", "nombre")
+    derived = rows.filter("substring(ubigeo, 5, 2) = '06'").select("ubigeo", F.upper("nombre").alias("nombre"), F.lit("ley").alias("fuente"))
+    return codes.merge_layers(rows.withColumn("fuente", F.lit("INEI")), derived)
+
+
+@query("SELECT ubigeo AS entry, prov, nombre, ubigeo AS official FROM dist WHERE seq % 9 = 1 UNION ALL SELECT ubigeo || 'x', prov, nombre || ' X', NULL FROM dist WHERE seq % 9 = 1")
+def registry_lookup(s, d):
+    rows = _districts(s, d).filter("cast(substring(ubigeo, 5, 2) AS int) % 9 = 1").select(F.col("ubigeo").alias("entry"), F.substring("ubigeo", 1, 4).alias("prov"), "nombre")
+    return codes.registry_lookup(rows.unionByName(rows.select(F.concat("entry", F.lit("x")).alias("entry"), "prov", F.concat("nombre", F.lit(" X")).alias("nombre"))), _cat(s, d))
+
+
+@query("SELECT ubigeo AS entry, prov, nombre, ubigeo AS predicted, 'published' AS status FROM dist WHERE seq = 10 UNION ALL SELECT ubigeo || 'x', prov, nombre || ' X', ubigeo, 'code taken' FROM dist WHERE seq = 10 UNION ALL SELECT ubigeo || 'y', prov, nombre || ' Y', prov || '98', 'pending' FROM dist WHERE seq = 10")
+def law_matches(s, d):
+    rows = _districts(s, d)
+    e = rows.filter("substring(ubigeo, 5, 2) = '10'").select(F.col("ubigeo").alias("entry"), F.substring("ubigeo", 1, 4).alias("prov"), "nombre", F.col("ubigeo").alias("predicted"))
+    other = lambda x, code: e.select(F.concat("entry", F.lit(x)).alias("entry"), "prov", F.concat("nombre", F.lit(f" {x.upper()}")).alias("nombre"), code.alias("predicted"))
+    return codes.law_matches(e.unionByName(other("x", F.col("predicted"))).unionByName(other("y", F.concat("prov", F.lit("98")))), rows)
+
+
+@query("SELECT u.nivel, u.ubigeo, u.nombre, value FROM units u LEFT JOIN pop USING (ubigeo)")
+def attach_indicator(s, d):
+    return indicators.attach_indicator(frames.units(s, d), frames.population(s, d)).select("nivel", "ubigeo", "nombre", "value")
+
+
+@query("SELECT measure, i, round(q[i + 1], 6) AS cut FROM cuts, six")
+def quantile_cuts(s, d):
+    return indicators.quantile_cuts(_long(s, d)).select("measure", F.posexplode("cuts").alias("i", "cut")).select("measure", F.col("i").cast("long").alias("i"), F.round("cut", 6).alias("cut"))
+
+
+@query("SELECT measure, i, value AS cut FROM (SELECT measure, value, row_number() OVER (PARTITION BY measure ORDER BY value) - 1 AS r, count(*) OVER (PARTITION BY measure) AS n FROM long WHERE value IS NOT NULL), six WHERE r = (i * (n - 1)) // 6")
+def rank_cuts(s, d):
+    return indicators.rank_cuts(_long(s, d)).select("measure", F.col("i").cast("long").alias("i"), "cut")
+
+
+@query("SELECT measure, ubigeo, CASE WHEN value IS NULL THEN -1 ELSE least(greatest(len(list_filter(q, lambda z: z <= value)) - 1, 0), 5) END AS class FROM long JOIN cuts USING (measure)")
+def assign_class(s, d):
+    v = _long(s, d)
+    return indicators.assign_class(v, indicators.quantile_cuts(v)).select("measure", "ubigeo", F.col("class").cast("long").alias("class"))
+
+
+@query("SELECT measure, rank, ubigeo, value FROM (SELECT *, row_number() OVER (PARTITION BY measure ORDER BY value DESC, ubigeo) AS rank FROM long WHERE value IS NOT NULL) WHERE rank <= 10")
+def top_units(s, d):
+    return indicators.top_units(_long(s, d), 10)
+
+
+@query("SELECT measure, ubigeo, value FROM long WHERE ubigeo LIKE '0203%'")
+def focus_table(s, d):
+    return indicators.focus_table(_long(s, d), "0203")
+
+
+@query("SELECT ubigeo, nombre FROM units WHERE ubigeo LIKE '02__'")
+def children_of(s, d):
+    return indicators.children_of(frames.units(s, d), "02")
+
+
+@query("SELECT * FROM long WHERE value IS NOT NULL")
+def long_measures(s, d):
+    p = frames.population(s, d)
+    return indicators.long_measures(p.select("ubigeo", F.col("value").alias("total"), F.when(F.col("value") % 7 != 0, F.floor(F.col("value") / 2).cast("string")).otherwise("").alias("half")), "total", "half")
+
+
+@query()
+def indicator_json(s, d):
+    return indicators.indicator_json(_long(s, d))
+
+
+@query("SELECT code, seq, x1, y1, x2, y2 FROM seg")
+def ring_segments(s, d):
+    return _segments(s, d).select("code", F.col("seq").cast("long").alias("seq"), "x1", "y1", "x2", "y2")
+
+
+@query(f"SELECT code, sum(x1 * y2 - x2 * y1)::bigint AS area2, round(sum({_LEN}), 3) AS perimeter, min(x1) AS min_x, min(y1) AS min_y, max(x1) AS max_x, max(y1) AS max_y, count(*) AS vertices FROM seg GROUP BY 1")
+def polygon_measures(s, d):
+    return geometry.polygon_measures(_segments(s, d))
+
+
+@query("SELECT code, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM v GROUP BY 1")
+def label_points(s, d):
+    return geometry.label_points(frames.polygons(s, d))
+
+
+@query("SELECT code, 'unclosed' AS fault FROM cell WHERE code LIKE '%07' UNION ALL SELECT code, 'repeated vertex' FROM cell WHERE code LIKE '%08'")
+def geometry_checks(s, d):
+    p = frames.polygons(s, d)
+    v = F.when(F.col("code").endswith("07"), F.slice("vertices", 1, 16)).when(F.col("code").endswith("08"), F.concat(F.slice("vertices", 1, 1), F.col("vertices"))).otherwise(F.col("vertices"))
+    return geometry.geometry_checks(p.withColumn("vertices", v)).select("code", "fault")
+
+
+@query("SELECT x1, y1, x2, y2, owners, n_owners, left_code, right_code, n > 2 OR n = 2 AND (left_code IS NULL OR right_code IS NULL) AS fault FROM own")
+def segment_owners(s, d):
+    return _owners(s, d)
+
+
+@query(f"SELECT split_part(owners, ',', 1) AS a, split_part(owners, ',', 2) AS b, count(*) AS segments, round(sum({_LEN}), 3) AS length FROM own WHERE n_owners = 2 GROUP BY 1, 2")
+def adjacency(s, d):
+    return geometry.adjacency(_owners(s, d))
+
+
+@query("SELECT CASE n_owners WHEN 2 THEN 'interdistrital' ELSE 'exterior' END AS tipo, count(*) AS segments FROM own GROUP BY 1")
+def arc_types(s, d):
+    return geometry.arc_types(_owners(s, d)).drop("length")
+
+
+@query("SELECT code[1:4] AS code, x1, y1, x2, y2, sum(CASE WHEN ahead THEN 1 ELSE -1 END)::bigint AS net FROM und GROUP BY ALL HAVING net <> 0")
+def dissolve(s, d):
+    return geometry.dissolve(_segments(s, d), 4)
+
+
+@query("SELECT a.code AS a, b.code AS b FROM (SELECT code, min(x) AS l, max(x) AS r, min(y) AS u, max(y) AS o FROM v GROUP BY 1) a JOIN (SELECT code, min(x) AS l, max(x) AS r, min(y) AS u, max(y) AS o FROM v GROUP BY 1) b ON a.code < b.code AND a.l <= b.r AND b.l <= a.r AND a.u <= b.o AND b.u <= a.o")
+def bbox_pairs(s, d):
+    return geometry.bbox_pairs(geometry.polygon_measures(_segments(s, d)), 4000)
+
+
+@query("SELECT min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y FROM v WHERE code LIKE '0203%'")
+def focus_bounds(s, d):
+    return geometry.focus_bounds(geometry.polygon_measures(_segments(s, d)), "0203")
+
+
+@query("SELECT id, code FROM (SELECT p.id, g.code, count(*) AS n FROM (SELECT event_id AS id, event_id * 7919 % 140000 AS x, event_id * 104729 % 120000 AS y FROM events) p JOIN seg g ON (g.y1 <= p.y) <> (g.y2 <= p.y) AND CASE WHEN g.y2 > g.y1 THEN (g.x2 - g.x1) * (p.y - g.y1) - (p.x - g.x1) * (g.y2 - g.y1) > 0 ELSE (g.x2 - g.x1) * (p.y - g.y1) - (p.x - g.x1) * (g.y2 - g.y1) < 0 END GROUP BY ALL) WHERE n % 2 = 1")
+def points_in_units(s, d):
+    e = s.read.parquet(f"{d}/events.parquet").select(F.col("event_id").cast("long").alias("id"))
+    return geometry.points_in_units(e.select("id", (F.col("id") * 7919 % 140000).alias("x"), (F.col("id") * 104729 % 120000).alias("y")), _segments(s, d), 4000)
