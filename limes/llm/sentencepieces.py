@@ -23,7 +23,7 @@ from limes.llm.common import columns, map_batches, prepare
 SPACE = "▁"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ"
 #: Chunks and token pairs that a worker remembers; beyond that it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 NEVER = float("inf")
 
 
