@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limes.functions import columns as C
-from limes.operators import census, codes, geometry, indicators
+from limes.operators import census, codes, geometry, indicators, watch
 from limes.plans import frames
 
 _FIRST = "[" + ",".join(f"'{x}'" for x in frames.FIRST) + "]"
@@ -348,3 +348,53 @@ def focus_bounds(s, d):
 def points_in_units(s, d):
     e = s.read.parquet(f"{d}/events.parquet").select(F.col("event_id").cast("long").alias("id"))
     return geometry.points_in_units(e.select("id", (F.col("id") * 7919 % 140000).alias("x"), (F.col("id") * 104729 % 120000).alias("y")), _segments(s, d), 4000)
+
+
+def _published(s: SparkSession, d: str) -> DataFrame:
+    """Districts with provenance, of which some break rules."""
+    seq = F.substring("ubigeo", 5, 2).cast("int")
+    law = seq % 9 == 0
+    return _districts(s, d).select("ubigeo", "nombre", F.when(law, "ley").otherwise("INEI").alias("fuente"), F.when(seq == 2, "falso").when(law, "reconstruido").otherwise("oficial").alias("confianza"), F.when(law | (seq == 3), "Ley 1").alias("ley_creacion"), F.when(law, "2020-01-01").alias("fecha_creacion"), F.when(law, "corte").alias("metodo"), F.when(law & (seq != 18), "aviso").alias("advertencia"))
+
+
+@query("SELECT ubigeo, nombre FROM dist WHERE seq % 9 <> 0")
+def official_only(s, d):
+    return watch.official_only(_published(s, d)).select("ubigeo", "nombre")
+
+
+@query("SELECT ubigeo, 'unknown confidence' AS rule FROM dist WHERE seq = 2 UNION ALL SELECT ubigeo, 'confidence against source' FROM dist WHERE seq = 2 UNION ALL SELECT ubigeo, 'official unit with a law' FROM dist WHERE seq = 3 UNION ALL SELECT ubigeo, 'derived unit without advertencia' FROM dist WHERE seq = 18")
+def provenance_rules(s, d):
+    return watch.provenance_rules(_published(s, d))
+
+
+@query("SELECT ubigeo AS code, 'new' AS change FROM dist WHERE seq = 12 UNION ALL SELECT ubigeo, 'gone' FROM dist WHERE seq = 13")
+def known_anomalies(s, d):
+    c = _districts(s, d).select(F.col("ubigeo").alias("code")).withColumn("seq", F.substring("code", 5, 2).cast("int"))
+    return watch.known_anomalies(c.filter("seq IN (11, 12)"), c.filter("seq IN (11, 13)"))
+
+
+@query("SELECT 'count changed' AS kind, (count(*) FILTER (WHERE seq <> 14))::varchar AS code FROM dist UNION ALL SELECT 'law: published', ubigeo FROM dist WHERE seq = 10 UNION ALL SELECT 'official without polygon', ubigeo FROM dist WHERE seq = 14 AND dep <> '01' UNION ALL SELECT 'declared gap closed', ubigeo FROM dist WHERE seq = 15")
+def watch_alerts(s, d):
+    rows = _districts(s, d).select("ubigeo", "nombre")
+    seq = F.substring("ubigeo", 5, 2)
+    e = rows.filter(seq == "10").select(F.col("ubigeo").alias("entry"), F.substring("ubigeo", 1, 4).alias("prov"), "nombre", F.col("ubigeo").alias("predicted"))
+    declared = rows.filter(((seq == "14") & F.col("ubigeo").startswith("01")) | (seq == "15")).select(F.col("ubigeo").alias("code"))
+    return watch.watch_alerts(rows.filter(seq != "14"), e, rows, declared, 0)
+
+
+@query("SELECT ubigeo AS entry, prov, nombre, ubigeo AS code, 'official' AS origin, false AS provisional, 'in use' AS status FROM dist WHERE seq = 20 UNION ALL SELECT ubigeo || 'x', x.prov, nombre || ' X', x.prov || lpad((m + 1)::varchar, 2, '0'), 'rule', true, 'ok' FROM dist x JOIN (SELECT prov, max(seq) AS m FROM dist GROUP BY 1) t ON t.prov = x.prov WHERE seq = 20 UNION ALL SELECT ubigeo || 'y', x.prov, nombre || ' Y', x.prov || lpad((m + 2)::varchar, 2, '0'), 'rule', true, 'ok' FROM dist x JOIN (SELECT prov, max(seq) AS m FROM dist GROUP BY 1) t ON t.prov = x.prov WHERE seq = 20")
+def resolve_codes(s, d):
+    rows = _districts(s, d)
+    e = rows.filter("substring(ubigeo, 5, 2) = '20'").select(F.col("ubigeo").alias("entry"), F.substring("ubigeo", 1, 4).alias("prov"), "nombre", F.lit(None).cast("string").alias("forced"))
+    more = [e.select(F.concat("entry", F.lit(x)).alias("entry"), "prov", F.concat("nombre", F.lit(f" {x.upper()}")).alias("nombre"), "forced") for x in "xy"]
+    return codes.resolve_codes(e.unionByName(more[0]).unionByName(more[1]), _cat(s, d), rows, s.createDataFrame([], "ubigeo string"))
+
+
+_NET = "GROUP BY ALL HAVING sum(CASE WHEN ahead THEN 1 ELSE -1 END) <> 0"
+
+
+@query(f", ch AS (SELECT code[1:4] AS code, x1, y1, x2, y2 FROM und WHERE code NOT LIKE '%01' {_NET}), pa AS (SELECT code[1:4] AS code, x1, y1, x2, y2 FROM und {_NET}) SELECT code, 'children' AS side, count(*) AS segments FROM (SELECT * FROM ch EXCEPT SELECT * FROM pa) GROUP BY 1 UNION ALL SELECT code, 'parents', count(*) FROM (SELECT * FROM pa EXCEPT SELECT * FROM ch) GROUP BY 1")
+def closure(s, d):
+    """Districts without the first of each province against the outlines of all."""
+    seg = _segments(s, d)
+    return geometry.closure(seg.filter("code NOT LIKE '%01'"), seg, 4)
