@@ -7,10 +7,13 @@ Points are stored under keys, so that two documents whose similarity reaches t s
 KEYS smallest shingle hashes (fewer for small sets, where the prefix filter is exact); two documents that are similar
 share none of them with a chance of (1 - t) ** KEYS over the hash, 7e-12 here.  A shingle that is such a key of over COMMON documents is no key;
 the documents that hold it get the whole prefix of their set instead, in an order that puts rare shingles
-first (by a count sketch of all these documents), for which the prefix filter is exact.  Under each key
+first (by a count sketch of all these documents), for which the prefix filter is exact.  The place of a key in this
+order is kept: what stands before the first common key is not shared, which bounds the intersection of documents that
+have little but a common passage.  Under each key
 stands an R-tree of two levels: leaves of points that are known to hang together, with their bounding boxes, and
 points.  Leaf pairs are pruned by the minima of their upper corners, then pairs of points; the pairs left are verified
-on the sets themselves.  Before that, each point is verified against one hub of its key, so that a group of
+on the sets themselves.  Before that, each point is verified against one hub of its key (and, under keys with many
+parts left, against hubs drawn by hash, so that keys of one group differ), so that a group of
 near copies hangs together after as many checks as it has members, and its own leaf pairs fall away.
 """
 
@@ -33,7 +36,13 @@ PERCENT = 80
 KEYS = 16
 COMMON = 256
 GROUPS = 64
+#: Group counts stand four in a long, 16 bits each; sets of over MOST shingles are not pruned by them.
+PACKED = [f"c{k}" for k in range(GROUPS // 4)]
+MOST = (1 << 16) - 1
 LEAF = 64
+#: Rounds of hubs drawn by hash, for keys with over PARTS parts.
+HUBS = 2
+PARTS = 16
 #: Counters of the sketch: 2 ** SKETCH_BITS, whatever the size of the corpus.
 SKETCH_BITS = 21
 REMEMBERED = 400_000
@@ -109,44 +118,51 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
 
 def points(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set_hash, keys and group counts g0.. of each document."""
+    """doc_id, n, set_hash, keys and packed group counts c0.. of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, sets, keys, grid = [], [], [], np.zeros((b.num_rows, GROUPS), np.int32)
+            n, sets, keys, grid = [], [], [], np.zeros((b.num_rows, GROUPS), "<u2")
             for i, text in enumerate(b.column(1).to_pylist()):
                 s = shingles(text)
                 n.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append(s[: min(KEYS, prefix(len(s)))].view(np.int64))
-                grid[i] = np.bincount((mixed(s) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), *(pa.array(grid[:, k]) for k in range(GROUPS))], ["doc_id", "n", "set_hash", "keys", *(f"g{k}" for k in range(GROUPS))])
+                grid[i] = np.minimum(np.bincount((mixed(s) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), MOST)
+            packed = grid.view("<i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), *(pa.array(packed[:, k]) for k in range(len(PACKED)))], ["doc_id", "n", "set_hash", "keys", *PACKED])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_hash binary, keys array<long>, " + ", ".join(f"g{k} int" for k in range(GROUPS)))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_hash binary, keys array<long>, " + ", ".join(f"{c} long" for c in PACKED))
 
 
 def rare_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, key: the whole prefix of each document, rare shingles first."""
+    """doc_id, n, pos, key: the whole prefix of each document, rare shingles first, with their places."""
     wide = docs.sparkSession.sparkContext.broadcast(sketch(docs))  # 2 ** SKETCH_BITS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = wide.value
         for b in batches:
-            keys = []
+            n, keys = [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text)
+                n.append(len(s))
                 keys.append(s[np.argsort(level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")[: prefix(len(s))]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "keys"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, keys array<long>").select("doc_id", "n", F.posexplode("keys").alias("pos", "key"))
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
+def count_of(k: int, side: str = "") -> Column:
+    """The count of group k."""
+    return F.shiftrightunsigned(f"{side}{PACKED[k // 4]}", 16 * (k % 4)).bitwiseAND(F.lit(MOST).cast("long"))
 
 
 def bound(a: str, b: str) -> Column:
     """Whether the minima of two points (or of upper corners) leave room for the least intersection of sets of na and nb."""
     total = F.lit(0)
     for k in range(GROUPS):
-        total = total + F.least(f"{a}.g{k}", f"{b}.g{k}")
-    return total * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+        total = total + F.least(count_of(k, f"{a}."), count_of(k, f"{b}."))
+    return (F.greatest(f"{a}.nmax", f"{b}.nmax") > MOST) | (total * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n")))
 
 
 def similar_sizes(a: str, b: str) -> Column:
@@ -154,6 +170,27 @@ def similar_sizes(a: str, b: str) -> Column:
     return (F.col(f"{a}.nmax") * 100 >= F.col(f"{b}.n") * PERCENT) & (F.col(f"{b}.nmax") * 100 >= F.col(f"{a}.n") * PERCENT)
 
 
+def reach(a: str, b: str) -> Column:
+    """Whether enough may be shared from the places of a key on, if it is the first one that both have; of leaves: pos least."""
+    rest = F.least(F.col(f"{a}.nmax") - F.col(f"{a}.pos"), F.col(f"{b}.nmax") - F.col(f"{b}.pos"))
+    return rest * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def boxes_of(placed: DataFrame) -> DataFrame:
+    """The bounding box of each leaf."""
+    corner = placed.groupBy("key", "part", "leaf").agg(F.min("n").alias("n"), F.max("nmax").alias("nmax"), F.min("pos").alias("pos"), *[F.max(count_of(k)).alias(f"g{k}") for k in range(GROUPS)])
+    packed = [sum((F.shiftleft(f"g{4 * k + j}", 16 * j) for j in range(1, 4)), F.col(f"g{4 * k}")).alias(c) for k, c in enumerate(PACKED)]
+    return corner.select("key", "part", "leaf", "n", "nmax", "pos", *packed)
+
+
+def hub_pairs(entries: DataFrame, hubs: DataFrame, p: DataFrame) -> DataFrame:
+    """a, b: each hub (key, h: doc_id, n, pos) with the entries of its key that it may be similar to."""
+    e, h = entries.withColumn("nmax", F.col("n")).alias("e"), hubs.select("key", "h.*").withColumn("nmax", F.col("n")).alias("h")
+    met = e.join(h, F.col("e.key") == F.col("h.key")).filter((F.col("e.doc_id") != F.col("h.doc_id")) & similar_sizes("e", "h") & reach("e", "h"))
+    star = met.select(F.least("e.doc_id", "h.doc_id").alias("a"), F.greatest("e.doc_id", "h.doc_id").alias("b")).distinct()
+    return star.alias("s").join(p.alias("x"), F.col("s.a") == F.col("x.doc_id")).join(p.alias("y"), F.col("s.b") == F.col("y.doc_id")).filter(bound("x", "y")).select("a", "b")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar; sets are made anew, only of documents in a pair."""
 
@@ -162,10 +199,11 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
             found = [shingles(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["id", "set_hash", "s"])
 
-    used = cut(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    found = docs.join(few(used), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, set_hash binary, s array<long>")
-    of = found.join(chosen.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
-    of = cut(of)
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    used = few(cut(chosen.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi")))
+    found = docs.join(used.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, set_hash binary, s array<long>")
+    # sets are shuffled once by id, for both sides of the pairs
+    of = found.join(used.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
     both = pairs.join(of.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(of.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.filter(common * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select("a", "b")
@@ -185,35 +223,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # equal sets: one document stands for all
     same = cut(nodes.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     copies = nodes.select("doc_id", "set_hash").join(same.filter("copies > 1"), "set_hash").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    alone = cut(nodes.join(same.select("set_hash", F.col("rep").alias("doc_id")), ["set_hash", "doc_id"], "left_semi").withColumn("nmax", F.col("n")))
-    once = alone.groupBy("doc_id").agg(F.min("set_hash").alias("set_hash"))
-    alone = cut(alone.join(once, ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"]))
-    entries = alone.select("doc_id", F.explode("keys").alias("key"))
+    once = same.groupBy(F.col("rep").alias("doc_id")).agg(F.min("set_hash").alias("chosen"))
+    alone = cut(nodes.join(once, "doc_id").filter("set_hash = chosen").drop("chosen").dropDuplicates(["doc_id"]).withColumn("nmax", F.col("n")))
+    p = alone.drop("keys", "set_hash")
+    # the smallest hashes have place 0, which excludes nothing
+    entries = alone.select("doc_id", "n", F.lit(0).alias("pos"), F.explode("keys").alias("key"))
     common = cut(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"))
     wide = cut(entries.join(common, "key").select("doc_id").distinct())
     if not wide.isEmpty():
         texts = docs.join(few(wide), "doc_id", "left_semi")
-        entries = entries.join(common, "key", "left_anti").unionByName(rare_keys(texts)).distinct()
-    entries = cut(entries)
-    shared = entries.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last").select("key", "hub")
-    entries = cut(entries.join(shared, "key"))
-    p = alone.drop("keys", "set_hash")
-    star = entries.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    star = star.alias("s").join(p.alias("x"), F.col("s.a") == F.col("x.doc_id")).join(p.alias("y"), F.col("s.b") == F.col("y.doc_id")).filter(similar_sizes("x", "y") & bound("x", "y")).select("a", "b")
-    links = cut(verified(cut(star), docs, alone))
+        entries = entries.join(common, "key", "left_anti").unionByName(rare_keys(texts)).groupBy("doc_id", "key").agg(F.min("pos").alias("pos"), F.min("n").alias("n"))
+        entries = cut(entries)
+    shared = cut(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h"), F.max("doc_id").alias("last")).filter("h.doc_id < last").drop("last"))
+    entries = cut(entries.join(shared.select("key"), "key", "left_semi"))
+    links = cut(verified(cut(hub_pairs(entries, shared, p)), docs, alone))
+    for turn in range(HUBS + 1):
+        # what hangs together by now, under keys that still hold several parts
+        parts = components(links)
+        known = entries.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("part"))
+        sizes = cut(known.groupBy("key", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc_id", "key", F.lit(turn)).alias("draw"), "doc_id", "n", "pos")).alias("h")))
+        several = cut(sizes.groupBy("key").agg(F.count("*").alias("parts"), F.min("h").alias("h")).filter("parts > 1"))
+        known = cut(known.join(several.select("key"), "key", "left_semi"))
+        crowded = several.filter(F.col("parts") > PARTS).select("key", "h")
+        if turn == HUBS or crowded.isEmpty():
+            break
+        met = known.join(crowded.select("key"), "key", "left_semi").drop("part")
+        links = cut(links.unionByName(verified(cut(hub_pairs(met, crowded, p)), docs, alone)).distinct())
+    sizes = sizes.join(several.select("key"), "key", "left_semi").select("key", "part", "size")
     # leaves: points under a key that hang together by now
-    parts = components(links)
-    known = entries.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("part"))
-    mixed_keys = known.groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least < most").select("key")
-    known = cut(known.join(mixed_keys, "key"))
-    sizes = known.groupBy("key", "part").agg(F.count("*").alias("size"))
     placed = known.join(sizes, ["key", "part"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / LEAF)))
-    placed = cut(placed.join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", *[f"g{k}" for k in range(GROUPS)]))
-    boxes = cut(placed.groupBy("key", "part", "leaf").agg(F.min("n").alias("n"), F.max("n").alias("nmax"), *[F.max(f"g{k}").alias(f"g{k}") for k in range(GROUPS)]))
+    placed = cut(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", *PACKED))
+    boxes = cut(boxes_of(placed))
     x, y = boxes.alias("x"), boxes.alias("y")
-    leaves = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & similar_sizes("x", "y") & bound("x", "y")).select(F.col("x.key").alias("key"), F.col("x.part").alias("pa"), F.col("x.leaf").alias("la"), F.col("y.part").alias("pb"), F.col("y.leaf").alias("lb"))
+    leaves = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & similar_sizes("x", "y") & reach("x", "y") & bound("x", "y")).select(F.col("x.key").alias("key"), F.col("x.part").alias("pa"), F.col("x.leaf").alias("la"), F.col("y.part").alias("pb"), F.col("y.leaf").alias("lb"))
     u, v = placed.alias("u"), placed.alias("v")
-    near = leaves.join(u, (F.col("u.key") == leaves.key) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == leaves.key) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & bound("u", "v"))
+    near = leaves.join(u, (F.col("u.key") == leaves.key) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == leaves.key) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))
     rest = cut(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct())
     links = links.unionByName(verified(rest, docs, alone)).unionByName(copies)
     found = components(links).withColumnRenamed("id", "doc_id")

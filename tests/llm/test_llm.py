@@ -152,6 +152,7 @@ def test_warc(spark):
 @pytest.mark.parametrize("common", [2, 256])
 def test_jaccard(spark, monkeypatch, common):
     monkeypatch.setattr(jaccard, "COMMON", common)
+    monkeypatch.setattr(jaccard, "PARTS", common)  # small: hubs drawn by hash too
     rng, texts = random.Random(5), []
     passage = [f"p{k}" for k in range(40)]
     for _ in range(30):
