@@ -36,12 +36,11 @@ PERCENT = 80
 KEYS = 16
 COMMON = 256
 GROUPS = 64
-#: Group counts stand four in a long, 16 bits each; sets of over MOST shingles are not pruned by them.
-PACKED = [f"c{k}" for k in range(GROUPS // 4)]
-MOST = (1 << 16) - 1
+#: Group counts are small integers; sets of over MOST shingles are not pruned by them.
+MOST = (1 << 15) - 1
 LEAF = 64
-#: Rounds of hubs drawn by hash, for keys with over PARTS parts.
-HUBS = 2
+#: Rounds of hubs drawn by hash (a second one joined nothing more), for keys with over PARTS parts.
+HUBS = 1
 PARTS = 16
 #: Counters of the sketch: 2 ** SKETCH_BITS, whatever the size of the corpus.
 SKETCH_BITS = 21
@@ -118,21 +117,21 @@ def sketch(docs: DataFrame) -> np.ndarray:
 
 
 def points(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set_hash, keys and packed group counts c0.. of each document."""
+    """doc_id, n, set_hash, keys and group counts of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, sets, keys, grid = [], [], [], np.zeros((b.num_rows, GROUPS), "<u2")
+            n, sets, keys, grid = [], [], [], np.zeros((b.num_rows, GROUPS), np.int16)
             for i, text in enumerate(b.column(1).to_pylist()):
                 s = shingles(text)
                 n.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append(s[: min(KEYS, prefix(len(s)))].view(np.int64))
                 grid[i] = np.minimum(np.bincount((mixed(s) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), MOST)
-            packed = grid.view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), *(pa.array(packed[:, k]) for k in range(len(PACKED)))], ["doc_id", "n", "set_hash", "keys", *PACKED])
+            counts = pa.ListArray.from_arrays(np.arange(0, grid.size + 1, GROUPS, dtype=np.int32), pa.array(grid.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), counts], ["doc_id", "n", "set_hash", "keys", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_hash binary, keys array<long>, " + ", ".join(f"{c} long" for c in PACKED))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_hash binary, keys array<long>, counts array<smallint>")
 
 
 def rare_keys(docs: DataFrame) -> DataFrame:
@@ -152,16 +151,9 @@ def rare_keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, keys array<long>").select("doc_id", "n", F.posexplode("keys").alias("pos", "key"))
 
 
-def count_of(k: int, side: str = "") -> Column:
-    """The count of group k."""
-    return F.shiftrightunsigned(f"{side}{PACKED[k // 4]}", 16 * (k % 4)).bitwiseAND(F.lit(MOST).cast("long"))
-
-
 def bound(a: str, b: str) -> Column:
     """Whether the minima of two points (or of upper corners) leave room for the least intersection of sets of na and nb."""
-    total = F.lit(0)
-    for k in range(GROUPS):
-        total = total + F.least(count_of(k, f"{a}."), count_of(k, f"{b}."))
+    total = F.aggregate(F.zip_with(f"{a}.counts", f"{b}.counts", lambda x, y: F.least(x, y)), F.lit(0), lambda s, c: s + c)
     return (F.greatest(f"{a}.nmax", f"{b}.nmax") > MOST) | (total * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n")))
 
 
@@ -178,9 +170,9 @@ def reach(a: str, b: str) -> Column:
 
 def boxes_of(placed: DataFrame) -> DataFrame:
     """The bounding box of each leaf."""
-    corner = placed.groupBy("key", "part", "leaf").agg(F.min("n").alias("n"), F.max("nmax").alias("nmax"), F.min("pos").alias("pos"), *[F.max(count_of(k)).alias(f"g{k}") for k in range(GROUPS)])
-    packed = [sum((F.shiftleft(f"g{4 * k + j}", 16 * j) for j in range(1, 4)), F.col(f"g{4 * k}")).alias(c) for k, c in enumerate(PACKED)]
-    return corner.select("key", "part", "leaf", "n", "nmax", "pos", *packed)
+    points = placed.groupBy("key", "part", "leaf").agg(F.min("n").alias("n"), F.max("nmax").alias("nmax"), F.min("pos").alias("pos"), F.collect_list("counts").alias("all"))  # LEAF points, about
+    corner = F.aggregate(F.slice("all", 2, 1 << 30), F.col("all")[0], lambda s, c: F.zip_with(s, c, lambda x, y: F.greatest(x, y)))
+    return points.withColumn("counts", corner).drop("all")
 
 
 def hub_pairs(entries: DataFrame, hubs: DataFrame, p: DataFrame) -> DataFrame:
@@ -252,7 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = sizes.join(several.select("key"), "key", "left_semi").select("key", "part", "size")
     # leaves: points under a key that hang together by now
     placed = known.join(sizes, ["key", "part"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / LEAF)))
-    placed = cut(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", *PACKED))
+    placed = cut(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", "counts"))
     boxes = cut(boxes_of(placed))
     x, y = boxes.alias("x"), boxes.alias("y")
     leaves = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & similar_sizes("x", "y") & reach("x", "y") & bound("x", "y")).select(F.col("x.key").alias("key"), F.col("x.part").alias("pa"), F.col("x.leaf").alias("la"), F.col("y.part").alias("pb"), F.col("y.leaf").alias("lb"))
