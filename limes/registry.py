@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limes.functions import columns as C
-from limes.operators import census, codes, geometry, indicators, watch
+from limes.operators import census, codes, geometry, indicators, layers, watch
 from limes.plans import frames
 
 _FIRST = "[" + ",".join(f"'{x}'" for x in frames.FIRST) + "]"
@@ -398,3 +398,43 @@ def closure(s, d):
     """Districts without the first of each province against the outlines of all."""
     seg = _segments(s, d)
     return geometry.closure(seg.filter("code NOT LIKE '%01'"), seg, 4)
+
+
+@query("SELECT d.ubigeo, d.nombre, r_name AS nombre_departamento, CASE WHEN d.dep <> '04' THEN n_name END AS nombre_provincia FROM dist d")
+def attach_parent_names(s, d):
+    """Names of departments, and of provinces but for those of one department, which are missing."""
+    parents = frames.units(s, d).filter("nivel <> 'distrito' AND (nivel = 'departamento' OR ubigeo NOT LIKE '04%')")
+    return layers.attach_parent_names(_districts(s, d).select("ubigeo", "nombre"), parents)
+
+
+@query("SELECT dep AS ccdd, prov[3:4] || CASE WHEN seq = 3 THEN 'x' ELSE ' ' END AS ccpp, ubigeo[5:6] AS ccdi, CASE WHEN seq <> 3 THEN ubigeo END AS ubigeo FROM dist")
+def compose_code(s, d):
+    """Codes from three columns, of which some hold a blank or a letter."""
+    code = F.col("ubigeo")
+    tail = F.when(code.endswith("03"), F.lit("x")).otherwise(F.lit(" "))
+    parts = _districts(s, d).select(F.substring(code, 1, 2).alias("ccdd"), F.concat(F.substring(code, 3, 2), tail).alias("ccpp"), F.substring(code, 5, 2).alias("ccdi"))
+    return layers.compose_code(parts, "ccdd", "ccpp", "ccdi")
+
+
+@query("SELECT 'ubigeo' AS name, count(DISTINCT ubigeo) AS codes FROM dist")
+def detect_code_column(s, d):
+    """Among names, codes of six digits, and six digits that repeat."""
+    rows = _districts(s, d).select("nombre", F.concat(F.lit("0000"), F.substring("ubigeo", 1, 2)).alias("other"), "ubigeo")
+    return layers.detect_code_column(rows, 6)
+
+
+@query("SELECT coalesce(l, nivel) AS nivel, coalesce(e, 0) AS announced, coalesce(n, 0) AS delivered, coalesce(e = n, false) AS ok FROM (VALUES ('departamento', 5::bigint), ('provincia', 24), ('centro', 3)) x(l, e) FULL JOIN (SELECT nivel, count(*) AS n FROM units GROUP BY 1) ON l = nivel")
+def count_reconcile(s, d):
+    return layers.count_reconcile(s.createDataFrame([("departamento", 5), ("provincia", 24), ("centro", 3)], "nivel string, announced long"), frames.units(s, d))
+
+
+@query("SELECT a, b, CASE WHEN b[5:6] = '02' AND a[5:6] = '01' AND a[1:4] = b[1:4] THEN 'Ley ' || a[1:4] END AS ley, CASE WHEN ley IS NULL THEN 'oficial' ELSE 'derivado' END AS fuente FROM (SELECT DISTINCT split_part(owners, ',', 1) AS a, split_part(owners, ',', 2) AS b FROM own WHERE n_owners = 2)")
+def arc_provenance(s, d):
+    """Borders of neighbours, where the second district of each province was cut from the first."""
+    entries = _districts(s, d).filter("ubigeo LIKE '%02'").select(F.concat(F.substring("ubigeo", 1, 4), F.lit("01")).alias("parent"), F.col("ubigeo").alias("child"), F.concat(F.lit("Ley "), F.substring("ubigeo", 1, 4)).alias("ley"))
+    return layers.arc_provenance(geometry.adjacency(_owners(s, d)).select("a", "b"), entries)
+
+
+@query(f"SELECT code, own, stored FROM (SELECT code, round(sum({_LEN}), 3) AS own FROM seg GROUP BY 1) FULL JOIN (SELECT code, round(sum(len), 3) AS stored FROM (SELECT unnest(string_split(owners, ',')) AS code, {_LEN} AS len FROM own) GROUP BY 1) USING (code)")
+def arc_integrity(s, d):
+    return layers.arc_integrity(_owners(s, d), _segments(s, d))
