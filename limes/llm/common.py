@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -37,6 +38,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut, as a Parquet table in the shared folder, read back in as many tasks as its bytes ask for.
+
+    For narrow tables: a checkpoint has a file per partition, empty ones too, and each later shuffle a task for each.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Rows of one id column that are broadcast at most, some 16 MB; beyond, the join shuffles both sides.
 SMALL_ROWS = 500_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import cut
+from limes.llm.common import stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,17 +15,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     until nothing changes.  Least neighbours are found by aggregation, so a node with very many links is no burden, and
     only counts reach the driver.  Edges with nulls, loops and repeated edges are allowed.
     """
-    links = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
+    links = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
     before = None
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))  # nodes above u go to its least
         large = large.unionByName(least.filter("m < u").select("u", F.col("m").alias("v"))).distinct()
-        large = cut(large)
+        large = stored(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        links = cut(small)
+        links = stored(small)
         now = links.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == before:
             break

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import columns, cut, few, prepare
+from limes.llm.common import columns, cut, few, prepare, stored
 from limes.llm.graph import components
 
 WORDS = 5
@@ -192,7 +192,7 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["id", "set_hash", "s"])
 
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    used = few(cut(chosen.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi")))
+    used = few(stored(chosen.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi")))
     found = docs.join(used.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, set_hash binary, s array<long>")
     # sets are shuffled once by id, for both sides of the pairs
     of = found.join(used.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
@@ -220,27 +220,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p = alone.drop("keys", "set_hash")
     # the smallest hashes have place 0, which excludes nothing
     entries = alone.select("doc_id", "n", F.lit(0).alias("pos"), F.explode("keys").alias("key"))
-    common = cut(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"))
-    wide = cut(entries.join(common, "key").select("doc_id").distinct())
+    common = stored(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"))
+    wide = stored(entries.join(common, "key").select("doc_id").distinct())
     if not wide.isEmpty():
         texts = docs.join(few(wide), "doc_id", "left_semi")
         entries = entries.join(common, "key", "left_anti").unionByName(rare_keys(texts)).groupBy("doc_id", "key").agg(F.min("pos").alias("pos"), F.min("n").alias("n"))
         entries = cut(entries)
-    shared = cut(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h"), F.max("doc_id").alias("last")).filter("h.doc_id < last").drop("last"))
+    shared = stored(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h"), F.max("doc_id").alias("last")).filter("h.doc_id < last").drop("last"))
     entries = cut(entries.join(shared.select("key"), "key", "left_semi"))
-    links = cut(verified(cut(hub_pairs(entries, shared, p)), docs, alone))
+    links = stored(verified(stored(hub_pairs(entries, shared, p)), docs, alone))
     for turn in range(HUBS + 1):
         # what hangs together by now, under keys that still hold several parts
         parts = components(links)
         known = entries.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("part"))
         sizes = cut(known.groupBy("key", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc_id", "key", F.lit(turn)).alias("draw"), "doc_id", "n", "pos")).alias("h")))
-        several = cut(sizes.groupBy("key").agg(F.count("*").alias("parts"), F.min("h").alias("h")).filter("parts > 1"))
+        several = stored(sizes.groupBy("key").agg(F.count("*").alias("parts"), F.min("h").alias("h")).filter("parts > 1"))
         known = cut(known.join(several.select("key"), "key", "left_semi"))
         crowded = several.filter(F.col("parts") > PARTS).select("key", "h")
         if turn == HUBS or crowded.isEmpty():
             break
         met = known.join(crowded.select("key"), "key", "left_semi").drop("part")
-        links = cut(links.unionByName(verified(cut(hub_pairs(met, crowded, p)), docs, alone)).distinct())
+        links = stored(links.unionByName(verified(stored(hub_pairs(met, crowded, p)), docs, alone)).distinct())
     sizes = sizes.join(several.select("key"), "key", "left_semi").select("key", "part", "size")
     # leaves: points under a key that hang together by now
     placed = known.join(sizes, ["key", "part"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / LEAF)))
@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaves = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & similar_sizes("x", "y") & reach("x", "y") & bound("x", "y")).select(F.col("x.key").alias("key"), F.col("x.part").alias("pa"), F.col("x.leaf").alias("la"), F.col("y.part").alias("pb"), F.col("y.leaf").alias("lb"))
     u, v = placed.alias("u"), placed.alias("v")
     near = leaves.join(u, (F.col("u.key") == leaves.key) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == leaves.key) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))
-    rest = cut(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct())
+    rest = stored(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct())
     links = links.unionByName(verified(rest, docs, alone)).unionByName(copies)
     found = components(links).withColumnRenamed("id", "doc_id")
     return all_points.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
