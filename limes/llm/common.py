@@ -32,10 +32,17 @@ def shared_folder(spark: SparkSession) -> str:
     return prepare(spark).sparkContext.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Spark drops shuffles and checkpoints of frames that nobody holds when the driver collects garbage; a roomy heap puts that off, so ask."""
+    spark._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there."""
     prepare(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return done
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -45,6 +52,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
