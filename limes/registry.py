@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limes.functions import columns as C
-from limes.operators import census, codes, geometry, indicators, layers, watch
+from limes.operators import census, codes, geometry, indicators, layers, rays, watch
 from limes.plans import frames
+from limes.sources import features
 
 _FIRST = "[" + ",".join(f"'{x}'" for x in frames.FIRST) + "]"
 _SECOND = "[" + ",".join(f"'{x}'" for x in frames.SECOND) + "]"
@@ -438,3 +439,48 @@ def arc_provenance(s, d):
 @query(f"SELECT code, own, stored FROM (SELECT code, round(sum({_LEN}), 3) AS own FROM seg GROUP BY 1) FULL JOIN (SELECT code, round(sum(len), 3) AS stored FROM (SELECT unnest(string_split(owners, ',')) AS code, {_LEN} AS len FROM own) GROUP BY 1) USING (code)")
 def arc_integrity(s, d):
     return layers.arc_integrity(_owners(s, d), _segments(s, d))
+
+
+_T = "least(1.0, greatest(0.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1))::double / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))))"
+
+
+@query(f", near AS (SELECT split_part(owners, ',', 1) AS a, split_part(owners, ',', 2) AS b, x1, y1, x2, y2 FROM own WHERE n_owners = 2), dd AS (SELECT a, b, k, min(sqrt(pow(x - x1 - t * (x2 - x1), 2) + pow(y - y1 - t * (y2 - y1), 2))) AS d FROM (SELECT near.*, k, x, y, {_T} AS t FROM near JOIN v ON v.code = a AND k % 4 = 1) GROUP BY ALL) SELECT a, b, count(*) AS n, round(min(d), 3) AS least, round(avg(d), 3) AS mean, round(max(d), 3) AS most FROM dd GROUP BY 1, 2")
+def point_arc_distance(s, d):
+    """Four vertices of each unit against its border with each neighbour."""
+    owners = _owners(s, d)
+    v = frames.polygons(s, d).select("code", F.posexplode("vertices").alias("id", "v")).filter("id % 4 = 1")
+    points = geometry.adjacency(owners).select("a", "b").join(v, F.col("a") == F.col("code")).select("id", "a", "b", "v.x", "v.y")
+    found = rays.point_arc_distance(points, owners)
+    return found.select("a", "b", "n", *[F.round(c, 3).alias(c) for c in ("least", "mean", "most")])
+
+
+@query("SELECT id, hits, round(t * sqrt(10.0), 3) AS distance FROM (SELECT c.code AS id, count(*) AS hits, max(((x1 - x) * (y2 - y1) - (y1 - y) * (x2 - x1))::double / (3 * (y2 - y1) - (x2 - x1))) AS t FROM (SELECT code, gx * 4000 + 2000 AS x, gy * 4000 + 2000 AS y FROM cell) c JOIN seg USING (code) WHERE (3 * (y1 - y) - (x1 - x) >= 0) <> (3 * (y2 - y) - (x2 - x) >= 0) AND ((x1 - x) * (y2 - y1) - (y1 - y) * (x2 - x1))::double / (3 * (y2 - y1) - (x2 - x1)) > 0 GROUP BY 1)")
+def ray_exits(s, d):
+    """Rays from the middle of each cell, three steps east for each step north."""
+    corner = F.col("vertices")[0]
+    middle = lambda c: (F.round(corner[c] / 4000) * 4000 + 2000).cast("long").alias(c)
+    start = frames.polygons(s, d).select(F.col("code").alias("id"), "code", middle("x"), middle("y"), F.lit(3).alias("dx"), F.lit(1).alias("dy"))
+    return rays.ray_exits(start, _segments(s, d)).select("id", "hits", F.round("distance", 3).alias("distance"))
+
+
+@query("SELECT code, area2 AS before2, CASE WHEN code LIKE '%04' THEN 0 ELSE area2 END AS after2, after2 - area2 AS drift2, code NOT LIKE '%04' AS ok FROM (SELECT code, sum(x1 * y2 - x2 * y1)::bigint AS area2 FROM seg GROUP BY 1)")
+def area_conservation(s, d):
+    seg = _segments(s, d)
+    return rays.area_conservation(geometry.polygon_measures(seg), geometry.polygon_measures(seg.filter("code NOT LIKE '%04'")), 1)
+
+
+@query("SELECT ubigeo, nombre AS name, unnest(list_filter([CASE WHEN seq % 3 = 0 AND seq % 9 <> 0 THEN 'replaced stretch without approximate confidence' END, CASE WHEN seq % 3 = 0 AND seq % 9 <> 0 THEN 'replaced stretch without warning' END, CASE WHEN seq % 3 = 1 AND seq * 10 >= 200 THEN 'coincident stretch too far off' END, CASE WHEN seq % 7 = 0 THEN 'no decision' END], lambda z: z IS NOT NULL)) AS rule FROM dist")
+def reused_stretch_rules(s, d):
+    """A stretch for each district; every ninth district is approximate and warns."""
+    seq = F.substring("ubigeo", 5, 2).cast("int")
+    rows = _districts(s, d)
+    stretches = rows.select("ubigeo", F.col("nombre").alias("name"), F.when(seq % 3 == 0, "sustituido").when(seq % 3 == 1, "coincidente").otherwise("otro").alias("kind"), F.when(seq % 7 != 0, "visto").alias("decision"), (seq * 10).alias("most"))
+    units = rows.select("ubigeo", F.when(seq % 9 == 0, "aproximado").otherwise("oficial").alias("confianza"), F.when(seq % 9 == 0, "aviso").alias("advertencia"))
+    return rays.reused_stretch_rules(stretches, units)
+
+
+@query()
+def feature_lines(s, d):
+    """Each district as a line of GeoJSON, in degrees on the grid."""
+    degrees = F.transform("vertices", lambda v: F.struct((v["x"] / 1e7).alias("lon"), (v["y"] / 1e7).alias("lat")))
+    return features.feature_lines(frames.polygons(s, d).select("code", F.lit(0).alias("part"), "ring", degrees.alias("vertices")))
