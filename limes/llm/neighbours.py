@@ -22,16 +22,19 @@ from limes.llm.embeddings import clean
 LINKS = 20
 CELL = 400
 TABLES = 4
-#: Rounds of NN-descent, and the share of changed links below which they end.
-DESCENTS = 4
+#: Share of changed links below which NN-descent ends.
 SETTLED = 0.02
-#: Vertices kept for a query, looked at in one round, and rounds of search.
+#: Vertices kept for a query at least, and looked at in one round at least.
 BEAM = 240
 STEP = 40
-ROUNDS = 12
 SEED = 7
 
 
+def beam_width(n: int) -> int:
+    """Vertices kept for a query among n: for directions without structure, recall falls unless it grows almost as n."""
+    return max(BEAM, round(0.18 * n**0.75))
+
+
 def nearest(rows: DataFrame, k: int, by: str = "id") -> DataFrame:
     """The k rows of each id with the smallest d, ties by nb; limited in the map tasks too."""
     rank = F.row_number().over(Window.partitionBy(by).orderBy("d", "nb"))
@@ -103,7 +106,7 @@ def neighbour_graph(points: DataFrame, links: int = LINKS) -> DataFrame:
     points = cut(points)
     n, dims = points.agg(F.count("*"), F.max(F.size("v"))).first()
     graph = cut(first_links(points, dims or 1, n, links))
-    for _ in range(DESCENTS if n > 2 * CELL else 0):
+    while n > 2 * CELL:  # links only get nearer, so this ends
         new = cut(descend(graph, points, links))
         kept = new.join(graph.select("id", "nb"), ["id", "nb"], "left_semi").count()
         total = new.count()
@@ -113,8 +116,13 @@ def neighbour_graph(points: DataFrame, links: int = LINKS) -> DataFrame:
     return graph
 
 
-def greedy_search(graph: DataFrame, points: DataFrame, starts: DataFrame, beam: int = BEAM) -> DataFrame:
-    """q, nb, d: the nearest vertices found for each start (column q, ids of points), itself included at distance 0."""
+def greedy_search(graph: DataFrame, points: DataFrame, starts: DataFrame, beam: int | None = None) -> DataFrame:
+    """q, nb, d: the nearest vertices found for each start (column q, ids of points), itself included at distance 0.
+
+    It ends when all kept vertices of all starts were looked at.
+    """
+    beam = beam or beam_width(points.count())
+    step = max(STEP, beam // 6)
     edges = graph.select("id", "nb")
     back = graph.select(F.col("nb").alias("id"), F.col("id").alias("nb"), "d")
     edges = cut(edges.unionByName(nearest(back, LINKS).select("id", "nb")).distinct())
@@ -128,9 +136,9 @@ def greedy_search(graph: DataFrame, points: DataFrame, starts: DataFrame, beam:
                 yield pd.DataFrame({"q": b["q"], "nb": b["nb"], "d": (x * x).sum(1)})
 
     order = Window.partitionBy("q")
-    for _ in range(ROUNDS):
+    while True:  # each round looks at new vertices, and a kept one only gives way to nearer ones
         turn = F.row_number().over(order.orderBy("done", "d", "nb"))
-        state = state.withColumn("turn", turn).withColumn("now", ~F.col("done") & (F.col("turn") <= STEP))
+        state = state.withColumn("turn", turn).withColumn("now", ~F.col("done") & (F.col("turn") <= step))
         state = cut(state.select("q", "nb", "d", (F.col("done") | F.col("now")).alias("done"), "now"))
         ahead = state.filter("now").select("q", F.col("nb").alias("id"))
         if ahead.isEmpty():
