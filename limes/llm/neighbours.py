@@ -62,7 +62,7 @@ def best(ids: np.ndarray, m: np.ndarray, k: int, under: np.ndarray | None = None
 
 def first_links(points: DataFrame, dims: int, n: int, links: int) -> DataFrame:
     """Nearest in cells of random hyperplanes, several times; a cell is split at random if it is large."""
-    planes = max(0, round(math.log2(max(1, n / CELL))))
+    planes = round(math.log2(n / CELL)) if n > 2 * CELL else 0
     signs = np.random.default_rng(SEED).standard_normal((TABLES, planes, dims))
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,6 +79,38 @@ def first_links(points: DataFrame, dims: int, n: int, links: int) -> DataFrame:
     return nearest(found, links)
 
 
+def distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """id, nb, d of pairs of different points."""
+
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                x = np.stack(b["v"].to_list()) - np.stack(b["w"].to_list())
+                yield pd.DataFrame({"id": b["id"], "nb": b["nb"], "d": (x * x).sum(1)})
+
+    ends = pairs.join(points.select("id", "v"), "id").join(points.select(F.col("id").alias("nb"), F.col("v").alias("w")), "nb")
+    return ends.select("id", "nb", "v", "w").mapInPandas(measured, "id long, nb long, d double")
+
+
+def filled(graph: DataFrame, points: DataFrame, n: int, links: int) -> DataFrame:
+    """graph with more links for the vertices that have less than `links`: the nearest among themselves, and random ones."""
+    known = graph.groupBy("id").agg(F.count("*").alias("known"))
+    short = cut(points.join(known, "id", "left").filter(F.coalesce("known", F.lit(0)) < min(links, n - 1)).select("id", "v"))
+    number = short.count()
+    if not number:
+        return graph
+    blocks = math.ceil(number / (2 * CELL))
+    own = short.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("block").applyInPandas(lambda pdf: best(pdf["id"].to_numpy(), np.stack(pdf["v"].to_list()), links), "id long, nb long, d double")
+    # random ones come from pools of about 32, so that no task sees all ids
+    pools = max(1, n // 32)
+    pool = points.groupBy(F.pmod(F.xxhash64("id"), F.lit(pools)).alias("pool")).agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    drawn = short.select("id", F.explode(F.sequence(F.lit(1), F.lit(2 * links))).alias("j"))
+    drawn = drawn.withColumn("pool", F.pmod(F.xxhash64("id", "j"), F.lit(pools))).join(pool, "pool")
+    nb = F.element_at("ids", (F.pmod(F.xxhash64("j", "id"), F.size("ids")) + 1).cast("int"))
+    far = distances(drawn.select("id", nb.alias("nb")).filter("id <> nb").distinct(), points)
+    return nearest(graph.unionByName(own).unionByName(far), links)
+
+
 def descend(graph: DataFrame, points: DataFrame, links: int) -> DataFrame:
     """One round of NN-descent: the links into and out of each vertex meet at it."""
     back = graph.select(F.col("nb").alias("at"), F.col("id").alias("u"))
@@ -106,6 +138,8 @@ def neighbour_graph(points: DataFrame, links: int = LINKS) -> DataFrame:
     points = cut(points)
     n, dims = points.agg(F.count("*"), F.max(F.size("v"))).first()
     graph = cut(first_links(points, dims or 1, n, links))
+    if n > 2 * CELL:
+        graph = cut(filled(graph, points, n, links))
     while n > 2 * CELL:  # links only get nearer, so this ends
         new = cut(descend(graph, points, links))
         kept = new.join(graph.select("id", "nb"), ["id", "nb"], "left_semi").count()
@@ -151,13 +185,32 @@ def greedy_search(graph: DataFrame, points: DataFrame, starts: DataFrame, beam:
     return state.select("q", "nb", "d")
 
 
+def exact(points: DataFrame, starts: DataFrame, k: int) -> DataFrame:
+    """q, nb, d: the k nearest of all points for each start, itself included; blocks of both sides are compared."""
+    size = lambda df, most: F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(df.count() / most))))
+    asked = cut(starts.select(F.col("q").alias("id")).distinct().join(points, "id").select("id", "v"))
+    packed = lambda df, most, c: df.groupBy(size(df, most).alias("block")).agg(F.collect_list("id").alias(f"{c}_ids"), F.collect_list("v").alias(f"{c}_v")).drop("block")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for q, w, ids, v in zip(b["q_ids"], b["q_v"], b["p_ids"], b["p_v"]):
+                w, v = np.stack(list(w)), np.stack(list(v))
+                for i, x in zip(q, w):
+                    d = ((v - x) ** 2).sum(1)
+                    near = np.lexsort((ids, d))[:k]
+                    yield pd.DataFrame({"id": i, "nb": np.asarray(ids)[near], "d": d[near]})
+
+    pairs = packed(asked, 256, "q").crossJoin(packed(points.select("id", "v"), 1000, "p"))
+    return nearest(pairs.mapInPandas(compare, "id long, nb long, d double"), k).withColumnRenamed("id", "q")
+
+
 def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each row whose id is divisible by `every`.
 
     Nearness is the Euclidean distance in double precision, ties to the smaller id; a query's own row is no candidate.
     Vectors that are null, zero or hold null or non-finite components, or whose id is null, take no part; nor do
     vectors of another length than the longest.  Of rows with equal ids, the smallest vector counts.  Other columns
-    are left out; with fewer candidates than k, all of them that the graph reaches are returned; an empty table gives none.
+    are left out; with fewer candidates than k, all of them are returned; an empty table gives none.
     """
     prepare(vectors.sparkSession)
     rows = clean(vectors).groupBy("id").agg(F.min("v").alias("v"))
@@ -169,7 +222,12 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     member = cut(rows.join(classes.select("h", "rep"), "h").select("id", "rep"))
     queries = cut(member.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("rep").alias("q")))
     graph = neighbour_graph(points)
-    found = greedy_search(graph, points, queries)
+    found = cut(greedy_search(graph, points, queries))
+    # what the graph does not reach is looked for among all vectors
+    reached = found.groupBy("q").agg(F.count("*").alias("reached")).filter(F.col("reached") >= min(k + 1, points.count()))
+    short = cut(queries.select("q").distinct().join(reached, "q", "left_anti"))
+    if not short.isEmpty():
+        found = found.join(short, "q", "left_anti").unionByName(exact(points, short, 2 * k + 2))
     # of equal vectors the k + 1 smallest ids are enough, for one may be the query's own
     few = member.withColumn("m", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("m") <= k + 1).select(F.col("rep").alias("nb"), F.col("id").alias("vec_id"))
     close = found.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d", "nb"))).filter(F.col("place") <= 2 * k + 2)

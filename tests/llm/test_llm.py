@@ -139,6 +139,25 @@ def test_neighbour_search_looks_at_all_kept_vertices(spark):
     assert [neighbours.beam_width(n) for n in (1000, 40_000, 80_000)] == [240, 509, 856]
 
 
+def test_neighbours_of_vectors_alone_in_their_cells(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL", 50)  # small: 16 cells
+    rng = np.random.default_rng(10)  # 0, 400 and 600 are alone in their cells
+    v = rng.normal(size=(64,)) + 0.05 * rng.normal(size=(800, 64))
+    v[::100] = rng.normal(size=(8, 64))
+    d = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    near = neighbours.search(d).toPandas()
+    hits = 0
+    for q in range(0, 800, 100):
+        dist = ((v - v[q]) ** 2).sum(1)
+        got = near[near.query_id == q]
+        assert len(got) == 10
+        hits += len(set(got.vec_id) & set(np.argsort(dist)[1:11]))
+    assert hits >= 76
+    points = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "id long, v array<double>")
+    whole = neighbours.exact(points, points.filter("id < 3").selectExpr("id AS q"), 11).toPandas()
+    assert all(set(x.nb) == set(np.argsort(((v - v[q]) ** 2).sum(1))[:11]) for q, x in whole.groupby("q")) and len(whole) == 33
+
+
 def test_licenses(spark):
     texts = [*TEXTS, "Released under the MIT License. cc-by-nc! Apache License, Version 2.0; cc by nc", "mİt under the mit license, under THE mit license"]
     out = licenses.scan(docs(spark, texts)).collect()
