@@ -39,10 +39,15 @@ def lookalikes() -> tuple[dict[int, str], re.Pattern]:
 
 
 NAMES = "|".join(SPELLED)
-RUN = re.compile(rf"(?<![A-Za-z])(?:(?:{NAMES})(?:[ ,-]{{1,2}}|$|(?![A-Za-z]))){{7,}}+", re.I)
+RUN = re.compile(rf"(?<![A-Za-z])(?:{NAMES})(?![A-Za-z])(?:[ ,-]{{1,2}}(?:{NAMES})(?![A-Za-z]))*+", re.I)
 NAME = re.compile(rf"({NAMES})(?:[ ,-]{{1,2}}(?={NAMES}))?", re.I)
+#: What a single spelled digit must adjoin, before it and after it.
+BEFORE = re.compile(r"(?:[0-9+.]|(?<![A-Za-z])dot)[ ,()\[\]{}<>-]{0,3}\Z", re.I)
+AFTER = re.compile(r"[ ,()\[\]{}<>-]{0,3}(?:[0-9+.]|dot(?![A-Za-z]))", re.I)
 BRACKETS = re.compile(r" ?[(\[{<] ?(at|dot|@|\.) ?[)\]}>] ?", re.I)
-WORDS = re.compile(r"(?<=[A-Za-z0-9]) (at|dot) (?=[A-Za-z0-9-]+(?: dot |\.)[A-Za-z0-9]|[A-Za-z]{2,10}\b)", re.I)
+WORDS = re.compile(r"(?<=[A-Za-z0-9]) (at|dot) (?=[A-Za-z0-9-]+(?: dot |\.)[A-Za-z0-9]|[A-Za-z]{2,10}\b|(?<=[0-9] dot )[0-9])", re.I)
+#: An ' at ' before a host with plain dots; others need a ' dot ' or a bracket to become an address.
+AT_HOST = re.compile(r" at [A-Za-z0-9-]+\.[A-Za-z0-9]", re.I)
 SIGN = {"at": "@", "dot": ".", "@": "@", ".": "."}
 
 
@@ -105,21 +110,29 @@ class Tape:
         self.text, self.starts, self.ends, self.changed = "".join(parts), starts, ends, changed
 
 
+def spelled_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of spelled digits: several, or one beside a digit, a plus or a dot; the finders judge what they make."""
+    for m in RUN.finditer(text):
+        a, b = m.span()
+        if NAME.match(text, a).end() < b or BEFORE.search(text[max(0, a - 7) : a]) or AFTER.match(text, b):
+            yield a, b
+
+
 def disguised(text: str) -> Tape | None:
     """The text after all transducers, or None if none of them applies."""
     table, any_of = lookalikes()
     folded = None if text.isascii() or not any_of.search(text) else text.translate(table)
     plain_text = folded or text
     low = plain_text.lower() if plain_text.isascii() else plain_text.casefold()
-    spelled = [m.span() for m in RUN.finditer(plain_text)] if any(x in low for x in ("zero", "one", "two", "three", "five", "seven")) else []
-    signs = "dot" in low or "at" in low and BRACKETS.search(plain_text) is not None
+    spelled = list(spelled_runs(plain_text)) if any(x in low for x in SPELLED) else []
+    signs = " dot " in low or " at " in low and AT_HOST.search(plain_text) is not None or BRACKETS.search(plain_text) is not None
     if folded is None and not spelled and not signs:
         return None
     tape = Tape(text)
     if folded:
         tape.text, tape.changed = folded, [a != b for a, b in zip(text, folded, strict=True)]
     # the blank after a digit's name goes with it, but what separates the run from the next word stays
-    tape.rewrite([(a + m.start(), a + m.end(), SPELLED[m[1].lower()]) for a, b in spelled for m in NAME.finditer(tape.text[a:b])])
+    tape.rewrite([(a + m.start(), a + m.end(), SPELLED[m[1].casefold()]) for a, b in spelled for m in NAME.finditer(tape.text[a:b])])
     if signs:
         tape.rewrite([(m.start(), m.end(), SIGN[m[1].lower()]) for m in BRACKETS.finditer(tape.text)])
         tape.rewrite([(m.start(), m.end(), SIGN[m[1].lower()]) for m in WORDS.finditer(tape.text)])

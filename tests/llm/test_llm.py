@@ -219,3 +219,19 @@ def test_pii(spark):
         assert list(pii.emails(t)) == [m.span() for m in email.finditer(t)]
     assert pii.find_pii(docs(spark)).count() == len(TEXTS) and pii.find_pii(empty(spark)).count() == 0
     assert pii.redact(docs(spark)).columns == docs(spark).columns
+
+
+@pytest.mark.parametrize(
+    "text, kind, part",
+    [
+        ("write to john at example.com", "email", "john at example.com"),
+        ("bob[@]corp[.]io", "email", "bob[@]corp[.]io"),
+        ("ring +1 555 one two three four five now", "phone", "+1 555 one two three four five"),
+        ("+1 five five five, one two three four five", "phone", "+1 five five five, one two three four five"),
+        ("from one nine two dot one six eight dot one dot two zero", "ip", "one nine two dot one six eight dot one dot two zero"),
+        ("+four nine six six eight eight four nine six", "phone", "+four nine six six eight eight four nine six"),
+    ],
+)
+def test_disguises_alone_in_a_text(text, kind, part):
+    base, added = pii.spans(text)
+    assert not base and [(k, text[a:b]) for k, a, b in added] == [(kind, part)]
