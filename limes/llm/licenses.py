@@ -1,9 +1,9 @@
 """Operator 7 [native]: licence scans over a positional index of rare licence words.
 
 Templates are word sequences.  The inverse document frequency of their words is counted over all documents; each
-template is looked up by its rarest words.  In a document, the positions of licence words are intersected with the
+template is looked up by the rarest words of its key phrase.  In a document, the positions of licence words are intersected with the
 templates' postings: word at i and template place j propose that the template starts at i - j, and a proposal stands
-if all its words agree.  Key phrases of a template are verified the same way and are mandatory.
+if its key phrase agrees.  The share of the other words that agree counts for the score alone.
 """
 
 from __future__ import annotations
@@ -15,19 +15,19 @@ from limes.llm.common import columns, cut, prepare
 
 #: Phrases and their labels; "base" ones count as places. Fixed values.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Further templates: words in order, the label, and the share of words that must agree at one start.
+#: Further templates: words in order, the label and the key phrase that must agree.
 MORE = {
-    "licensed under the apache license version 2 0": ("apache-2", "apache license version 2", 0.8),
-    "released under the mit license": ("mit", "mit license", 0.8),
-    "permission is hereby granted free of charge to any person obtaining a copy": ("mit", "permission is hereby granted free of charge", 0.8),
-    "this work is licensed under the gnu general public license version 3": ("gpl-3", "gnu general public license version 3", 0.8),
-    "gnu lesser general public license": ("lgpl", "gnu lesser general public license", 1.0),
-    "gnu affero general public license": ("agpl", "gnu affero general public license", 1.0),
-    "redistribution and use in source and binary forms with or without modification": ("bsd", "redistribution and use in source and binary forms", 0.8),
-    "mozilla public license version 2 0": ("mpl-2", "mozilla public license", 0.8),
-    "licensed under cc by sa": ("cc-by-sa", "cc by sa", 0.6),
-    "licensed under cc by nc 4 0": ("cc-by-nc", "cc by nc", 0.6),
-    "all rights reserved": ("proprietary", "all rights reserved", 1.0),
+    "licensed under the apache license version 2 0": ("apache-2", "apache license version 2"),
+    "released under the mit license": ("mit", "mit license"),
+    "permission is hereby granted free of charge to any person obtaining a copy": ("mit", "permission is hereby granted free of charge"),
+    "this work is licensed under the gnu general public license version 3": ("gpl-3", "gnu general public license version 3"),
+    "gnu lesser general public license": ("lgpl", "gnu lesser general public license"),
+    "gnu affero general public license": ("agpl", "gnu affero general public license"),
+    "redistribution and use in source and binary forms with or without modification": ("bsd", "redistribution and use in source and binary forms"),
+    "mozilla public license version 2 0": ("mpl-2", "mozilla public license"),
+    "licensed under cc by sa": ("cc-by-sa", "cc by sa"),
+    "licensed under cc by nc 4 0": ("cc-by-nc", "cc by nc"),
+    "all rights reserved": ("proprietary", "all rights reserved"),
 }
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The only two characters outside ASCII whose lower case holds an ASCII letter.
@@ -41,10 +41,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, NOT_WORD), "")
 
 
-def templates() -> list[tuple[int, str, list[str], str, float, str]]:
-    """id, label, words, "base" or "more", share, key phrase."""
-    rows = [(k, label, p.split(), "base", 1.0, p) for k, (p, label) in enumerate(BASE.items())]
-    return rows + [(len(rows) + k, label, p.split(), "more", share, key) for k, (p, (label, key, share)) in enumerate(MORE.items())]
+def templates() -> list[tuple[int, str, list[str], str, str]]:
+    """id, label, words, "base" or "more", key phrase."""
+    rows = [(k, label, p.split(), "base", p) for k, (p, label) in enumerate(BASE.items())]
+    return rows + [(len(rows) + k, label, p.split(), "more", key) for k, (p, (label, key)) in enumerate(MORE.items())]
 
 
 def rarity(docs: DataFrame) -> dict[str, int]:
@@ -68,27 +68,26 @@ def scan(docs: DataFrame, rare: int = 2) -> DataFrame:
     known = templates()
     vocabulary = F.array(*[F.lit(w) for w in seen])
     postings, anchors = [], set()
-    for k, _, ws, *_ in known:
-        by_idf = sorted(set(ws), key=lambda w: (seen[w], ws.index(w)))[:rare]
-        anchors.update(by_idf)
-        postings += [(k, w, j, w == by_idf[0], w in by_idf) for j, w in enumerate(ws)]
-    index = spark.createDataFrame(postings, "template int, word string, place int, rarest boolean, anchor boolean")
-    facts = spark.createDataFrame([(k, label, kind, share, len(ws), key) for k, label, ws, kind, share, key in known], "template int, label string, kind string, share double, size int, key string")
+    for k, _, ws, _, key in known:
+        # a match holds all words of the key phrase, so any of them finds it
+        anchors.update(sorted(set(key.split()), key=lambda w: (seen[w], ws.index(w)))[:rare])
+        postings += [(k, w, j) for j, w in enumerate(ws)]
+    index = spark.createDataFrame(postings, "template int, word string, place int")
+    facts = spark.createDataFrame([(k, label, kind, len(ws)) for k, label, ws, kind, _ in known], "template int, label string, kind string, size int")
     split = rows.withColumn("words", words(F.col("text")))
     held = split.select("doc_id", F.xxhash64("text").alias("h"), F.size("words").cast("long").alias("n_words"), F.when(F.arrays_overlap("words", F.array(*map(F.lit, sorted(anchors)))), F.col("words")).alias("words"))
     at = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(vocabulary, w), F.struct(w.alias("word"), i.alias("pos")))), lambda x: x.isNotNull())
     found = held.filter("words IS NOT NULL").select("doc_id", "h", F.explode(at).alias("x")).select("doc_id", "h", "x.word", "x.pos").distinct()
     found = cut(found)
-    start = found.join(F.broadcast(index), "word").withColumn("start", F.col("pos") - F.col("place")).groupBy("doc_id", "h", "template", "start").agg(F.count("*").alias("n"), F.bool_or("rarest").alias("by_rarest"), F.collect_set("place").alias("places"))
-    agreed = start.join(F.broadcast(facts), "template").filter("by_rarest AND n >= share * size")
+    start = found.join(F.broadcast(index), "word").withColumn("start", F.col("pos") - F.col("place")).groupBy("doc_id", "h", "template", "start").agg(F.count("*").alias("n"), F.collect_set("place").alias("places"))
+    agreed = start.join(F.broadcast(facts), "template")
     # a key phrase stands where all its places agree; it must lie within the template's own words
     keyed = F.lit(False)
-    for k, _, ws, kind, _, key in known:
-        if kind == "more":
-            ks = key.split()
-            j = next(j for j in range(len(ws)) if ws[j : j + len(ks)] == ks)
-            keyed = keyed | ((F.col("template") == k) & (F.size(F.array_except(F.array(*[F.lit(x) for x in range(j, j + len(ks))]), F.col("places"))) == 0))
-    agreed = agreed.filter((F.col("kind") == "base") | keyed)
+    for k, _, ws, _, key in known:
+        ks = key.split()
+        j = next(j for j in range(len(ws)) if ws[j : j + len(ks)] == ks)
+        keyed = keyed | ((F.col("template") == k) & (F.size(F.array_except(F.array(*[F.lit(x) for x in range(j, j + len(ks))]), F.col("places"))) == 0))
+    agreed = agreed.filter(keyed)
     base = F.col("kind") == "base"
     per_doc = agreed.groupBy("doc_id", "h").agg(
         F.count(F.when(base, 1)).alias("n_base"),

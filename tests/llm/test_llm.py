@@ -167,6 +167,13 @@ def test_licenses(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_license_labels_do_not_hang_on_other_files(spark):
+    texts = ["content available as CC BY-SA 4.0", "licensed under the GNU General Public License version 3", *["sa voix"] * 5, "licensed work", "work", "work"]
+    out = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert (out[0].labels, out[1].labels, out[2].labels) == ("cc-by-sa", "gpl-3", "")
+    assert abs(out[0].score - 3 / 5) < 1e-9 and abs(out[1].score - 9 / 12) < 1e-9
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/x y", "<p>é\r\n\r\nWARC/1.1</p>", 0), (2, None, "<p>é\r\n\r\nWARC/1.1</p>", 0), (3, "u", None, 0), (4, "u", "", 0), (None, "u", "q", 0)], "page_id long, url string, html string, n int")
     out = {r.page_id: r for r in warc.round_trip(pages).collect()}
