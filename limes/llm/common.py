@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -16,12 +17,17 @@ BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Give the session a checkpoint folder if it has none (tests), and small Arrow batches."""
+    """Give the session its checkpoint folder, and small Arrow batches.
+
+    The folder is the one named in spark.checkpoint.dir; only a session on this machine alone gets one of its own if that is unset.
+    """
     # Python workers on this machine find the package from any working folder; elsewhere it is installed
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     if spark.sparkContext.getCheckpointDir() is None:
-        conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(conf or tempfile.mkdtemp(prefix="limes-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors see")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="limes-checkpoint-"))
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
@@ -32,32 +38,40 @@ def shared_folder(spark: SparkSession) -> str:
     return prepare(spark).sparkContext.getCheckpointDir()
 
 
-def release(spark: SparkSession) -> None:
-    """Spark drops shuffles and checkpoints of frames that nobody holds when the driver collects garbage; a roomy heap puts that off, so ask."""
-    spark._jvm.System.gc()
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Spark drops the shuffles of what runs in here when it ends: its result is on disk, so nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there."""
-    prepare(df.sparkSession)
-    done = df.checkpoint(eager=True)
-    release(df.sparkSession)
-    return done
+    with tidy(prepare(df.sparkSession)):
+        return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Like cut, as a Parquet table in the shared folder, read back in as many tasks as its bytes ask for.
 
     For narrow tables: a checkpoint has a file per partition, empty ones too, and each later shuffle a task for each.
+    A table at path, if given, is replaced.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    release(df.sparkSession)
+    path = path or f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    with tidy(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Rows of one id column that are broadcast at most, some 16 MB; beyond, the join shuffles both sides.
+#: Rows of a narrow table that are broadcast at most, some 16 MB; beyond, the join shuffles both sides.
 SMALL_ROWS = 500_000
+#: A key is hot if it holds this share of all rows, so there are no more than HOT hot keys.
+HOT = 4096
 
 
 def few(ids: DataFrame) -> DataFrame:
@@ -65,6 +79,18 @@ def few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= SMALL_ROWS else ids
 
 
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """rows joined by key to counted, a cut table with a row per key and n, the number of rows that have it, of total rows in all.
+
+    Hot keys are looked up where the rows are (HOT keys are broadcast at most), so no task gets a hot key's rows; the
+    other keys are joined by a shuffle.
+    """
+    hot = F.col(n) * HOT >= total
+    many = F.broadcast(counted.filter(hot))
+    rest = rows.join(F.broadcast(counted.filter(hot).select(key)), key, "left_anti")
+    return rows.join(many, key).unionByName(rest.join(counted.filter(~hot), key))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
