@@ -1,9 +1,10 @@
 """Operator 4: a linear-chain conditional random field tags toxic tokens; documents are scored by its marginals.
 
-Training uses a bounded sample of labelled documents.  A token counts as labelled toxic if it stands in a toxic document and
-has a feature (word, prefix or suffix) that is far more frequent in toxic documents than in clean ones.  Each
-partition fits a field to its share of the sample, and the parameters are averaged (parameter mixing), in rounds.
-Scoring runs forward-backward over windows of every whole text; a logistic function of the marginals gives the score.
+Training uses a bounded sample of labelled documents.  Only documents are labelled, so token labels are guessed: a token
+counts as labelled toxic if it stands in a toxic document and has a feature (word, prefix or suffix) that is far more frequent in toxic
+documents than in clean ones.  The sample is dealt into SHARES by a hash of the text; a field is fitted to each share and
+the parameters are averaged (parameter mixing), in rounds, so the model doesn't depend on Spark's partitions.
+Scoring runs forward-backward over every whole text; a logistic function of the marginals gives the score.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +26,11 @@ from limes.llm.common import columns, cut, map_batches, prepare
 
 WORD = re.compile(r"\w+")
 BITS = 18
-WINDOW = 128
+#: Tokens of a row of the grid on which forward-backward runs; the state passes from row to row, so it cuts nothing.
+WIDTH = 128
 #: Labelled documents of each class that the model is fitted on, about.
 SAMPLE = 4000
+SHARES = 6
 ROUNDS = 2
 EPOCHS = 15
 REMEMBERED = 300_000
@@ -70,43 +74,97 @@ class Model:
         return found
 
 
-def marginals(e: np.ndarray, chain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward for many windows at once: e is windows x tokens, nan where a window has ended.
+class Grid:
+    """Places of documents' tokens on rows of WIDTH tokens, so that one step of the recursion serves all rows at once."""
 
-    Returns P(toxic) per token, and P(toxic, toxic before) per token.
+    def __init__(self, lengths: list[int]):
+        n = np.array(lengths, dtype=np.int64)
+        rows = -(-n // WIDTH)
+        first = np.cumsum(rows) - rows
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        self.rows = int(rows.sum())
+        self.at = (within % WIDTH) * self.rows + np.repeat(first, n) + within // WIDTH
+        self.starts = within == 0  # of tokens: the first of its document
+        self.longest = int(rows.max()) if len(rows) else 0
+        order = np.argsort(-rows, kind="stable")
+        #: turns[k]: the k-th rows of all documents that have so many
+        self.turns = [first[order[: np.searchsorted(-rows[order], -k, "left")]] + k for k in range(self.longest)]
+
+    def put(self, values: np.ndarray, empty: float) -> np.ndarray:
+        out = np.full(WIDTH * self.rows, empty)
+        out[self.at] = values
+        return out.reshape(WIDTH, self.rows)
+
+    def take(self, grid: np.ndarray) -> np.ndarray:
+        return grid.reshape(-1)[self.at]
+
+
+def marginals(e: np.ndarray, grid: Grid, chain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over whole documents: e holds the tokens' log potentials, document after document.
+
+    Returns P(toxic) per token, and P(toxic, toxic before) per token.  Both recursions map odds to (a * odds + b) / (c * odds + d); each row's
+    map is multiplied out first, then the odds pass from row to row of a document, then the rows are filled.
     """
-    n, length = e.shape
-    live = ~np.isnan(e)
-    up = np.clip(np.where(live, e, 0) + chain[0], -40, 40)
+    if not len(e):
+        return e, e
+    odd = np.exp(np.clip(e + chain[0], -40, 40))
     after_clean, after_toxic = math.exp(chain[1]), math.exp(chain[2])
-    ahead = np.empty((n, length))  # odds of toxic given what stands before and here
-    ahead[:, 0] = np.exp(up[:, 0])
-    for t in range(1, length):
-        p = ahead[:, t - 1] / (1 + ahead[:, t - 1])
-        ahead[:, t] = np.exp(up[:, t]) * ((1 - p) * after_clean + p * after_toxic) / ((1 - p) + p)
-    back = np.ones((n, length))  # odds of what follows, toxic against clean
-    for t in range(length - 2, -1, -1):
-        o = np.where(live[:, t + 1], np.exp(up[:, t + 1]) * back[:, t + 1], 0)
-        back[:, t] = np.where(live[:, t + 1], (1 + o * after_toxic) / (1 + o * after_clean), 1.0)
-    odds = ahead * back
+    here, live = grid.put(odd, 1.0), grid.put(np.ones(len(e), bool), 0.0) > 0
+    enter_ahead = np.full(grid.rows, np.nan)  # odds of the token before the row; none before a document
+    enter_back = np.ones(grid.rows)  # odds of what follows the row, toxic against clean
+    if grid.longest > 1:
+        a, b, c, d = np.ones(grid.rows), np.zeros(grid.rows), np.zeros(grid.rows), np.ones(grid.rows)
+        for x in here:
+            a, b, c, d = x * (after_toxic * a + after_clean * c), x * (after_toxic * b + after_clean * d), a + c, b + d
+            s = a + b + c + d
+            a, b, c, d = a / s, b / s, c / s, d / s
+        whole = _row_ends(here, after_clean, after_toxic)
+        for k in range(1, grid.longest):
+            now = grid.turns[k]
+            before = enter_ahead[now - 1]
+            new = (a[now - 1] * before + b[now - 1]) / (c[now - 1] * before + d[now - 1])
+            enter_ahead[now] = np.where(np.isnan(before), whole[now - 1], new)
+        a, b, c, d = np.ones(grid.rows), np.zeros(grid.rows), np.zeros(grid.rows), np.ones(grid.rows)
+        for x, on in zip(here[::-1], live[::-1]):
+            x = np.where(on, x, 0.0)
+            na, nb, nc, nd = d_step(x, after_clean, after_toxic, a, b, c, d)
+            a, b, c, d = (np.where(on, new, old) for new, old in zip((na, nb, nc, nd), (a, b, c, d)))
+            s = a + b + c + d
+            a, b, c, d = a / s, b / s, c / s, d / s
+        for k in range(grid.longest - 1, 0, -1):
+            now = grid.turns[k]
+            enter_back[now - 1] = (a[now] * enter_back[now] + b[now]) / (c[now] * enter_back[now] + d[now])
+    ahead = np.empty_like(here)  # odds of toxic given what stands before and here
+    last = enter_ahead
+    for t in range(WIDTH):
+        last = here[t] * (after_clean + after_toxic * last) / (1 + last) if t else np.where(np.isnan(last), here[0], here[0] * (after_clean + after_toxic * last) / (1 + last))
+        ahead[t] = last
+    back = np.empty_like(here)
+    last = enter_back
+    for t in range(WIDTH - 1, -1, -1):
+        back[t] = last
+        o = here[t] * last
+        last = np.where(live[t], (1 + o * after_toxic) / (1 + o * after_clean), last)
+    odds, back = grid.take(ahead) * grid.take(back), grid.take(back)
     p = odds / (1 + odds)
-    pair = np.zeros((n, length))
-    if length > 1:  # P(toxic here and before) = P(before) * P(here | before toxic)
-        o = np.exp(up[:, 1:]) * back[:, 1:] * after_toxic
-        pair[:, 1:] = p[:, :-1] * o / (1 + o)
-    return np.where(live, p, 0.0), np.where(live, pair, 0.0)
+    pair = np.zeros(len(e))  # P(toxic here and before) = P(before) * P(here | before toxic)
+    o = odd[1:] * back[1:] * after_toxic
+    pair[1:] = p[:-1] * o / (1 + o)
+    pair[grid.starts] = 0
+    return p, pair
+
 
+def d_step(x: np.ndarray, after_clean: float, after_toxic: float, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The map odds -> (1 + x * odds * after_toxic) / (1 + x * odds * after_clean), after the map a, b, c, d."""
+    return c + x * after_toxic * a, d + x * after_toxic * b, c + x * after_clean * a, d + x * after_clean * b
 
-def windows(values: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Cut documents' tokens into windows; returns the windows (nan padded) and the place of each token in them."""
-    n = np.array(lengths, dtype=np.int64)
-    rows = np.maximum(-(-n // WINDOW), 0)
-    first = np.concatenate([[0], np.cumsum(rows)[:-1]]) if len(n) else np.zeros(0, np.int64)
-    within = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
-    place = (np.repeat(first, n) + within // WINDOW) * WINDOW + within % WINDOW
-    out = np.full(int(rows.sum()) * WINDOW, np.nan)
-    out[place] = values
-    return out.reshape(-1, WINDOW), place
+
+def _row_ends(here: np.ndarray, after_clean: float, after_toxic: float) -> np.ndarray:
+    """Odds of the last token of each row, if the row is the first of its document."""
+    last = here[0]
+    for x in here[1:]:
+        last = x * (after_clean + after_toxic * last) / (1 + last)
+    return last
 
 
 def held_out(doc_id: Column) -> Column:
@@ -114,19 +172,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """text, toxic and weight of about `sample` different texts of each class, none of them held out."""
+    """h, toxic, text and weight of about `sample` labelled documents of each class, none of them held out; equal texts are one row.
+
+    Ids are counted and drawn from the labels alone; texts are fetched for the drawn ids, of which there are 2 * sample, about.
+    """
     marks = columns(labels, doc_id="long", toxic="int").filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.filter(~held_out(F.col("doc_id")))
-    texts = columns(docs, doc_id="long", text="string").withColumn("h", F.xxhash64("text"))
-    rows = texts.join(marks, "doc_id")
-    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, sample / max(1, sizes.get(1, 0)))).otherwise(min(1.0, sample / max(1, sizes.get(0, 0))))
-    few = rows.filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
-    return few.groupBy("h").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"), F.sum(1 / share).alias("weight"))
+    drawn = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30)).withColumn("weight", 1 / share)
+    rows = columns(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id").withColumn("h", F.xxhash64("text"))
+    return rows.groupBy("h").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"), F.sum("weight").alias("weight"))
 
 
-def seeds(rows: DataFrame, most: int = 20_000) -> set[str]:
-    """Features that mark toxic documents, the strongest `most` at most."""
+def seeds(rows: DataFrame) -> set[str]:
+    """Features that mark toxic documents of the sample; where none is far more frequent there, the most telling ones."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -140,8 +200,9 @@ def seeds(rows: DataFrame, most: int = 20_000) -> set[str]:
     t, c = n.get(1, 0), n.get(0, 0)
     sums = rows.select("text", "toxic").mapInArrow(count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     gap = F.log((F.col("t") + 0.5) / (t + 1.0)) - F.log((F.col("c") + 0.5) / (c + 1.0))
-    strong = sums.filter((F.col("t") >= max(3, 0.005 * t)) & (gap > 2.5)).orderBy(F.desc(gap), "feature").limit(most)
-    return {r.feature for r in strong.select("feature").collect()}
+    known = cut(sums.filter(F.col("t") >= max(min(3, t), 0.005 * t)).select("feature", gap.alias("gap")).filter("gap > 0"))
+    best = known.agg(F.max("gap")).first()[0] or 0.0
+    return {r.feature for r in known.filter(F.col("gap") > min(2.5, 0.8 * best)).select("feature").collect()}  # of the bounded sample
 
 
 def learn(texts: list[str], marks: list[int], strong: set[str], model: Model) -> Model:
@@ -160,23 +221,19 @@ def learn(texts: list[str], marks: list[int], strong: set[str], model: Model) ->
     owner, spot = np.repeat(np.arange(len(place)), [len(p) for p in place]), np.concatenate(place)
     ids = np.array(ids)
     y = seed[ids] & np.repeat(np.array(flags) == 1, lengths)
-    gold, at = windows(y.astype(float), lengths)
-    live = ~np.isnan(gold)
-    gold = np.where(live, gold, 0)
-    before = np.zeros_like(gold)
-    before[:, 1:] = gold[:, :-1]
+    grid = Grid(lengths)
+    gold = y.astype(float)
+    before = np.concatenate([[0.0], gold[:-1]]) * ~grid.starts
     weights, chain = model.weights.astype(float), model.chain.copy()
     g2, c2 = np.full(len(weights), 1e-6), np.full(3, 1e-6)
     for _ in range(EPOCHS):
         e = np.bincount(owner, weights[spot], len(place))[ids]
-        p, pair = marginals(windows(e, lengths)[0], chain)
-        d = (gold - p).reshape(-1)
-        by_type = np.bincount(ids, d[at], len(place))
+        p, pair = marginals(e, grid, chain)
+        d = gold - p
+        by_type = np.bincount(ids, d, len(place))
         g = np.bincount(spot, by_type[owner], len(weights)) - 0.02 * weights
-        first = np.zeros_like(p)
-        first[:, 0] = 1
         both = (gold * before - pair).sum()
-        c = np.array([d.sum(), (d.reshape(p.shape) * (1 - first)).sum() - both, both])
+        c = np.array([d.sum(), d[~grid.starts].sum() - both, both])
         g2 += g * g
         c2 += c * c
         weights += 0.5 * g / np.sqrt(g2)
@@ -190,8 +247,7 @@ def score_batch(model: Model, texts: list[str | None], spans: bool = True) -> di
     words = [WORD.findall((t or "").lower()) for t in texts]
     lengths = [len(w) for w in words]
     e = np.fromiter((get(x) for w in words for x in w), float, sum(lengths))
-    grid, at = windows(e, lengths)
-    p = marginals(grid, model.chain)[0].reshape(-1)[at] if len(e) else e
+    p = marginals(e, Grid(lengths), model.chain)[0]
     ends = np.cumsum(lengths)
     out = {"total": [], "most": [], "mean": [], "spans": []}
     for k, (b, n) in enumerate(zip(ends, lengths)):
@@ -211,34 +267,27 @@ def signs(total: np.ndarray, most: np.ndarray, mean: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A field and its calibration from labelled documents outside the held-out fold; about `sample` texts per class.
+    """A field and its calibration from labelled documents outside the held-out fold; about `sample` documents per class.
 
-    Rows with null ids, null labels or labels other than 0 and 1 take no part.  Without both classes, the score is a constant.
+    Rows with null ids, null labels or labels other than 0 and 1 take no part; an id with both labels is toxic.  Texts of any length
+    are used whole.  Without both classes, the score is a constant.
     """
     prepare(docs.sparkSession)
-    rows = cut(training_rows(docs, labels, sample).repartition(6, "h"))
+    rows = cut(training_rows(docs, labels, sample))
     strong = seeds(rows)
+    dealt = rows.select("text", "toxic", F.pmod("h", F.lit(SHARES)).alias("share"))
     model = Model()
     for _ in range(ROUNDS if strong else 0):
 
-        def share(batches: Iterator[pa.RecordBatch], start: Model = model) -> Iterator[pa.RecordBatch]:
-            texts, marks = [], []
-            for b in batches:
-                texts += b.column(0).to_pylist()
-                marks += b.column(1).to_pylist()
-            if texts:
-                m = learn(texts, marks, strong, start)
-                some = np.flatnonzero(m.weights)
-                yield pa.RecordBatch.from_arrays([pa.array([*some.tolist(), -1, -2, -3], pa.int64()), pa.array([*m.weights[some].tolist(), *m.chain.tolist()], pa.float64()), pa.array([len(texts)] * (len(some) + 3), pa.int64())], ["k", "v", "n"])
-
-        fitted = cut(rows.select("text", "toxic").mapInArrow(share, "k long, v double, n long"))
-        whole = fitted.filter("k = -1").agg(F.sum("n")).first()[0] or 1
-        model = Model()
-        for r in fitted.groupBy("k").agg((F.sum(F.col("v") * F.col("n")) / whole).alias("v")).collect():  # 2^BITS rows at most
-            if r.k >= 0:
-                model.weights[r.k] = r.v
-            else:
-                model.chain[-1 - r.k] = r.v
+        start = model
+
+        def fitted(part: pd.DataFrame) -> pd.DataFrame:
+            m = learn(part["text"].tolist(), part["toxic"].tolist(), strong, start)  # noqa: B023 (collected in this round)
+            return pd.DataFrame({"n": [len(part)], "weights": [m.weights.astype("<f4").tobytes()], "chain": [m.chain.tolist()]})
+
+        parts = dealt.groupBy("share").applyInPandas(fitted, "n long, weights binary, chain array<double>").collect()  # SHARES rows of 2^BITS weights
+        whole = sum(r.n for r in parts)
+        model = Model(sum(r.n / whole * np.frombuffer(r.weights, "<f4") for r in parts).astype(np.float32), sum(r.n / whole * np.array(r.chain) for r in parts))
     final = model
     marks = map_batches(rows.select("toxic", "weight", "text"), lambda x: {k: v for k, v in score_batch(final, x["text"], False).items() if k != "spans"}, "total double, most double, mean double", "toxic", "weight").toPandas()
     x, y, w = signs(marks["total"].to_numpy(), marks["most"].to_numpy(), marks["mean"].to_numpy()), marks["toxic"].to_numpy(), marks["weight"].to_numpy()
@@ -262,16 +311,23 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     return b
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row of docs: doc_id, score (0 to 1), expected toxic tokens, spans (start:end of offending tokens, joined).
+def with_scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """docs with score (0 to 1), toxic_tokens (expected number) and spans (start:end of offending tokens, joined) of each row; no shuffle.
 
-    A null text counts as empty and gets the score of no toxic token.  Null or repeated ids are scored like others.
-    Only id and text are read; an empty table gives an empty result.
+    All rows and other columns stay, but for columns of these three names, which are replaced.  A null text counts as empty and gets the
+    score of no toxic token.  Null or repeated ids are scored like others, texts of any length whole; an empty table gives an empty result.
     """
+    docs = docs.drop("score", "toxic_tokens", "spans")
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        found = score_batch(model, rows["text"])
+        found = score_batch(model, rows[text_col])
         z = signs(*(np.array(found[k]) for k in ("total", "most", "mean"))) @ model.scale
         return {"score": (1 / (1 + np.exp(-np.clip(z, -30, 30)))).tolist(), "toxic_tokens": found["total"], "spans": found["spans"]}
 
-    return map_batches(columns(docs, doc_id="long", text="string"), run, "score double, toxic_tokens double, spans string", "doc_id")
+    run.reads = (text_col,)
+    return map_batches(docs, run, "score double, toxic_tokens double, spans string", *docs.columns)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score, toxic_tokens and spans of each row of docs, as with_scores has them; only id and text are read."""
+    return with_scores(columns(docs, doc_id="long", text="string"), model).drop("text")
