@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Latin letters with marks and the letters without. Fixed values.
 MARKED = "ÁÀÂÄÃÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇáàâäãéèêëíìîïóòôöõúùûüñç"
 PLAIN = "AAAAAEEEEIIIIOOOOOUUUUNCaaaaaeeeeiiiiooooouuuunc"
-#: What a census row's name begins with, by level. Fixed values.
+#: What a unit's census name begins with, by level; in a sheet, departments have no head word. Fixed values.
 HEADS = {"departamento": "DEPARTAMENTO ", "provincia": "PROVINCIA ", "distrito": "DISTRITO "}
 
 
@@ -58,14 +58,13 @@ def parse_number(text: Column) -> Column:
 
 
 def classify_unit(name: Column) -> Column:
-    """struct(level, bare): level by the head word, null without one; bare is the normalised rest."""
-    level = F.lit(None).cast("string")
-    bare = normalize_name(name)
-    whole = bare
-    for k, head in HEADS.items():
-        hit = whole.startswith(head)
+    """struct(level, bare): province or district by the head word, null without one; bare is the normalised rest."""
+    whole = normalize_name(name)
+    level, bare = F.lit(None).cast("string"), whole
+    for k in ("provincia", "distrito"):
+        hit = whole.startswith(HEADS[k])
         level = F.when(hit, F.lit(k)).otherwise(level)
-        bare = F.when(hit, F.trim(F.substring(whole, len(head) + 1, 1 << 20))).otherwise(bare)
+        bare = F.when(hit, F.trim(F.substring(whole, len(HEADS[k]) + 1, 1 << 20))).otherwise(bare)
     return F.struct(level.alias("level"), bare.alias("bare"))
 
 

@@ -8,32 +8,70 @@ from pyspark.sql import functions as F
 from limes.functions import columns as C
 
 
-def census_hierarchy(rows: DataFrame) -> DataFrame:
-    """Carry department and province down the ordered rows (source, row_idx, name, total) and build each row's key.
+#: Rows of a source that one task reads in order.
+STRETCH = 1 << 20
+#: The country's own row, which heads nothing. Fixed value.
+COUNTRY = "PERU"
+
 
-    A department row resets the province; title and note rows carry nothing.  Sources are independent partitions.
+def classified_rows(rows: DataFrame) -> DataFrame:
+    """source, row_idx, nivel, bare, value of the rows (source, row_idx, name, total) that stand for a unit or head a block.
+
+    Provinces and districts have a head word; any other row with a figure is a department or a block.  Blank rows, notes, titles
+    without a figure and the country's row are passed over.
     """
-    unit = rows.withColumn("u", C.classify_unit(F.col("name"))).withColumns({"level": F.col("u.level"), "bare": F.col("u.bare"), "value": C.parse_number(F.col("total"))}).drop("u")
-    head = F.when(F.col("level") == "departamento", F.struct(F.col("bare").alias("dep"), F.lit(None).cast("string").alias("prov")))
-    order = Window.partitionBy("source").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dep = F.last(head, ignorenulls=True).over(order)
-    # a province holds until the next department or province row
-    prov = F.last(F.when(F.col("level") == "departamento", F.struct(F.lit(None).cast("string").alias("p"))).when(F.col("level") == "provincia", F.struct(F.col("bare").alias("p"))), ignorenulls=True).over(order)
-    out = unit.withColumns({"dep": dep["dep"], "prov": prov["p"]}).filter("level IS NOT NULL")
-    key = F.when(F.col("level") == "departamento", F.col("dep")).when(F.col("level") == "provincia", F.concat_ws("|", "dep", "prov")).otherwise(F.concat_ws("|", "dep", "prov", "bare"))
-    whole = F.col("dep").isNotNull() & ((F.col("level") != "distrito") | F.col("prov").isNotNull())
-    return out.select("source", "row_idx", F.col("level").alias("nivel"), "bare", F.when(whole, key).alias("clave_censo"), "value")
+    unit = C.classify_unit(F.col("name"))
+    named = rows.filter((F.trim("name") != "") & ~F.upper(F.trim("name")).startswith("NOTA"))
+    found = named.select("source", "row_idx", unit.alias("u"), C.parse_number(F.col("total")).alias("value"))
+    found = found.select("source", "row_idx", F.coalesce("u.level", F.lit("departamento")).alias("nivel"), "u.bare", "value")
+    return found.filter((F.col("nivel") != "departamento") | (F.col("value").isNotNull() & (F.col("bare") != COUNTRY)))
 
 
 def apply_aliases(rows: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Names corrected by (nivel, bare) -> alias; keys are corrected in their last part."""
-    fixed = rows.join(aliases, ["nivel", "bare"], "left")
-    key = F.when(F.col("alias").isNotNull(), F.concat(F.regexp_replace("clave_censo", r"[^|]*$", ""), F.col("alias"))).otherwise(F.col("clave_censo"))
-    return fixed.withColumns({"clave_censo": key, "bare": F.coalesce("alias", "bare")}).drop("alias")
+    """rows with the catalogue's names where aliases (nivel, bare, alias) has them; provinces' names are carried to what is below."""
+    return rows.join(aliases, ["nivel", "bare"], "left").withColumn("bare", F.coalesce("alias", "bare")).drop("alias")
+
+
+def apply_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """rows with block, a struct(dep, prov), where a row at the top is no department but one of blocks (bare, dep, prov)."""
+    known = blocks.select(F.lit("departamento").alias("nivel"), "bare", F.struct("dep", "prov").alias("block"))
+    return rows.join(known, ["nivel", "bare"], "left")
+
+
+def carried(rows: DataFrame, *states: str) -> DataFrame:
+    """Each state (a column that is null where it doesn't change) carried down the rows of its source.
+
+    Rows are filled in stretches of STRETCH places, so a source of any length has many tasks; only the last states of
+    the stretches are carried from one to the next.
+    """
+    rows = rows.withColumn("stretch", F.floor(F.col("row_idx") / STRETCH))
+    order = Window.partitionBy("source", "stretch").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("source", "stretch").agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct("row_idx", c))).alias(c) for c in states])
+    ends = ends.select("source", "stretch", *[F.last(f"{c}.{c}", ignorenulls=True).over(before).alias(f"{c}_before") for c in states])
+    filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(order) for c in states}).join(ends, ["source", "stretch"])
+    return filled.withColumns({c: F.coalesce(c, f"{c}_before") for c in states}).drop("stretch", *[f"{c}_before" for c in states])
+
+
+def census_hierarchy(rows: DataFrame) -> DataFrame:
+    """source, row_idx, nivel, bare, clave_censo, value: keys of classified rows, whose order tells what they belong to.
+
+    A row at the top resets the province, or sets it if it is a block with one; blocks have no row of their own, for their figures are parts.
+    A key is null where the department or province above is missing.
+    """
+    if "block" not in rows.columns:
+        rows = rows.withColumn("block", F.lit(None).cast("struct<dep: string, prov: string>"))
+    top = F.col("nivel") == "departamento"
+    dep = F.when(top, F.coalesce("block.dep", "bare"))
+    prov = F.when(top, F.struct(F.col("block.prov").alias("p"))).when(F.col("nivel") == "provincia", F.struct(F.col("bare").alias("p")))
+    out = carried(rows.withColumns({"dep": dep, "prov": prov}), "dep", "prov").filter("block IS NULL")
+    key = F.when(top, F.col("dep")).when(F.col("dep").isNull(), None).when(F.col("nivel") == "provincia", F.concat_ws("|", "dep", "bare")).when(F.col("prov.p").isNotNull(), F.concat_ws("|", "dep", "prov.p", "bare"))
+    return out.select("source", "row_idx", "nivel", "bare", key.alias("clave_censo"), "value")
 
 
 def census_match(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
-    return rows.join(catalogue.select("nivel", "clave_censo", "ubigeo"), ["nivel", "clave_censo"])
+    """rows with ubigeo, null where the catalogue has no such key."""
+    return rows.join(catalogue.select("nivel", "clave_censo", "ubigeo"), ["nivel", "clave_censo"], "left")
 
 
 def census_unmatched(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -42,9 +80,12 @@ def census_unmatched(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def roll_up(values: DataFrame) -> DataFrame:
-    """ubigeo, value of districts and, as sums, of provinces and departments; nulls are ignored, units without any value are absent."""
-    up = [values.groupBy(F.substring("ubigeo", 1, n).alias("ubigeo")).agg(F.sum("value").alias("value")) for n in (2, 4)]
-    return up[0].unionByName(up[1]).unionByName(values.select("ubigeo", "value")).filter("value IS NOT NULL")
+    """ubigeo, value of districts and, as sums, of provinces and departments; nulls are ignored, units without any value are absent.
+
+    One pass: each value is added under its three prefixes in the map tasks.
+    """
+    each = values.filter("ubigeo IS NOT NULL AND value IS NOT NULL").select(F.explode(F.array(F.substring("ubigeo", 1, 2), F.substring("ubigeo", 1, 4), "ubigeo")).alias("ubigeo"), "value")
+    return each.groupBy("ubigeo").agg(F.sum("value").alias("value"))
 
 
 def coverage(values: DataFrame, expected: DataFrame) -> DataFrame:

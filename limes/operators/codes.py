@@ -49,12 +49,27 @@ def conflicting_codes(catalogue: DataFrame) -> DataFrame:
     return found.filter("n > 1")
 
 
-def next_code(districts: DataFrame, retired: DataFrame) -> DataFrame:
-    """prov, code, status for each province: the code after the largest; 'exhausted' past 99, 'retired' if it may not be used."""
-    top = districts.select(F.substring("ubigeo", 1, 4).alias("prov"), F.substring("ubigeo", 5, 2).cast("int").alias("seq")).groupBy("prov").agg((F.max("seq") + 1).alias("seq"))
+def next_code(districts: DataFrame, retired: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """prov, code, status of each province asked for (prov; all that have districts by default): the code after its largest.
+
+    status: ok, malformed province, empty province, exhausted (past 99), in use, retired; and a row with status malformed district,
+    code and no province for each code that isn't six digits, for no sequence can be trusted beside them.
+    """
+    whole = districts.filter(C.valid_code(F.col("ubigeo"), 6))
+    top = whole.groupBy(F.substring("ubigeo", 1, 4).alias("prov")).agg((F.max(F.substring("ubigeo", 5, 2).cast("int")) + 1).alias("seq"))
+    rows = top if asked is None else asked.select("prov").distinct().join(top, "prov", "left")
     code = F.when(F.col("seq") <= 99, F.concat("prov", F.lpad(F.col("seq").cast("string"), 2, "0")))
-    gone = retired.select(F.col("ubigeo").alias("code"), F.lit(True).alias("gone")).distinct()
-    return top.withColumn("code", code).join(gone, "code", "left").select("prov", "code", F.when(F.col("code").isNull(), "exhausted").when(F.col("gone"), "retired").otherwise("ok").alias("status"))
+    rows = flagged(rows.withColumn("code", code), whole, retired)
+    status = F.when(~C.valid_code(F.col("prov"), 4), "malformed province").when(F.col("seq").isNull(), "empty province").when(F.col("code").isNull(), "exhausted").when(F.col("used"), "in use").when(F.col("gone"), "retired").otherwise("ok")
+    broken = districts.filter(~C.valid_code(F.col("ubigeo"), 6)).select(F.lit(None).cast("string").alias("prov"), F.col("ubigeo").alias("code"), F.lit("malformed district").alias("status"))
+    return rows.select("prov", "code", status.alias("status")).unionByName(broken)
+
+
+def flagged(rows: DataFrame, districts: DataFrame, retired: DataFrame, code: str = "code") -> DataFrame:
+    """rows with used and gone: whether a code is a district's, or a retired one."""
+    used = districts.select(F.col("ubigeo").alias(code), F.lit(True).alias("used")).distinct()
+    gone = retired.select(F.col("ubigeo").alias(code), F.lit(True).alias("gone")).distinct()
+    return rows.join(used, code, "left").join(gone, code, "left").na.fill(False, ["used", "gone"])
 
 
 def code_gaps(districts: DataFrame) -> DataFrame:
@@ -63,27 +78,39 @@ def code_gaps(districts: DataFrame) -> DataFrame:
     return used.select("prov", F.explode(F.array_except(F.sequence(F.lit(1), "m"), "s")).alias("gap"))
 
 
+def official_codes(catalogue: DataFrame) -> DataFrame:
+    """prov, name, official, n_official of districts; official is null where a province gives one name to several codes."""
+    found = catalogue.filter(F.col("nivel") == "distrito").filter(C.valid_code(F.col("ubigeo"), 6)).groupBy(F.col("ubigeo_provincia").alias("prov"), F.col("nombre_normalizado").alias("name"))
+    low, high = F.min("ubigeo"), F.max("ubigeo")
+    return found.agg(F.when(low == high, low).alias("official"), F.count_distinct("ubigeo").alias("n_official"))
+
+
 def resolve_codes(entries: DataFrame, catalogue: DataFrame, districts: DataFrame, retired: DataFrame) -> DataFrame:
-    """Codes of new districts: forced, else official by (province, name), else by rule; entries of a province follow each other.
+    """Codes of new districts: forced, else official by (province, name) or declared as such, else by rule; one entry follows another.
 
-    entries: entry (order), prov, nombre, forced.  Adds code, origin, provisional and status.
+    entries: entry (order), prov, nombre, forced, declared.  Returns entry, prov, nombre, code, rule, origin, provisional and status.
+    The rule is one past the largest code of the province and of the entries before.  With R the number of ruled entries so far and g the
+    sequences given so far, the largest is R + max(top, g - R at each given entry), so two running windows replace the loop.
     """
     from pyspark.sql import Window
 
-    official = catalogue.filter("nivel = 'distrito'").groupBy(F.col("ubigeo_provincia").alias("prov"), F.col("nombre_normalizado").alias("name")).agg(F.min("ubigeo").alias("official"))
     top = districts.groupBy(F.substring("ubigeo", 1, 4).alias("prov")).agg(F.max(F.substring("ubigeo", 5, 2).cast("int")).alias("top"))
-    rows = entries.withColumn("name", C.normalize_name(F.col("nombre"))).join(official, ["prov", "name"], "left").join(top, "prov", "left")
-    given = F.coalesce("forced", "official")
-    ruled = F.when(given.isNull(), 1).otherwise(0)
-    rank = F.sum(ruled).over(Window.partitionBy("prov").orderBy("entry"))
-    seq = F.coalesce("top", F.lit(0)) + rank
-    code = F.coalesce(given, F.when(seq <= 99, F.concat("prov", F.lpad(seq.cast("string"), 2, "0"))))
-    rows = rows.withColumn("code", code)
-    gone = retired.select(F.col("ubigeo").alias("code"), F.lit(True).alias("gone")).distinct()
-    used = districts.select(F.col("ubigeo").alias("code"), F.lit(True).alias("used")).distinct()
-    status = F.when(F.col("code").isNull(), "exhausted").when(F.col("gone"), "retired").when(F.col("used"), "in use").otherwise("ok")
-    origin = F.when(F.col("forced").isNotNull(), "forced").when(F.col("official").isNotNull(), "official").otherwise("rule")
-    return rows.join(gone, "code", "left").join(used, "code", "left").select("entry", "prov", "nombre", "code", origin.alias("origin"), given.isNull().alias("provisional"), status.alias("status"))
+    rows = entries.withColumn("name", C.normalize_name(F.col("nombre"))).join(official_codes(catalogue), ["prov", "name"], "left").join(top, "prov", "left")
+    rows = rows.withColumn("confirmed", F.coalesce("official", "declared")).withColumn("given", F.coalesce("forced", "confirmed"))
+    upto = Window.partitionBy("prov").orderBy("entry").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("prov").orderBy("entry").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("ruled", F.sum(F.col("given").isNull().cast("int")).over(upto))
+    own = F.when(F.substring("given", 1, 4) == F.col("prov"), F.substring("given", 5, 2).try_cast("int") - F.col("ruled"))
+    rows = rows.withColumn("ahead", own).withColumn("seq", F.col("ruled") - F.col("given").isNull().cast("int") + F.greatest("top", F.max("ahead").over(before)) + 1)
+    rows = rows.withColumn("rule", F.when(F.col("top").isNotNull() & (F.col("seq") <= 99), F.concat("prov", F.lpad(F.col("seq").cast("string"), 2, "0")))).withColumn("code", F.coalesce("given", "rule"))
+    rows = flagged(rows.withColumn("turn", F.row_number().over(Window.partitionBy("code").orderBy("entry"))), districts, retired)
+    status = (
+        F.when(F.col("n_official") > 1, "ambiguous official code").when(F.col("top").isNull(), "empty province").when(F.col("rule").isNull(), "exhausted")
+        .when(F.col("declared") != F.col("official"), "declared against official").when(F.col("used") | (F.col("turn") > 1), "in use").when(F.col("gone"), "retired")
+        .when(F.col("confirmed") != F.col("rule"), "confirmed against rule").when(F.col("forced") != F.col("confirmed"), "forced against confirmed").otherwise("ok")
+    )
+    origin = F.when(F.col("forced").isNotNull(), "forced").when(F.col("official").isNotNull(), "official").when(F.col("declared").isNotNull(), "declared").otherwise("rule")
+    return rows.select("entry", "prov", "nombre", "code", "rule", origin.alias("origin"), F.col("given").isNull().alias("provisional"), status.alias("status"))
 
 
 def reconcile(a: DataFrame, b: DataFrame, declared: DataFrame) -> DataFrame:
@@ -114,8 +141,10 @@ def merge_layers(official: DataFrame, derived: DataFrame) -> DataFrame:
 
 
 def registry_lookup(entries: DataFrame, catalogue: DataFrame) -> DataFrame:
-    known = catalogue.filter("nivel = 'distrito'").select(F.col("ubigeo_provincia").alias("prov"), F.col("nombre_normalizado").alias("name"), F.col("ubigeo").alias("official"))
-    return entries.withColumn("name", C.normalize_name(F.col("nombre"))).join(known, ["prov", "name"], "left").select("entry", "prov", "nombre", "official")
+    """entry, prov, nombre, official, status: found, none, or ambiguous, which has no code for none can be chosen by name."""
+    rows = entries.withColumn("name", C.normalize_name(F.col("nombre"))).join(official_codes(catalogue), ["prov", "name"], "left")
+    status = F.when(F.col("n_official").isNull(), "none").when(F.col("n_official") > 1, "ambiguous").otherwise("found")
+    return rows.select("entry", "prov", "nombre", "official", status.alias("status"))
 
 
 def law_matches(entries: DataFrame, published: DataFrame) -> DataFrame:

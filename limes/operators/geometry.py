@@ -40,33 +40,76 @@ def label_points(polygons: DataFrame) -> DataFrame:
     return v.groupBy("code").agg(F.round(F.avg("v.x"), 6).alias("x"), F.round(F.avg("v.y"), 6).alias("y"))
 
 
-def geometry_checks(polygons: DataFrame) -> DataFrame:
-    """code, ring, fault: empty, unclosed, short, flat or repeated vertices."""
+def geometry_checks(polygons: DataFrame, bounds: tuple[int, int, int, int] | None = None, cell: int = 4000) -> DataFrame:
+    """code, ring, fault: empty, unclosed, short, flat or repeated vertices, turned rings, vertices off the grid or out of bounds
+    (min x, min y, max x, max y), and edges of a ring that cross or touch other than in a row.
+    """
     v = F.col("vertices")
     n = F.coalesce(F.size(v), F.lit(0))
-    area2 = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.lit(0).cast("long"), lambda s, i: s + F.get(v, i - 1)["x"] * F.get(v, i)["y"] - F.get(v, i)["x"] * F.get(v, i - 1)["y"])
+    area2 = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.lit(0.0), lambda s, i: s + (F.get(v, i - 1)["x"] * F.get(v, i)["y"] - F.get(v, i)["x"] * F.get(v, i - 1)["y"]).cast("double"))
+    shell = F.when(F.col("ring") == 0, 1).otherwise(-1)
+    outside = F.lit(False)
+    if bounds:
+        outside = F.exists(v, lambda p: (p["x"] < bounds[0]) | (p["y"] < bounds[1]) | (p["x"] > bounds[2]) | (p["y"] > bounds[3]))
     faults = F.array_compact(F.array(
         F.when(n <= 0, "empty"), F.when((n > 0) & (F.get(v, F.lit(0)) != F.get(v, n - 1)), "unclosed"), F.when((n > 0) & (n < 4), "short"),
-        F.when((n >= 4) & (area2 == 0), "flat"), F.when((n > 0) & (F.size(drop_repeats(v)) < n), "repeated vertex"),
+        F.when((n >= 4) & (area2 == 0), "flat"), F.when((n >= 4) & (area2 * shell < 0), "turned"), F.when((n > 0) & (F.size(drop_repeats(v)) < n), "repeated vertex"),
+        F.when(outside, "out of bounds"), F.when(F.exists(v, lambda p: (p["x"] != F.round(p["x"])) | (p["y"] != F.round(p["y"]))), "off the grid"),
     ))
-    return polygons.select("code", "ring", F.explode(faults).alias("fault"))
+    crossed = crossing_edges(ring_segments(polygons), cell).select("code", "ring").distinct().withColumn("fault", F.lit("crossing edges"))
+    return polygons.select("code", "ring", F.explode(faults).alias("fault")).unionByName(crossed)
+
+
+def turn(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
+    """Sign of the turn from a over b to c; exact on integers."""
+    return F.signum(((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)).cast("double"))
+
+
+def crossing_edges(segments: DataFrame, cell: int) -> DataFrame:
+    """code, ring, seq, other: edges of one ring that cross or touch, neighbours apart from their common end; met by grid cells."""
+    low = lambda c: F.floor(F.least(f"{c}1", f"{c}2") / cell)
+    high = lambda c: F.floor(F.greatest(f"{c}1", f"{c}2") / cell)
+    cells = segments.filter("x1 <> x2 OR y1 <> y2").withColumn("cx", F.explode(F.sequence(low("x"), high("x")))).withColumn("cy", F.explode(F.sequence(low("y"), high("y"))))
+    a, b = cells.alias("a"), cells.alias("b")
+    pairs = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("code", "ring", "cx", "cy")]).filter(F.col("a.seq") < F.col("b.seq"))
+    p = {f"{s}{c}": F.col(f"{s}.{c}") for s in "ab" for c in ("x1", "y1", "x2", "y2")}
+    t1 = turn(p["ax1"], p["ay1"], p["ax2"], p["ay2"], p["bx1"], p["by1"])
+    t2 = turn(p["ax1"], p["ay1"], p["ax2"], p["ay2"], p["bx2"], p["by2"])
+    t3 = turn(p["bx1"], p["by1"], p["bx2"], p["by2"], p["ax1"], p["ay1"])
+    t4 = turn(p["bx1"], p["by1"], p["bx2"], p["by2"], p["ax2"], p["ay2"])
+    boxes = (F.least(p["ax1"], p["ax2"]) <= F.greatest(p["bx1"], p["bx2"])) & (F.least(p["bx1"], p["bx2"]) <= F.greatest(p["ax1"], p["ax2"])) & (F.least(p["ay1"], p["ay2"]) <= F.greatest(p["by1"], p["by2"])) & (F.least(p["by1"], p["by2"]) <= F.greatest(p["ay1"], p["ay2"]))
+    # edges in a row share an end; they are at fault only if the second runs back over the first
+    in_row = ((p["ax2"] == p["bx1"]) & (p["ay2"] == p["by1"])) | ((p["bx2"] == p["ax1"]) & (p["by2"] == p["ay1"]))
+    along = (p["ax2"] - p["ax1"]) * (p["bx2"] - p["bx1"]) + (p["ay2"] - p["ay1"]) * (p["by2"] - p["by1"])
+    folded = (t1 == 0) & (t2 == 0) & (t3 == 0) & (t4 == 0) & (along < 0)
+    return pairs.filter(boxes & (t1 * t2 <= 0) & (t3 * t4 <= 0) & (~in_row | folded)).select("a.code", "a.ring", "a.seq", F.col("b.seq").alias("other")).distinct()
 
 
 def undirected(segments: DataFrame) -> DataFrame:
-    a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
-    return segments.withColumns({"p": F.least(a, b), "q": F.greatest(a, b), "ahead": a < b})
+    """segments with their ends in order (px, py, qx, qy), and whether they run that way."""
+    ahead = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
+    pick = lambda a, b: F.when(ahead, F.col(a)).otherwise(F.col(b))
+    return segments.withColumns({"px": pick("x1", "x2"), "py": pick("y1", "y2"), "qx": pick("x2", "x1"), "qy": pick("y2", "y1"), "ahead": ahead})
 
 
 def segment_owners(segments: DataFrame) -> DataFrame:
-    """Each segment once: its ends, owners (joined), number of owners, left and right owner, and a flag for faults.
+    """x1, y1, x2, y2, a, b, n_owners, left_code, right_code, fault: each segment once, with its owners a < b (b null for one owner).
 
-    One shuffle on the segment's integer ends takes the place of testing polygons pairwise.
+    One shuffle on the segment's integer ends takes the place of testing polygons pairwise; codes are digits, so that owners are
+    kept as numbers in fixed-size buffers.  fault: more than two borders, or two on one side.
     """
-    g = undirected(segments).groupBy("p", "q").agg(
-        F.array_sort(F.collect_set("code")).alias("o"), F.count("*").alias("n"),
-        F.max(F.when(F.col("ahead"), F.col("code"))).alias("left_code"), F.max(F.when(~F.col("ahead"), F.col("code"))).alias("right_code"),
+    number = F.col("code").cast("long")
+    g = undirected(segments).groupBy("px", "py", "qx", "qy").agg(
+        F.min(number).alias("a"), F.max(number).alias("b"), F.count("*").alias("n"), F.max(F.length("code")).alias("w"),
+        F.max(F.when(F.col("ahead"), number)).alias("l"), F.max(F.when(~F.col("ahead"), number)).alias("r"),
+    )
+    code = lambda c: F.lpad(F.col(c).cast("string"), F.col("w"), F.lit("0"))
+    several = F.col("a") != F.col("b")
+    fault = (F.col("n") > 2) | ((F.col("n") == 2) & (F.col("l").isNull() | F.col("r").isNull()))
+    return g.select(
+        F.col("px").alias("x1"), F.col("py").alias("y1"), F.col("qx").alias("x2"), F.col("qy").alias("y2"), code("a").alias("a"), F.when(several, code("b")).alias("b"),
+        F.when(several, 2).otherwise(1).cast("long").alias("n_owners"), code("l").alias("left_code"), code("r").alias("right_code"), fault.alias("fault"),
     )
-    return g.select(F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.col("q.x").alias("x2"), F.col("q.y").alias("y2"), F.array_join("o", ",").alias("owners"), F.size("o").cast("long").alias("n_owners"), "left_code", "right_code", ((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("left_code").isNull() | F.col("right_code").isNull()))).alias("fault"))
 
 
 def seg_length() -> Column:
@@ -75,8 +118,13 @@ def seg_length() -> Column:
 
 def adjacency(owners: DataFrame) -> DataFrame:
     """a, b, segments, length: shared border of each pair of neighbours."""
-    rows = owners.filter("n_owners = 2").withColumns({"a": F.split("owners", ",")[0], "b": F.split("owners", ",")[1]})
-    return rows.groupBy("a", "b").agg(F.count("*").alias("segments"), F.round(F.sum(seg_length()), 3).alias("length"))
+    return owners.filter("n_owners = 2").groupBy("a", "b").agg(F.count("*").alias("segments"), F.round(F.sum(seg_length()), 3).alias("length"))
+
+
+def border_saving(owners: DataFrame) -> DataFrame:
+    """stored, perimeters, saved: border length with each border once, of all units' perimeters, and the share that this saves."""
+    found = owners.agg(F.sum(seg_length()).alias("stored"), F.sum(seg_length() * F.col("n_owners")).alias("perimeters"))
+    return found.select(F.round("stored", 3).alias("stored"), F.round("perimeters", 3).alias("perimeters"), F.round(1 - F.col("stored") / F.col("perimeters"), 6).alias("saved"))
 
 
 def arc_types(owners: DataFrame) -> DataFrame:
@@ -86,10 +134,10 @@ def arc_types(owners: DataFrame) -> DataFrame:
 
 
 def dissolve(segments: DataFrame, digits: int) -> DataFrame:
-    """Outer border of the units united by prefix: segments that don't cancel within a parent."""
+    """Outer border of the units united by prefix: segments that don't cancel within a parent; net > 0 runs as given."""
     rows = undirected(segments.withColumn("code", F.substring("code", 1, digits)))
-    net = rows.groupBy("code", "p", "q").agg(F.sum(F.when(F.col("ahead"), 1).otherwise(-1)).alias("net")).filter("net <> 0")
-    return net.select("code", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.col("q.x").alias("x2"), F.col("q.y").alias("y2"), F.col("net").cast("long").alias("net"))
+    net = rows.groupBy("code", "px", "py", "qx", "qy").agg(F.sum(F.when(F.col("ahead"), 1).otherwise(-1)).alias("net")).filter("net <> 0")
+    return net.select("code", F.col("px").alias("x1"), F.col("py").alias("y1"), F.col("qx").alias("x2"), F.col("qy").alias("y2"), F.col("net").cast("long").alias("net"))
 
 
 def closure(children: DataFrame, parents: DataFrame, digits: int) -> DataFrame:
@@ -110,11 +158,16 @@ def bbox_pairs(boxes: DataFrame, cell: int) -> DataFrame:
     return a.join(b, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.code") < F.col("b.code")) & meet).select(F.col("a.code").alias("a"), F.col("b.code").alias("b")).distinct()
 
 
-def points_in_units(points: DataFrame, segments: DataFrame, band: int) -> DataFrame:
-    """id, code of each point in a unit: crossings of a ray to the right, counted over the segments of the point's band."""
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    banded = segments.filter("y1 <> y2").select("code", "x1", "y1", "x2", "y2", F.explode(F.sequence(F.floor(low / band), F.floor(high / band))).alias("b"))
-    rows = points.withColumn("b", F.floor(F.col("y") / band)).join(banded, "b")
+def points_in_units(points: DataFrame, segments: DataFrame, cell: int) -> DataFrame:
+    """id, code of each point in a unit: points meet units by grid cells and bounding boxes, then crossings of a ray to the right are counted.
+
+    cell: about a unit's extent; a unit is placed in all cells of its box.
+    """
+    boxes = segments.groupBy("code").agg(*[F.min(F.least(f"{c}1", f"{c}2")).alias(f"min_{c}") for c in "xy"], *[F.max(F.greatest(f"{c}1", f"{c}2")).alias(f"max_{c}") for c in "xy"])
+    cells = boxes.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell)))).withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))))
+    near = points.select("id", "x", "y", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy")).join(cells, ["cx", "cy"])
+    near = near.filter(F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))).select("id", "x", "y", "code")
+    rows = near.join(segments.select("code", "x1", "y1", "x2", "y2"), "code")
     under = (F.col("y1") <= F.col("y")) != (F.col("y2") <= F.col("y"))  # half-open, so a vertex counts once
     dy = F.col("y2") - F.col("y1")
     side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("x") - F.col("x1")) * dy

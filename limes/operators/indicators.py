@@ -6,25 +6,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limes.functions import columns as C
+from limes.operators.order import numbered
 
 
-def attach_indicator(units: DataFrame, values: DataFrame) -> DataFrame:
+def attach_indicator(units: DataFrame, values: DataFrame | None, areas: DataFrame | None = None) -> DataFrame:
+    """units with value by ubigeo, null where there is none; without values, the units' area (code, area2) is the indicator."""
+    if values is None:
+        values = areas.select(F.col("code").alias("ubigeo"), (F.col("area2") / 2).alias("value"))
     return units.join(values, "ubigeo", "left")
 
 
+def indicator_counts(attached: DataFrame) -> DataFrame:
+    """with_value, without_value: how many units an indicator reaches."""
+    return attached.agg(F.count("value").alias("with_value"), F.count_if(F.col("value").isNull()).alias("without_value"))
+
+
+def ranked(values: DataFrame) -> DataFrame:
+    """measure, value, r (from 0), n: values without nulls in their measure's order; places come from a range partition, so no task holds a measure."""
+    rows = numbered(values.filter("value IS NOT NULL").select("measure", "value"), "measure", "value")
+    ends = rows.groupBy("measure").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    return rows.join(F.broadcast(ends), "measure").select("measure", "value", (F.col("place") - F.col("first")).alias("r"), "n")
+
+
+def at_places(values: DataFrame, k: int, whole: bool) -> DataFrame:
+    """measure, i, low, high, share: the values around the place i / k of the way, and how far it lies between them; whole places only if so asked."""
+    rows = ranked(values)
+    places = rows.select("measure", "n").distinct().select("measure", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("i"), "n")
+    exact = F.col("i") * (F.col("n") - 1)
+    places = places.select("measure", "i", F.floor(exact / k).cast("long").alias("r"), (F.lit(0.0) if whole else exact / k - F.floor(exact / k)).alias("share"))
+    each = places.select("measure", "i", "share", F.explode(F.array(F.struct("r", F.lit(0).alias("up")), F.struct((F.col("r") + 1).alias("r"), F.lit(1).alias("up")))).alias("x")).select("measure", "i", "share", "x.r", "x.up")
+    met = rows.join(F.broadcast(each), ["measure", "r"])
+    return met.groupBy("measure", "i", "share").agg(F.max(F.when(F.col("up") == 0, F.col("value"))).alias("low"), F.max(F.when(F.col("up") == 1, F.col("value"))).alias("high"))
+
+
 def quantile_cuts(values: DataFrame, k: int = 6) -> DataFrame:
     """measure, cuts: k + 1 exact quantiles, linear between values, without repeats."""
-    shares = F.array(*[F.lit(i / k) for i in range(k + 1)])
-    return values.groupBy("measure").agg(F.array_distinct(F.percentile("value", shares)).alias("cuts"))
+    cut = F.when(F.col("share") > 0, F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).otherwise(F.col("low"))
+    lists = at_places(values, k, False).groupBy("measure").agg(F.array_sort(F.collect_list(F.struct("i", cut.alias("cut")))).alias("c"))
+    return lists.select("measure", F.array_distinct(F.transform("c", lambda x: x["cut"])).alias("cuts"))
 
 
 def rank_cuts(values: DataFrame, k: int = 6) -> DataFrame:
     """measure, i, cut: the value at place floor(i / k * (n - 1)) of the ordered values."""
-    rows = values.filter("value IS NOT NULL")
-    n = rows.groupBy("measure").agg(F.count("*").alias("n"))
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("measure").orderBy("value")) - 1)
-    places = n.select("measure", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("i"), "n").withColumn("r", F.floor(F.col("i") * (F.col("n") - 1) / k).cast("int"))
-    return places.join(ranked, ["measure", "r"]).select("measure", "i", F.col("value").alias("cut"))
+    return at_places(values, k, True).select("measure", "i", F.col("low").alias("cut"))
 
 
 def assign_class(values: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -44,8 +68,10 @@ def focus_table(values: DataFrame, focus: str) -> DataFrame:
 
 
 def children_of(units: DataFrame, focus: str) -> DataFrame:
+    """ubigeo, nombre of the next level under focus, by name without accents; a blank name falls back to the code."""
     below = units.filter(F.col("ubigeo").startswith(focus) & (F.length("ubigeo") == len(focus) + 2))
-    return below.select("ubigeo", C.coalesce_blank(F.col("nombre"), F.col("ubigeo")).alias("nombre")).distinct()
+    named = below.select("ubigeo", C.coalesce_blank(F.col("nombre"), F.col("ubigeo")).alias("nombre")).distinct()
+    return named.orderBy(C.normalize_name(F.col("nombre")), "ubigeo")
 
 
 def long_measures(wide: DataFrame, *measures: str) -> DataFrame:
@@ -54,9 +80,18 @@ def long_measures(wide: DataFrame, *measures: str) -> DataFrame:
     return text.unpivot("ubigeo", list(measures), "measure", "t").withColumn("value", F.col("t").try_cast("double")).filter("value IS NOT NULL").select("measure", "ubigeo", "value")
 
 
-def indicator_json(values: DataFrame) -> DataFrame:
-    """measure, json: level -> code -> value, keys in order, nulls kept."""
+def indicator_lines(values: DataFrame, parent: int = 2) -> DataFrame:
+    """measure, level, parent, json: code -> value of the units under each parent (first digits of their codes), keys in order, nulls kept.
+
+    A line holds the units of one parent, so its size doesn't grow with the number of units in all.
+    """
     level = F.element_at(F.create_map(F.lit(2), F.lit("departamento"), F.lit(4), F.lit("provincia"), F.lit(6), F.lit("distrito")), F.length("ubigeo"))
-    inner = values.groupBy("measure", level.alias("level")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ubigeo", F.round("value", 2))))).alias("m"))
-    parts = inner.groupBy("measure").agg(F.array_sort(F.collect_list(F.struct("level", F.to_json("m", {"ignoreNullFields": "false"}).alias("j")))).alias("x"))
-    return parts.select("measure", F.concat(F.lit("{"), F.array_join(F.transform("x", lambda e: F.concat(F.lit('"'), e.level, F.lit('":'), e.j)), ","), F.lit("}")).alias("json"))
+    inner = values.groupBy("measure", level.alias("level"), F.substring("ubigeo", 1, parent).alias("parent")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ubigeo", F.round("value", 2))))).alias("m"))
+    return inner.select("measure", "level", "parent", F.to_json("m", {"ignoreNullFields": "false"}).alias("json"))
+
+
+def indicator_json(values: DataFrame) -> DataFrame:
+    """measure, json: level -> code -> value in one document, for publication: it is put together from the lines of indicator_lines, so it is as long as they are."""
+    parts = indicator_lines(values).groupBy("measure", "level").agg(F.array_sort(F.collect_list(F.struct("parent", F.expr("substring(json, 2, length(json) - 2)").alias("j")))).alias("x"))
+    levels = parts.select("measure", F.struct("level", F.array_join(F.transform("x", lambda e: e["j"]), ",").alias("j")).alias("l")).groupBy("measure").agg(F.array_sort(F.collect_list("l")).alias("x"))
+    return levels.select("measure", F.concat(F.lit("{"), F.array_join(F.transform("x", lambda e: F.concat(F.lit('"'), e["level"], F.lit('":{'), e["j"], F.lit("}"))), ","), F.lit("}")).alias("json"))

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bearings as steps east and north. Fixed values.
-BEARINGS = {"N": (0, 1), "NE": (1, 1), "E": (1, 0), "SE": (1, -1), "S": (0, -1), "SO": (-1, -1), "O": (-1, 0), "NO": (-1, 1)}
+BEARINGS = {"norte": (0, 1), "noreste": (1, 1), "este": (1, 0), "sureste": (1, -1), "sur": (0, -1), "suroeste": (-1, -1), "oeste": (-1, 0), "noroeste": (-1, 1)}
 
 
 def bearing_vector(bearing: Column, dx: Column, dy: Column) -> Column:
     """struct(x, y) of length 1 for one of eight bearings; a null bearing goes on in the direction dx, dy. Null if there is none."""
-    steps = F.create_map(*[v for name, (x, y) in BEARINGS.items() for v in (F.lit(name), F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")))])
-    step = F.try_element_at(steps, bearing)
-    x, y = F.when(bearing.isNull(), dx).otherwise(step["x"]), F.when(bearing.isNull(), dy).otherwise(step["y"])
-    length = F.hypot(x, y)
-    return F.when(length > 0, F.struct((x / length).alias("x"), (y / length).alias("y")))
+    unit = lambda x, y: F.struct(F.lit(x / math.hypot(x, y)).alias("x"), F.lit(y / math.hypot(x, y)).alias("y"))
+    steps = F.create_map(*[v for name, (x, y) in BEARINGS.items() for v in (F.lit(name), unit(x, y))])
+    length = F.hypot(dx, dy)
+    straight = F.when(length > 0, F.struct((dx / length).alias("x"), (dy / length).alias("y")))
+    return F.when(bearing.isNull(), straight).otherwise(F.try_element_at(steps, bearing))
 
 
 def point_arc_distance(points: DataFrame, owners: DataFrame) -> DataFrame:
@@ -23,7 +25,7 @@ def point_arc_distance(points: DataFrame, owners: DataFrame) -> DataFrame:
 
     A pair without a common border keeps its row, with nulls for the distances.
     """
-    shared = owners.filter("n_owners = 2").select(F.split("owners", ",")[0].alias("a"), F.split("owners", ",")[1].alias("b"), "x1", "y1", "x2", "y2")
+    shared = owners.filter("n_owners = 2").select("a", "b", "x1", "y1", "x2", "y2")
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     along = F.try_divide((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy, dx * dx + dy * dy)
     t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(along, F.lit(0.0))))
@@ -36,7 +38,8 @@ def point_arc_distance(points: DataFrame, owners: DataFrame) -> DataFrame:
 def ray_exits(rays: DataFrame, segments: DataFrame) -> DataFrame:
     """id, hits, distance, ray_x, ray_y: how often each ray (id, code, x, y, dx, dy) meets the border of its unit, and its farthest hit.
 
-    Segments are half-open, so a vertex counts once.  A ray that meets nothing has 0 hits.
+    Segments are half-open, so a vertex counts once.  A ray that meets nothing has 0 hits.  With a column `most`, only hits within
+    that distance count.
     """
     ray, seg = rays.alias("r"), segments.alias("s")
     ex, ey = F.col("s.x2") - F.col("s.x1"), F.col("s.y2") - F.col("s.y1")
@@ -46,7 +49,7 @@ def ray_exits(rays: DataFrame, segments: DataFrame) -> DataFrame:
     # sides of the ray's line on which the segment's ends lie, in the arithmetic of the input: exact on integers
     side1 = F.col("r.dx") * wy - F.col("r.dy") * wx >= 0
     side2 = F.col("r.dx") * (F.col("s.y2") - F.col("r.y")) - F.col("r.dy") * (F.col("s.x2") - F.col("r.x")) >= 0
-    met = ray.join(seg, F.col("r.code") == F.col("s.code")).filter((side1 != side2) & (t > 0)).select(F.col("r.id").alias("id"), t.alias("t"))
+    met = ray.join(seg, F.col("r.code") == F.col("s.code")).filter((side1 != side2) & (t > 0) & ((t * F.hypot("r.dx", "r.dy") <= F.col("r.most")) if "most" in rays.columns else F.lit(True))).select(F.col("r.id").alias("id"), t.alias("t"))
     far = met.groupBy("id").agg(F.count("*").alias("hits"), F.max("t").alias("t"))
     out = rays.join(far, "id", "left")
     return out.select("id", F.coalesce("hits", F.lit(0)).cast("long").alias("hits"), (F.col("t") * F.hypot("dx", "dy")).alias("distance"), (F.col("x") + F.col("t") * F.col("dx")).alias("ray_x"), (F.col("y") + F.col("t") * F.col("dy")).alias("ray_y"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +35,27 @@ def read_retired(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("ubigeo", pad_code(F.trim("ubigeo"), 6))
 
 
+#: A law entry: who it is, what is known of its code, and the line that cuts it from its parent.
+LAW = (
+    "nombre string, ley string, fecha_creacion string, fecha_promulgacion string, pdf string, capital string, departamento string, provincia string, ubigeo string, ubigeo_oficial_confirmado string, padre string, "
+    "confianza string, metodo string, advertencia string, corte struct<crs: string, puntos: array<array<double>>, prolongar_inicio: struct<rumbo: string, max_m: double>, prolongar_final: struct<rumbo: string, max_m: double>, "
+    "punto_interior: array<double>, verificacion_tramos_reusados: array<struct<nombre: string, contra: string, tipo: string, decision: string, puntos: array<array<double>>>>>"
+)
+
+
+def read_law_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Law entries from JSON files, an entry per line or an array of them; what an entry lacks is null."""
+    return spark.read.json(path, schema=LAW, multiLine=False, mode="FAILFAST")
+
+
+def law_lines(entries: DataFrame) -> DataFrame:
+    """entry, code, points, bearings and reaches of law entries' lines, as build_cut_lines takes them, and px, py."""
+    cut = lambda c: F.col(f"corte.{c}")
+    points = F.transform(cut("puntos"), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    ends = [cut(f"{a}.{b}").alias(c) for a, b, c in (("prolongar_inicio", "rumbo", "start_bearing"), ("prolongar_inicio", "max_m", "start_max"), ("prolongar_final", "rumbo", "end_bearing"), ("prolongar_final", "max_m", "end_max"))]
+    return entries.select(F.col("ley").alias("entry"), F.col("padre").alias("code"), points.alias("points"), *ends, F.get(cut("punto_interior"), F.lit(0)).alias("px"), F.get(cut("punto_interior"), F.lit(1)).alias("py"))
+
+
 def read_census_rows(spark: SparkSession, path: str, columns: int = 10) -> DataFrame:
     """source, row_idx, cells: rows in file order, numbered within each file."""
     schema = ", ".join(f"c{k} string" for k in range(columns))
@@ -48,3 +72,20 @@ def write_table_csv(df: DataFrame, path: str, code: str = "ubigeo") -> None:
 def write_layers(df: DataFrame, path: str) -> None:
     """A folder per level."""
     df.write.mode("overwrite").partitionBy("nivel").parquet(path)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in spark.checkpoint.dir; only a session on this machine alone may use a temporary one."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors see")
+        base = tempfile.mkdtemp(prefix="limes-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in a scratch folder; what is built on it starts from there."""
+    path = scratch_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,16 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from limes.operators.watch import watch_alerts
 
 
 def watch_stream(spark: SparkSession, folder: str, schema: str, out: str, checkpoint: str, entries: DataFrame, catalogue: DataFrame, declared: DataFrame, expected: int) -> StreamingQuery:
-    """Each micro-batch is one file, so one snapshot; its alerts overwrite the folder of its number, so a repeated batch changes nothing."""
-    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    """Alerts of each snapshot (column snapshot of the arriving rows) under out/alerts/snapshot=..., for rows in any number of files and batches.
+
+    Each batch adds its rows to out/rows and judges the snapshots that it touches anew, as far as they have arrived; the rows of a batch
+    overwrite the folder of its number and alerts that of their snapshot, so a repeated batch changes nothing.
+    """
+    arriving = spark.readStream.schema(schema).parquet(folder)
 
     def alerts(batch: DataFrame, number: int) -> None:
-        watch_alerts(batch, entries, catalogue, declared, expected).write.mode("overwrite").parquet(f"{out}/snapshot={number}")
+        session = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+        rows = session.read.schema(f"{schema}, batch long").parquet(f"{out}/rows").filter(F.col("batch") <= number)
+        for touched in session.read.schema(schema).parquet(f"{out}/rows/batch={number}").select("snapshot").distinct().collect():
+            one = rows.filter(F.col("snapshot") == touched.snapshot)
+            watch_alerts(one, entries, catalogue, declared, expected).write.mode("overwrite").parquet(f"{out}/alerts/snapshot={touched.snapshot}")
 
     return arriving.writeStream.foreachBatch(alerts).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

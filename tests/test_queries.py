@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in ("region", "nation", "customer", "events", "pages"):
+    for t in ("region", "nation", "customer", "orders", "events", "pages"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     return c
 
