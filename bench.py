@@ -13,7 +13,7 @@ from limes.operators import geometry
 from limes.plans import frames
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-HEADLINES = ("roll_up", "census_match", "catalogue_rows", "reconcile_codes", "quantile_cuts", "assign_class", "segment_owners", "adjacency", "dissolve", "bbox_pairs", "points_in_units")
+HEADLINES = ("roll_up", "census_match", "catalogue_rows", "reconcile_codes", "quantile_cuts", "assign_class", "segment_owners", "adjacency", "dissolve", "bbox_pairs", "points_in_units", "closure_diff", "resolve_codes")
 
 
 def main() -> None:

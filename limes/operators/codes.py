@@ -88,12 +88,14 @@ def official_codes(catalogue: DataFrame) -> DataFrame:
 def resolve_codes(entries: DataFrame, catalogue: DataFrame, districts: DataFrame, retired: DataFrame) -> DataFrame:
     """Codes of new districts: forced, else official by (province, name) or declared as such, else by rule; one entry follows another.
 
-    entries: entry (order), prov, nombre, forced, declared.  Returns entry, prov, nombre, code, rule, origin, provisional and status.
+    entries: entry (order), prov, nombre, forced and, if there is one, declared.  Returns entry, prov, nombre, code, rule, origin, provisional and status.
     The rule is one past the largest code of the province and of the entries before.  With R the number of ruled entries so far and g the
     sequences given so far, the largest is R + max(top, g - R at each given entry), so two running windows replace the loop.
     """
     from pyspark.sql import Window
 
+    if "declared" not in entries.columns:
+        entries = entries.withColumn("declared", F.lit(None).cast("string"))
     top = districts.groupBy(F.substring("ubigeo", 1, 4).alias("prov")).agg(F.max(F.substring("ubigeo", 5, 2).cast("int")).alias("top"))
     rows = entries.withColumn("name", C.normalize_name(F.col("nombre"))).join(official_codes(catalogue), ["prov", "name"], "left").join(top, "prov", "left")
     rows = rows.withColumn("confirmed", F.coalesce("official", "declared")).withColumn("given", F.coalesce("forced", "confirmed"))

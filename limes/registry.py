@@ -635,11 +635,11 @@ def bearing_vector(s, d):
     return e.select("event_id", "bearing", F.round(v["x"], 9).alias("x"), F.round(v["y"], 9).alias("y"))
 
 
-@query(f"SELECT code AS id, seq, j, round(x1 + (x2 - x1) * j / n, 6) AS x, round(y1 + (y2 - y1) * j / n, 6) AS y FROM (SELECT *, unnest(range(n)) AS j FROM (SELECT *, greatest(1, ceil({_LEN} / 300))::bigint AS n FROM seg)) UNION ALL SELECT code, 16, 0, x2::double, y2::double FROM seg WHERE seq = 15")
+@query(f"SELECT code AS id, seq, j, round(x1 + (x2 - x1) * j / n, 6) AS x, round(y1 + (y2 - y1) * j / n, 6) AS y FROM (SELECT *, unnest(range(n)) AS j FROM (SELECT *, greatest(1, ceil({_LEN} / 700))::bigint AS n FROM seg)) UNION ALL SELECT code, 16, 0, x2::double, y2::double FROM seg WHERE seq = 15")
 def densify(s, d):
-    """Outlines with a point each 300 units."""
+    """Outlines with a point each 700 units."""
     lines = _segments(s, d).select(F.col("code").alias("id"), "seq", "x1", "y1", "x2", "y2")
-    found = geometry.densify(lines, 300)
+    found = geometry.densify(lines, 700)
     return found.select("id", F.col("seq").cast("long").alias("seq"), F.col("j").cast("long").alias("j"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 

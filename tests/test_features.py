@@ -48,7 +48,7 @@ def test_registry_rows(spark):
 
 
 def test_bearings(spark):
-    rows = spark.createDataFrame([("NE", 0.0, 0.0), (None, 3.0, 4.0), (None, 0.0, 0.0), ("X", 1.0, 1.0)], "b string, x double, y double")
+    rows = spark.createDataFrame([("noreste", 0.0, 0.0), (None, 3.0, 4.0), (None, 0.0, 0.0), ("X", 1.0, 1.0)], "b string, x double, y double")
     got = [r[0] and (round(r[0].x, 6), round(r[0].y, 6)) for r in rows.select(rays.bearing_vector(F.col("b"), F.col("x"), F.col("y"))).collect()]
     assert got == [(round(math.sqrt(0.5), 6),) * 2, (0.6, 0.8), None, None]
 
