@@ -13,8 +13,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from limes.llm.common import columns, map_batches, prepare
+from limes.llm.common import map_batches, prepare
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -30,17 +31,23 @@ LOOKALIKES = dict(zip("аеорсухіјѕԁһ" + "АВЕКМНОРСТХІЈЅ
 
 
 @lru_cache(maxsize=1)
-def lookalikes() -> tuple[dict[int, str], re.Pattern]:
-    """Look-alike letters, full-width ASCII and the decimal digits of other scripts, and a pattern that finds any."""
+def lookalikes() -> dict[int, str]:
+    """Look-alike letters, full-width ASCII, letters that are ASCII ones but for their style, and the decimal digits of all scripts."""
     table = {ord(a): b for a, b in LOOKALIKES.items()}
     table |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
-    table |= {c: str(d) for c in range(0x80, 0x20000) if c not in table and (d := unicodedata.decimal(chr(c), None)) is not None}
-    return table, re.compile("[" + "".join(map(chr, sorted(table))) + "]")
+    for c in range(0x80, 0x20000):
+        if c not in table:
+            plain = unicodedata.normalize("NFKC", chr(c))
+            if (d := unicodedata.decimal(chr(c), None)) is not None:
+                table[c] = str(d)
+            elif len(plain) == 1 and plain.isascii() and plain.isalpha():
+                table[c] = plain
+    return table
 
 
 NAMES = "|".join(SPELLED)
-RUN = re.compile(rf"(?<![A-Za-z])(?:{NAMES})(?![A-Za-z])(?:[ ,-]{{1,2}}(?:{NAMES})(?![A-Za-z]))*+", re.I)
-NAME = re.compile(rf"({NAMES})(?:[ ,-]{{1,2}}(?={NAMES}))?", re.I)
+RUN = re.compile(rf"(?<![A-Za-z])(?:{NAMES})(?![A-Za-z])(?:[ ,-]{{1,2}}(?:{NAMES})(?![A-Za-z]))*+", re.I | re.A)
+NAME = re.compile(rf"({NAMES})(?:[ ,-]{{1,2}}(?={NAMES}))?", re.I | re.A)
 #: What a single spelled digit must adjoin, before it and after it.
 BEFORE = re.compile(r"(?:[0-9+.]|(?<![A-Za-z])dot)[ ,()\[\]{}<>-]{0,3}\Z", re.I)
 AFTER = re.compile(r"[ ,()\[\]{}<>-]{0,3}(?:[0-9+.]|dot(?![A-Za-z]))", re.I)
@@ -120,8 +127,8 @@ def spelled_runs(text: str) -> Iterator[tuple[int, int]]:
 
 def disguised(text: str) -> Tape | None:
     """The text after all transducers, or None if none of them applies."""
-    table, any_of = lookalikes()
-    folded = None if text.isascii() or not any_of.search(text) else text.translate(table)
+    table = lookalikes()
+    folded = None if text.isascii() or table.keys().isdisjoint(map(ord, set(text))) else text.translate(table)
     plain_text = folded or text
     low = plain_text.lower() if plain_text.isascii() else plain_text.casefold()
     spelled = list(spelled_runs(plain_text)) if any(x in low for x in SPELLED) else []
@@ -171,8 +178,8 @@ def redacted(text: str, found: list[tuple[str, int, int]]) -> str:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: id, base_spans, spans (kind:start:end, comma-joined), counts of the base spans, redacted text.
 
-    A null text counts as empty and has no spans; rows with null or repeated ids are searched like others.  Columns
-    besides id and text are left out; an empty table gives an empty result.
+    A null text counts as empty and has no spans; rows with null or repeated ids are searched like others.  Texts of any length are
+    searched whole.  Columns besides id and text are left out, whatever their names; an empty table gives an empty result.
     """
 
     def run(rows: dict[str, list]) -> dict[str, object]:
@@ -184,7 +191,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return out
 
     prepare(docs.sparkSession)
-    source = columns(docs.withColumnsRenamed({id_col: "id", text_col: "text"}) if id_col != "id" else docs, id="long", text="string")
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return map_batches(source, run, ", ".join(f"n_{k} long" for k in KINDS) + ", base_spans string, spans string, redacted string", "id").withColumnRenamed("id", id_col)
 
 
