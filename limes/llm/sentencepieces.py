@@ -17,8 +17,9 @@ import ahocorasick
 import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from limes.llm.common import columns, map_batches, prepare
+from limes.llm.common import map_batches, prepare
 
 SPACE = "▁"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ"
@@ -69,8 +70,8 @@ class PrefixTable:
         self.chunks = Chunks(self.ids)
 
     def name(self, token: int) -> str:
-        """Characters outside the vocabulary are tokens too: the negated code point."""
-        return self.text_of[token] if token >= 0 else chr(-token)
+        """Characters outside the vocabulary are tokens too: the code point's complement."""
+        return self.text_of[token] if token >= 0 else chr(~token)
 
     def merged(self, text: str) -> list[int]:
         """Ids of a few characters by merging the best pair, leftmost first, again and again."""
@@ -84,7 +85,7 @@ class PrefixTable:
                 pairs[k - 1] = rank(parts[k - 1] + parts[k], NEVER)
             if k < len(pairs):
                 pairs[k] = rank(parts[k] + parts[k + 1], NEVER)
-        return [self.pieces.get(s, -ord(s[0])) for s in parts]
+        return [self.pieces.get(s, ~ord(s[0])) for s in parts]
 
     def fits(self, before: int, token: int) -> bool:
         """Whether token stands unmerged after before (0: at the start)."""
@@ -104,7 +105,7 @@ class PrefixTable:
         if not self.characters.issuperset(text):
             for k, c in enumerate(text):
                 if c not in self.characters:  # no piece, so a token of its own unless a longer piece holds it
-                    last[k + 1] = -ord(c)
+                    last[k + 1] = ~ord(c)
         known, fits = self.compatible, self.fits
         for end, (length, token) in self.automaton.iter(text):
             end += 1
@@ -134,7 +135,7 @@ class PrefixTable:
             if token >= 0:
                 back.append(token)
             else:
-                back.extend(self.bytes[b] for b in reversed(chr(-token).encode()))
+                back.extend(self.bytes[b] for b in reversed(chr(~token).encode()))
             at -= size[at]
         return back[::-1]
 
@@ -153,7 +154,7 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """Per row of docs: id, n_tokens, ids_le (the ids, little-endian unsigned 32 bit) and decoded.
 
     A null text is encoded as the empty one: begin and end id only.  Ids may be null or repeated: every row is encoded
-    by itself.  Other columns are left out; an empty table gives an empty result.  model is a path on every executor.
+    by itself, texts of any length whole.  Other columns, whatever their names, are left out; an empty table gives an empty result.  model is a path on every executor.
     """
 
     def run(rows: dict[str, list]) -> dict[str, object]:
@@ -165,5 +166,5 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         return {"n_tokens": [len(b) // 4 for b in ids], "ids_le": ids, "decoded": decoded}
 
     prepare(docs.sparkSession)
-    source = columns(docs.withColumnsRenamed({id_col: "id", text_col: "text"}) if (id_col, text_col) != ("id", "text") else docs, id="long", text="string")
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return map_batches(source, run, "n_tokens long, ids_le binary, decoded string", "id").withColumnRenamed("id", id_col)
