@@ -82,9 +82,11 @@ def few(ids: DataFrame) -> DataFrame:
 def join_counted(rows: DataFrame, counted: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
     """rows joined by key to counted, a cut table with a row per key and n, the number of rows that have it, of total rows in all.
 
-    Hot keys are looked up where the rows are (HOT keys are broadcast at most), so no task gets a hot key's rows; the
-    other keys are joined by a shuffle.
+    A small table is broadcast.  Of a large one hot keys are looked up where the rows are (HOT keys are broadcast at most), so no task
+    gets a hot key's rows; the other keys are joined by a shuffle.
     """
+    if counted.count() <= SMALL_ROWS:
+        return rows.join(F.broadcast(counted), key)
     hot = F.col(n) * HOT >= total
     many = F.broadcast(counted.filter(hot))
     rest = rows.join(F.broadcast(counted.filter(hot).select(key)), key, "left_anti")

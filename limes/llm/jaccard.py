@@ -5,14 +5,15 @@ its group counts, and the sum of the coordinate-wise minima of two points bounds
 
 Points are stored under keys, so that two documents whose similarity reaches t share a key.  The keys are a document's
 KEYS smallest shingle hashes (fewer for small sets, where the prefix filter is exact); two documents that are similar
-share none of them with a chance of (1 - t) ** KEYS over the hash, 7e-12 here.  A shingle that is such a key of over COMMON documents is no key;
+share none of them with a chance of (1 - t) ** KEYS over the hash, 7e-12 here.  With keys = None the keys are the whole prefix, for
+which this chance is nil, for some five times the entries.  A shingle that is such a key of over COMMON documents is no key;
 the documents that hold it get the whole prefix of their set instead, in an order that puts rare shingles
 first (by a count sketch of all these documents), for which the prefix filter is exact.  The place of a key in this
 order is kept: what stands before the first common key is not shared, which bounds the intersection of documents that
 have little but a common passage.  Under each key
 stands an R-tree of two levels: leaves of points that are known to hang together, with their bounding boxes, and
 points.  Leaf pairs are pruned by the minima of their upper corners, then pairs of points; the pairs left are verified
-on the sets themselves.  Before that, each point is verified against one hub of its key (and, under keys with many
+on the sets themselves.  The leaves of a key are dealt into blocks, so that pairs of blocks are tasks of bounded size.  Before that, each point is verified against one hub of its key (and, under keys with many
 parts left, against hubs drawn by hash, so that keys of one group differ), so that a group of
 near copies hangs together after as many checks as it has members, and its own leaf pairs fall away.
 """
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import columns, cut, few, prepare, stored
+from limes.llm.common import cut, few, join_counted, prepare, stored
 from limes.llm.graph import components
 
 WORDS = 5
@@ -39,6 +40,8 @@ GROUPS = 64
 #: Group counts are small integers; sets of over MOST shingles are not pruned by them.
 MOST = (1 << 15) - 1
 LEAF = 64
+#: Leaves of a key that go to one block, about.
+BLOCK = 512
 #: Rounds of hubs drawn by hash (a second one joined nothing more), for keys with over PARTS parts.
 HUBS = 1
 PARTS = 16
@@ -116,7 +119,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def points(docs: DataFrame) -> DataFrame:
+def points(docs: DataFrame, most_keys: int | None) -> DataFrame:
     """doc_id, n, set_hash, keys and group counts of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +129,7 @@ def points(docs: DataFrame) -> DataFrame:
                 s = shingles(text)
                 n.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()))
-                keys.append(s[: min(KEYS, prefix(len(s)))].view(np.int64))
+                keys.append(s[: prefix(len(s)) if most_keys is None else min(most_keys, prefix(len(s)))].view(np.int64))
                 grid[i] = np.minimum(np.bincount((mixed(s) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), MOST)
             counts = pa.ListArray.from_arrays(np.arange(0, grid.size + 1, GROUPS, dtype=np.int32), pa.array(grid.ravel()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), counts], ["doc_id", "n", "set_hash", "keys", "counts"])
@@ -175,6 +178,18 @@ def boxes_of(placed: DataFrame) -> DataFrame:
     return points.withColumn("counts", corner).drop("all")
 
 
+def leaf_pairs(boxes: DataFrame) -> DataFrame:
+    """key, pa, la, pb, lb: pairs of leaves of one key, but of different parts, that may hold similar sets."""
+    sizes = stored(boxes.groupBy("key").agg(F.count("*").alias("leaves")).withColumn("m", F.ceil(F.col("leaves") / BLOCK)))
+    total = sizes.agg(F.sum("leaves")).first()[0] or 0
+    dealt = join_counted(boxes, sizes, "key", total, "leaves").withColumn("block", F.pmod(F.xxhash64("part", "leaf"), F.col("m")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    x, y = dealt.alias("x"), dealt.alias("y")
+    met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]).filter((F.col("x.i") == F.col("x.j")) | (F.col("x.block") != F.col("y.block")))
+    near = met.filter((F.col("x.part") < F.col("y.part")) & similar_sizes("x", "y") & reach("x", "y") & bound("x", "y"))
+    return near.select(F.col("x.key").alias("key"), F.col("x.part").alias("pa"), F.col("x.leaf").alias("la"), F.col("y.part").alias("pb"), F.col("y.leaf").alias("lb"))
+
+
 def hub_pairs(entries: DataFrame, hubs: DataFrame, p: DataFrame) -> DataFrame:
     """a, b: each hub (key, h: doc_id, n, pos) with the entries of its key that it may be similar to."""
     e, h = entries.withColumn("nmax", F.col("n")).alias("e"), hubs.select("key", "h.*").withColumn("nmax", F.col("n")).alias("h")
@@ -201,20 +216,25 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return both.filter(common * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: int | None = KEYS) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included).
 
-    Texts that are null or hold no word have no shingles and are linked with nothing.  A null id is no node: its row has
-    its n_shingles and a null component.  Rows that repeat an id are one node; if their sets differ, the one with the
-    smallest hash is compared (and copies of each are linked).  Other columns are left out; an empty table gives an empty result.
+    Texts that are null or hold no word have no shingles and are linked with nothing; texts of any length are cut into shingles
+    whole.  A null id is no node: its row has its n_shingles and a null component.  Rows that repeat an id are one node; if their sets differ,
+    copies of each are linked to it, and the one with the smallest hash is compared with sets that are no copies, unless another id
+    stands for it.  Other columns, whatever their names, are left out; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
-    docs = columns(docs.withColumnsRenamed({id_col: "doc_id", text_col: "text"}) if id_col != "doc_id" else docs, doc_id="long", text="string")
-    all_points = cut(points(docs))
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    all_points = cut(points(docs, keys))
     nodes = all_points.filter("n > 0 AND doc_id IS NOT NULL")
+    # ids with several sets; a set that other ids have too is better represented by one of them
+    odd = stored(nodes.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).filter("a <> b").select("doc_id", F.lit(True).alias("odd")))
+    marked = nodes.select("doc_id", "set_hash").join(few(odd), "doc_id", "left").withColumn("odd", F.col("odd").isNotNull())
     # equal sets: one document stands for all
-    same = cut(nodes.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    copies = nodes.select("doc_id", "set_hash").join(same.filter("copies > 1"), "set_hash").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    same = cut(marked.groupBy("set_hash").agg(F.min(F.struct("odd", "doc_id"))["doc_id"].alias("rep"), F.count("*").alias("n")))
+    number = same.agg(F.sum("n")).first()[0] or 0
+    copies = join_counted(nodes.select("doc_id", "set_hash"), same.filter("n > 1"), "set_hash", number).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     once = same.groupBy(F.col("rep").alias("doc_id")).agg(F.min("set_hash").alias("chosen"))
     alone = cut(nodes.join(once, "doc_id").filter("set_hash = chosen").drop("chosen").dropDuplicates(["doc_id"]).withColumn("nmax", F.col("n")))
     p = alone.drop("keys", "set_hash")
@@ -246,10 +266,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = known.join(sizes, ["key", "part"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / LEAF)))
     placed = cut(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", "counts"))
     boxes = cut(boxes_of(placed))
-    x, y = boxes.alias("x"), boxes.alias("y")
-    leaves = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & similar_sizes("x", "y") & reach("x", "y") & bound("x", "y")).select(F.col("x.key").alias("key"), F.col("x.part").alias("pa"), F.col("x.leaf").alias("la"), F.col("y.part").alias("pb"), F.col("y.leaf").alias("lb"))
+    leaves = leaf_pairs(boxes)
     u, v = placed.alias("u"), placed.alias("v")
-    near = leaves.join(u, (F.col("u.key") == leaves.key) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == leaves.key) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))
+    near = leaves.alias("l").join(u, (F.col("u.key") == F.col("l.key")) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == F.col("l.key")) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))
     rest = stored(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct())
     links = links.unionByName(verified(rest, docs, alone)).unionByName(copies)
     found = components(links).withColumnRenamed("id", "doc_id")

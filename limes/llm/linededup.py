@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import SMALL_ROWS, columns, join_counted, prepare, stored
+from limes.llm.common import columns, join_counted, prepare, stored
 
 SITES = 3
 LG_K = 10
@@ -52,9 +52,8 @@ def boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
 
 
 def at_keys(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows joined to found (key, n and more; cut) by key: broadcast if found is small, else hot keys alone are."""
-    number, total = found.agg(F.count("*"), F.sum("n")).first()
-    return rows.join(F.broadcast(found), "key") if number <= SMALL_ROWS else join_counted(rows, found, "key", total)
+    """rows joined to found (key, n and more; cut) by key, hot or not."""
+    return join_counted(rows, found, "key", found.agg(F.sum("n")).first()[0] or 0)
 
 
 def removals(docs: DataFrame, sites: int = SITES) -> DataFrame:
