@@ -79,5 +79,57 @@ SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, md5(coalesce(string_ag
 """
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _licence_sql() -> str:
+    rows = []
+    for k, (phrase, label, kind, key) in enumerate([(p, x, "base", p) for p, x in licenses.BASE.items()] + [(p, x, "more", key) for p, (x, key) in licenses.MORE.items()]):
+        ws, ks = phrase.split(), key.split()
+        rows.append(f"({k}, '{phrase}', '{label}', '{kind}', '{key}', {next(j for j in range(len(ws)) if ws[j : j + len(ks)] == ks)})")
+    return f"""
+WITH t AS (SELECT *, string_split(phrase, ' ') AS tw, string_split(key, ' ') AS kw FROM (VALUES {', '.join(rows)}) x(template, phrase, label, kind, key, b)),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM w),
+pl AS (SELECT template, unnest(tw) AS word, generate_subscripts(tw, 1) - 1 AS place FROM t),
+s AS (SELECT doc_id, template, pos - place AS start, count(*) AS n FROM p JOIN pl USING (word) GROUP BY ALL),
+m AS (SELECT s.doc_id, s.start, label, kind, n / len(tw) AS share FROM s JOIN t USING (template) JOIN w USING (doc_id) WHERE start + b >= 0 AND ws[start + b + 1 : start + b + len(kw)] = kw)
+SELECT doc_id, max(len(ws)) AS n_words, count(*) FILTER (WHERE kind = 'base') AS n_base, min(start) FILTER (WHERE kind = 'base') AS first_word, max(start) FILTER (WHERE kind = 'base') AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE kind = 'base'), '') AS base_labels, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0) AS score
+FROM w LEFT JOIN m USING (doc_id) GROUP BY doc_id
+"""
+
+
+LICENCE_SQL = _licence_sql()
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::bigint AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+v AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first, list_transform(range(8), lambda k: list_sum(list_transform(range(5), lambda j: (strpos('0123456789abcdef', hex[5 * k + j + 1]) - 1) * (1 << (16 - 4 * j)::int)))::int) AS bits FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: '{warc.ALPHABET}'[1 + ((bits[i // 4 + 1] >> (15 - 5 * (i % 4))::int) & 31)]), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM v
+"""
+
+#: Components of links e (a, b) over documents or vectors.
+REACH = "r(id, m) AS (SELECT id, id FROM node UNION SELECT v, m FROM r JOIN (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e) x ON u = id WHERE m < v)"
+
+JACCARD_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (sh) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+node AS (SELECT doc_id AS id FROM documents), {REACH}
+SELECT id AS doc_id, coalesce(max(n), 0) AS n_shingles, min(m) AS component_id FROM r LEFT JOIN n ON doc_id = id GROUP BY id
+"""
+
+EMBEDDING_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::double[] AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda z: z IS NULL OR NOT isfinite(z))) = 0 AND len(list_filter(embedding, lambda z: z <> 0)) > 0),
+e AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.x) = len(q.x) WHERE list_cosine_similarity(p.x, q.x) >= 0.93),
+node AS (SELECT vec_id AS id FROM embeddings), {REACH},
+k AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM e UNION ALL SELECT b FROM e) GROUP BY 1)
+SELECT r.id AS vec_id, coalesce(max(n), 0) AS n_links, min(m) AS component_id, r.id = min(m) AS kept FROM r LEFT JOIN k ON k.id = r.id GROUP BY r.id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINES_SQL}
+    return {"op5_line_dedup": LINES_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op7_license_scan": LICENCE_SQL, "op8_warc": WARC_SQL, "op9_jaccard": JACCARD_SQL}
