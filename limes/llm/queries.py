@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limes.llm import embeddings, jaccard, licenses, linededup, neighbours, packing, pii, sentencepieces, toxicity, warc
+from limes.llm import embeddings, jaccard, licenses, linededup, neighbours, packing, phrases, pii, sentencepieces, toxicity, warc
 from limes.llm.common import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -66,6 +66,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -131,5 +135,23 @@ SELECT r.id AS vec_id, coalesce(max(n), 0) AS n_links, min(m) AS component_id, r
 """
 
 
+PHRASES_SQL = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, unnest(ws) AS w1, unnest(ws[2:]) AS w2, unnest(ws[3:]) AS w3 FROM w),
+f1 AS (SELECT lang, w1, count(*) AS f FROM g WHERE w1 IS NOT NULL GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+lng AS (SELECT lang, w1, w2, max(f) AS m FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+c AS (SELECT lang, w1 || ' ' || w2 AS phrase, 1 AS k, x.f AS a, y.f AS l, z.f AS r FROM f2 x JOIN f1 y USING (lang, w1) JOIN f1 z ON z.lang = x.lang AND z.w1 = w2 LEFT JOIN lng USING (lang, w1, w2) WHERE m IS NULL OR 100 * m < 50 * x.f
+  UNION ALL SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.f, y.f, z.f FROM f3 t JOIN f1 y ON y.lang = t.lang AND y.w1 = t.w1 JOIN f2 z ON z.lang = t.lang AND z.w1 = t.w2 AND z.w2 = t.w3
+  UNION ALL SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.f, y.f, z.f FROM f3 t JOIN f2 y ON y.lang = t.lang AND y.w1 = t.w1 AND y.w2 = t.w2 JOIN f1 z ON z.lang = t.lang AND z.w1 = t.w3),
+s AS (SELECT *, (1000000::hugeint * a * a // (l::hugeint * r))::bigint AS score FROM c),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n::bigint AS n, score FROM o JOIN (SELECT lang, sum(f) AS n FROM f1 GROUP BY 1) USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINES_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op7_license_scan": LICENCE_SQL, "op8_warc": WARC_SQL, "op9_jaccard": JACCARD_SQL}
+    return {"op11_collocations": PHRASES_SQL, "op5_line_dedup": LINES_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op7_license_scan": LICENCE_SQL, "op8_warc": WARC_SQL, "op9_jaccard": JACCARD_SQL}
