@@ -4,9 +4,9 @@ A stripe is an associative counter under a prefix: under a first word it holds e
 how often they follow.  Everything is read off this one structure: a phrase's extensions are a stripe's entries, its own count is
 their total (with those that end a piece), and the largest entry tells whether a longer phrase subsumes it.
 
-A task counts a chunk of words at a time and writes a stripe per first word; stripes of one first word are merged elementwise where
-they meet.  A first word's stripe is split by a hash of the second word into PARTS, so that a frequent word's counters are spread;
-stripes come sorted, and a task merges them as they pass, so that it holds a bounded number of entries and no whole group.
+A task counts a chunk of words at a time and writes its stripes in blocks, a block for each bucket; a bucket's blocks meet in one
+task, which merges them elementwise.  Buckets go by a hash of the first two words, so a frequent word's stripe lies in many of them,
+and their number follows the corpus, so that a bucket's size doesn't.  A first word's total is a counter of its own.
 """
 
 from __future__ import annotations
@@ -22,15 +22,14 @@ from pyspark.sql import functions as F
 
 from limes.llm.common import columns, few, join_counted, stored
 
-#: Characters of text that a task counts at once, and entries of stripes that it merges at once.
-CHUNK_CHARS, CHUNK_ENTRIES = 6_000_000, 1_000_000
-#: A first word's stripe has so many parts for each begun PART_CHARS characters of the corpus, so that a part's size doesn't grow with it.
-PARTS, PART_CHARS = 32, 1 << 30
+#: Characters of text that a task counts at once.
+CHUNK_CHARS = 6_000_000
+#: There are LEAST_BUCKETS buckets, and one more for each BUCKET_CHARS characters of the corpus.
+LEAST_BUCKETS, BUCKET_CHARS = 64, 8_000_000
 #: Parts in which a language's phrases are ranked before the best of each part meet.
 RANK_PARTS = 64
-#: What stands where a piece ends; no word can be it, for pieces end at line feeds.
+#: What stands in the place of a second or third word where a piece ends or a total is meant; pieces end at line feeds, so no word is it.
 END = "\n"
-STRIPES = "lang string, w1 string, part long, w2 array<string>, w3 array<string>, n array<long>"
 COUNTED = "lang string, w1 string, w2 string, w3 string, f long, l long, ext long"
 
 
@@ -40,57 +39,60 @@ def starts(*keys: np.ndarray) -> np.ndarray:
 
 
 def encoded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Words as numbers, and the words of the numbers."""
+    """Words as numbers in their order, and the words of the numbers."""
     words = words.dictionary_encode()
-    return words.indices.to_numpy().astype(np.int64), words.dictionary
+    order = pc.array_sort_indices(words.dictionary)
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    return place[words.indices.to_numpy()], words.dictionary.take(order)
 
 
-class Entries:
-    """Counters of stripes: sorted by language, first word, part, second and third word, each combination once."""
+class Stripes:
+    """Counters sorted by language, first, second and third word, each combination once; a first word's total has END twice."""
 
-    def __init__(self, langs: pa.Array, words: pa.Array, lang: np.ndarray, w1: np.ndarray, part: np.ndarray, w2: np.ndarray, w3: np.ndarray, n: np.ndarray):
+    def __init__(self, langs: pa.Array, words: pa.Array, lang: np.ndarray, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, n: np.ndarray):
         self.langs, self.words = langs, words
-        two = w2 * len(words) + w3
-        order = np.lexsort((two, part, lang * len(words) + w1))
-        columns = [x[order] for x in (lang, w1, part, w2, w3)]
+        order = np.lexsort((w2 * len(words) + w3, lang * len(words) + w1))
+        columns = [x[order] for x in (lang, w1, w2, w3)]
         at = starts(*columns)
-        self.lang, self.w1, self.part, self.w2, self.w3 = (x[at] for x in columns)
+        self.lang, self.w1, self.w2, self.w3 = (x[at] for x in columns)
         self.n = np.add.reduceat(n[order], at) if len(at) else n[:0]
 
-    def where(self, rows: np.ndarray) -> Entries:
-        out = object.__new__(Entries)
-        out.langs, out.words = self.langs, self.words
-        out.lang, out.w1, out.part, out.w2, out.w3, out.n = (x[rows] for x in (self.lang, self.w1, self.part, self.w2, self.w3, self.n))
-        return out
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """A row per stripe."""
-        at = np.append(starts(self.lang, self.w1, self.part), len(self.n))
-        for k in range(0, len(at) - 1, 20_000):
-            a = at[k : k + 20_001]
-            rows, inner = a[:-1], slice(a[0], a[-1])
-            lists = [pa.ListArray.from_arrays(pa.array((a - a[0]).astype(np.int32)), v) for v in (self.words.take(pa.array(self.w2[inner])), self.words.take(pa.array(self.w3[inner])), pa.array(self.n[inner]))]
-            yield pa.RecordBatch.from_arrays([self.langs.take(pa.array(self.lang[rows])), self.words.take(pa.array(self.w1[rows])), pa.array(self.part[rows]), *lists], names=["lang", "w1", "part", "w2", "w3", "n"])
+    def blocks(self, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """The counters of each bucket, as compressed columns of text."""
+        of = lambda words: np.fromiter((zlib.crc32(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+        word = of(self.words)
+        h = (of(self.langs)[self.lang] * np.uint64(31) + word[self.w1]) * np.uint64(0x9E3779B97F4A7C15) + word[self.w2]
+        bucket = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        at = np.append(starts(bucket), len(bucket)).astype(np.int32)
+        names = [v.take(pa.array(x[order])) for v, x in ((self.langs, self.lang), (self.words, self.w1), (self.words, self.w2), (self.words, self.w3))]
+        texts = [pc.binary_join(pa.ListArray.from_arrays(pa.array(at), v), " ").to_pylist() for v in (*names, pa.array(self.n[order]).cast(pa.string()))]
+        for b, *block in zip(bucket[at[:-1]].tolist(), *texts):
+            yield b, pa.compress("\t".join(block).encode(), codec="zstd", asbytes=True)
 
     def read_off(self, least: int) -> Iterator[pa.RecordBatch]:
-        """First words with their totals, pairs with total and largest extension, and triples with their first pair's total; both only from `least` on."""
+        """What occurs `least` times: words, pairs with their largest extension, triples with their first pair's total; and the sum of each language's words."""
         end = pc.index(self.words, END).as_py()
-        one, two = starts(self.lang, self.w1, self.part), starts(self.lang, self.w1, self.part, self.w2)
-        f1, f2 = np.add.reduceat(self.n, one), np.add.reduceat(self.n, two)
+        langs, total = starts(self.lang), np.where(self.w2 == end, self.n, 0)
+        one = np.flatnonzero((self.w2 == end) & (self.n >= least))
+        two = starts(self.lang, self.w1, self.w2)
+        f2 = np.add.reduceat(self.n, two)
         longest = np.maximum.reduceat(np.where(self.w3 == end, 0, self.n), two)
         left = np.repeat(f2, np.diff(np.append(two, len(self.n))))
         pair = (self.w2[two] != end) & (f2 >= least)
         triple = np.flatnonzero((self.w2 != end) & (self.w3 != end) & (self.n >= least))
-        for rows, f, l, ext, size in ((one, f1, None, None, 1), (two[pair], f2[pair], None, longest[pair], 2), (triple, self.n[triple], left[triple], None, 3)):
+        for rows, f, l, ext, size in ((langs, np.add.reduceat(total, langs), None, None, 0), (one, self.n[one], None, None, 1), (two[pair], f2[pair], None, longest[pair], 2), (triple, self.n[triple], left[triple], None, 3)):
             for k in range(0, len(rows), 50_000):
                 at, cut = rows[k : k + 50_000], slice(k, k + 50_000)
                 word = lambda x, known: self.words.take(pa.array(x[at])) if known else pa.nulls(len(at), self.words.type)
                 number = lambda x: pa.nulls(len(at), pa.int64()) if x is None else pa.array(x[cut])
-                yield pa.RecordBatch.from_arrays([self.langs.take(pa.array(self.lang[at])), word(self.w1, True), word(self.w2, size > 1), word(self.w3, size > 2), number(f), number(l), number(ext)], names=["lang", "w1", "w2", "w3", "f", "l", "ext"])
+                yield pa.RecordBatch.from_arrays([self.langs.take(pa.array(self.lang[at])), word(self.w1, size > 0), word(self.w2, size > 1), word(self.w3, size > 2), number(f), number(l), number(ext)], names=["lang", "w1", "w2", "w3", "f", "l", "ext"])
 
 
-def counted(langs: pa.Array, texts: pa.Array, parts: int) -> Entries:
-    """The entries of some texts, none of them null."""
+def counted(langs: pa.Array, texts: pa.Array) -> Stripes:
+    """The stripes of some texts, none of them null."""
     texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"[.,;:!?\x0A-\x0D]", f" {END} ")
     texts = pc.binary_join_element_wise(pc.replace_substring(texts, "\t", " "), pa.scalar(END, texts.type), pa.scalar(" ", texts.type))
     split = pc.split_pattern(texts, " ")
@@ -101,34 +103,39 @@ def counted(langs: pa.Array, texts: pa.Array, parts: int) -> Entries:
     code, lang = code[full], lang[full]
     end = pc.index(words, END).as_py()
     second, third = np.append(code[1:], end), np.append(code[2:], [end, end])[: len(code)]
-    third = np.where(second == end, end, third)  # a piece that has ended stays ended
-    part = np.fromiter((zlib.crc32(w.encode()) % parts for w in words.to_pylist()), np.int64, len(words))
-    real = code != end
-    return Entries(langs, words, lang[real], code[real], part[second[real]], second[real], third[real], np.ones(int(real.sum()), np.int64))
-
-
-def merged(batches: list[pa.RecordBatch]) -> Entries:
-    """Stripes added up elementwise."""
-    rows = pa.Table.from_batches(batches).combine_chunks()
-    w1, w2, w3, n, part, lang = (rows.column(c).chunk(0) for c in ("w1", "w2", "w3", "n", "part", "lang"))
-    lengths = pc.list_value_length(n).to_numpy()
-    total = int(lengths.sum())
-    code, words = encoded(pa.concat_arrays([w1, w2.flatten(), w3.flatten()]))
+    word, pair = code != end, (code != end) & (second != end)
+    both = lambda x, y: np.concatenate([x[pair], y])
+    n, ends = int(word.sum()), np.full(int(word.sum()), end)
+    return Stripes(langs, words, both(lang, lang[word]), both(code, code[word]), both(second, ends), both(third, ends), np.ones(n + int(pair.sum()), np.int64))
+
+
+def merged(blocks: list[bytes]) -> Stripes:
+    """The stripes of some blocks added up elementwise."""
+    columns = zip(*(text.split("\t") for text in map(decompressed, blocks)))
+    lang, w1, w2, w3, n = (pc.split_pattern(pa.array([" ".join(c)], pa.large_string()), " ").flatten().cast(pa.string()) for c in columns)
+    code, words = encoded(pa.concat_arrays([w1, w2, w3, pa.array([END])]))
     lang, langs = encoded(lang)
-    w1, w2, w3 = np.split(code, [len(w1), len(w1) + total])
-    spread = lambda x: np.repeat(x, lengths)
-    return Entries(langs, words, spread(lang), spread(w1), spread(part.to_numpy()), w2, w3, n.flatten().to_numpy())
+    return Stripes(langs, words, lang, *np.split(code[:-1], 3), n.cast(pa.int64()).to_numpy())
+
+
+def decompressed(block: bytes) -> str:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(block).decode()
 
 
-def count_stripes(docs: DataFrame, parts: int) -> DataFrame:
-    """Stripes of each task's chunks of texts (lang, text)."""
+def count_stripes(docs: DataFrame, buckets: int) -> DataFrame:
+    """bucket, block: the stripes of each task's chunks of texts (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def chunk() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held).combine_chunks()
-            yield from counted(t.column(0).chunk(0), t.column(1).chunk(0), parts).rows()
+            found = list(counted(t.column(0).chunk(0), t.column(1).chunk(0)).blocks(buckets))
+            for k in range(0, len(found), 256):
+                b, block = zip(*found[k : k + 256])
+                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(block, pa.binary())], names=["bucket", "block"])
 
         for b in batches:
             for k in range(0, b.num_rows, 64):  # a few texts at a time, for some are long
@@ -140,33 +147,25 @@ def count_stripes(docs: DataFrame, parts: int) -> DataFrame:
         if held:
             yield from chunk()
 
-    return docs.select("lang", "text").mapInArrow(run, STRIPES)
+    return docs.select("lang", "text").mapInArrow(run, "bucket long, block binary")
 
 
-def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
-    """What read_off finds in all stripes: they come sorted to the tasks, which merge them as they pass and hold back the one that may go on."""
+def merge_stripes(blocks: DataFrame, least: int) -> DataFrame:
+    """What read_off finds in all stripes; a task holds a bucket at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, limit = [], 0, CHUNK_ENTRIES
+        held, of = [], None
         for b in batches:
-            if not b.num_rows:
-                continue
-            held.append(b)
-            size += len(b.column(5).flatten())
-            if size >= limit:
-                last = [b.column(k)[-1].as_py() for k in range(3)]
-                found = merged(held)
-                on = (found.lang == pc.index(found.langs, last[0]).as_py()) & (found.w1 == pc.index(found.words, last[1]).as_py()) & (found.part == last[2])
-                if not on.all():
-                    yield from found.where(~on).read_off(least)
-                rest = found.where(on)
-                held, size = [x.cast(b.schema) for x in rest.rows()], len(rest.n)
-                limit = size + CHUNK_ENTRIES
+            for bucket, block in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if bucket != of and held:
+                    yield from merged(held).read_off(least)
+                    held = []
+                of = bucket
+                held.append(block)
         if held:
             yield from merged(held).read_off(least)
 
-    dealt = stripes.repartition("lang", "w1", "part").sortWithinPartitions("lang", "w1", "part")
-    return dealt.mapInArrow(run, COUNTED)
+    return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, COUNTED)
 
 
 def collocations(docs: DataFrame, top: int = 2000, least: int = 10, subsumed: int = 50) -> DataFrame:
@@ -181,10 +180,9 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, subsumed: in
     """
     docs = columns(docs, lang="string", text="string").select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    found = stored(merge_stripes(count_stripes(docs, PARTS * (1 + chars // PART_CHARS)), least))
-    words = found.filter("w2 IS NULL").groupBy("lang", "w1").agg(F.sum("f").alias("f"))
-    totals = stored(words.groupBy("lang").agg(F.sum("f").alias("n")))
-    words = stored(words.filter(F.col("f") >= least))
+    found = stored(merge_stripes(count_stripes(docs, LEAST_BUCKETS + chars // BUCKET_CHARS), least))
+    totals = stored(found.filter("w1 IS NULL").groupBy("lang").agg(F.sum("f").alias("n")))
+    words = stored(found.filter("w1 IS NOT NULL AND w2 IS NULL").select("lang", "w1", "f"))
     n = totals.agg(F.sum("n")).first()[0] or 0
     pairs = found.filter("w2 IS NOT NULL AND w3 IS NULL").select("lang", "w1", "w2", "f", "ext")
     triples = found.filter("w3 IS NOT NULL").select("lang", "w1", "w2", "w3", "f", "l")
