@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limes.llm import embeddings, jaccard, licenses, linededup, neighbours, packing, phrases, pii, sentencepieces, toxicity, warc
+from limes.llm import embeddings, jaccard, licenses, linededup, neighbours, packing, phrases, pii, sentencepieces, spelling, toxicity, warc
 from limes.llm.common import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -70,6 +70,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -153,5 +157,31 @@ SELECT lang, rank, phrase, a, l, r, n::bigint AS n, score FROM o JOIN (SELECT la
 """
 
 
+def _nibbles() -> list[int]:
+    """The table of the checksum by half bytes."""
+    out = []
+    for k in range(16):
+        for _ in range(4):
+            k = k >> 1 ^ (0xEDB88320 if k & 1 else 0)
+        out.append(k)
+    return out
+
+
+#: The checksum goes over the half bytes of the text, the lower one of each byte first.
+SPELLING_SQL = f"""
+WITH RECURSIVE r AS (SELECT coalesce(doc_id::varchar, '') || ':' AS d, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+q AS (SELECT d, run, count(*) AS k, hex(encode(d || run)) AS x FROM r WHERE length(run) >= 5 GROUP BY d, run),
+h AS (SELECT run, k, xor(list_reduce(list_transform(range(1, length(x) + 1), lambda i: (strpos('0123456789ABCDEF', x[i - 1 + 2 * (i % 2)]) - 1)::ubigint), lambda c, v: xor(c >> 4, list_extract({_nibbles()}::ubigint[], (xor(c, v) & 15)::bigint + 1)), 4294967295::ubigint), 4294967295::ubigint) AS h FROM q),
+o AS (SELECT k, CASE WHEN h % 97 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word FROM h),
+w AS (SELECT word, sum(k)::bigint AS n FROM o WHERE length(word) >= 5 GROUP BY 1 HAVING sum(k) >= 3),
+z AS (SELECT word, n, k, word[1 : k] || word[k + 2 :] AS rest FROM (SELECT word, n, unnest(range(length(word))) AS k FROM w)),
+e AS (SELECT x.word AS a, y.word AS b FROM z x JOIN z y ON x.k = y.k AND x.rest = y.rest AND x.word <> y.word UNION SELECT word, rest FROM z SEMI JOIN w u ON u.word = rest UNION SELECT rest, word FROM z SEMI JOIN w u ON u.word = rest),
+b AS (SELECT a AS word, count(*) AS n_near, min(struct_pack(less := -n, word := b)) AS best FROM e JOIN w ON w.word = b GROUP BY 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 2 * w.n THEN best.word END AS form, CASE WHEN -best.less >= 2 * w.n THEN -best.less END AS form_n FROM w LEFT JOIN b USING (word)),
+g(word, root) AS (SELECT word, word FROM f UNION ALL SELECT g.word, f.form FROM g JOIN f ON f.word = g.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n FROM f JOIN g ON g.word = f.word JOIN f l ON l.word = g.root AND l.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_collocations": PHRASES_SQL, "op5_line_dedup": LINES_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op7_license_scan": LICENCE_SQL, "op8_warc": WARC_SQL, "op9_jaccard": JACCARD_SQL}
+    return {"op12_spelling": SPELLING_SQL, "op11_collocations": PHRASES_SQL, "op5_line_dedup": LINES_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op7_license_scan": LICENCE_SQL, "op8_warc": WARC_SQL, "op9_jaccard": JACCARD_SQL}
