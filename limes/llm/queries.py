@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limes.llm import embeddings, jaccard, licenses, linededup, neighbours, packing, phrases, pii, sentencepieces, spelling, toxicity, warc
+from limes.llm import embeddings, htmltext, jaccard, licenses, linededup, neighbours, packing, phrases, pii, sentencepieces, spelling, toxicity, warc
 from limes.llm.common import table
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -74,6 +74,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
