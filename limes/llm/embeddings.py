@@ -48,6 +48,7 @@ def near_links(reps: DataFrame, dims: int, count: int, largest: int, least: floa
 
     def signatures(m: np.ndarray, upto: int) -> np.ndarray:
         """The first `upto` tables' buckets of each row of m, which has dims columns or fewer."""
+        m = m / np.abs(m).max(1)[:, None]
         bits = (m @ signs[: upto * planes, : m.shape[1]].T > 0).reshape(len(m), upto, planes)
         return bits @ (np.int64(1) << np.arange(planes, dtype=np.int64))
 
@@ -70,6 +71,7 @@ def near_links(reps: DataFrame, dims: int, count: int, largest: int, least: floa
         ids, block, copies = pdf["id"].to_numpy(), pdf["block"].to_numpy(), pdf["copies"].to_numpy()
         m = np.stack(pdf["v"].to_list())
         sig = signatures(m, t) if t else None
+        m = m / np.abs(m).max(1)[:, None]  # else squares of very large or small components leave the range of doubles
         m = m / np.sqrt((m * m).sum(1))[:, None]
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for k in range(0, len(ids), ROWS):

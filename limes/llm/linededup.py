@@ -71,10 +71,13 @@ def remove_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     lose lines by their own text; rows that repeat id and text lose the same lines.  Of a line that two rows of one id hold at one place
     first, the text with the smaller hash keeps it.  Texts of any length are split whole, in time linear in their lines.  An empty table stays empty.
     """
-    gone = removals(docs, sites).withColumnsRenamed({"id": "__id", "th": "__th", "gone": "__gone"})
-    rest = docs.drop("n_removed").join(gone, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__th")), "left")
-    parts = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n"))
-    removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
-    return rest.withColumns({"text": text, "n_removed": removed}).drop("__id", "__th", "__gone")
+    gone = removals(docs, sites)
+    # all of a row travels in one column, so no name of its own can clash
+    rows = docs.drop("n_removed").select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("th"))
+    rest = rows.join(gone, ["id", "th"], "left")
+    parts = F.split("row.text", "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n"))
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
+    kept = [text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "n_removed"]
+    return rest.select(*kept, removed.alias("n_removed"))

@@ -4,7 +4,8 @@ A graph links each vector to its nearest known ones.  It starts from the nearest
 partitions, and from random ones where cells give too few, and improves by joins of neighbours of neighbours: those who share a
 neighbour meet at it and are compared, if one of the two links is new.  A query starts at its own vertex; in each
 round the nearest vertices not yet looked at are replaced by their links, for all queries in one join.  Equal vectors
-are one vertex.  Graph and search work in single precision; what they find is measured again in double precision.
+are one vertex.  Graph and search work in single precision on centred and scaled vectors; a sample of queries compared with all vectors
+in double precision tells whether that is enough, and what they find is measured again in double precision.
 """
 
 from __future__ import annotations
@@ -216,7 +217,7 @@ def slice_search(edges: DataFrame, points: DataFrame, asked: pa.Table, dims: int
 
 
 def exact(points: DataFrame, starts: DataFrame, k: int) -> DataFrame:
-    """q, nb, d: the k nearest of all points for each start, itself included; blocks of both sides are compared."""
+    """q, nb, d: the k nearest of all points for each start, itself included, in the precision of the points; blocks of both sides are compared."""
     size = lambda df, most: F.pmod(F.xxhash64("id"), F.lit(max(1, math.ceil(df.count() / most))))
     asked = cut(starts.select(F.col("q").alias("id")).distinct().join(points, "id").select("id", "v"))
     packed = lambda df, most, c: df.groupBy(size(df, most).alias("block")).agg(F.collect_list("id").alias(f"{c}_ids"), F.collect_list("v").alias(f"{c}_v")).drop("block")
@@ -224,36 +225,49 @@ def exact(points: DataFrame, starts: DataFrame, k: int) -> DataFrame:
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for q, w, ids, v in zip(b["q_ids"], b["q_v"], b["p_ids"], b["p_v"]):
-                w, v = np.stack(list(w)), np.stack(list(v))
+                w, v, ids = np.stack(list(w)), np.stack(list(v)), np.asarray(ids)
+                order = np.argsort(ids)
+                v, ids = v[order], ids[order]
                 for i, x in zip(q, w):
                     d = ((v - x) ** 2).sum(1).astype(float)
-                    near = np.lexsort((ids, d))[:k]
-                    yield pd.DataFrame({"id": i, "nb": np.asarray(ids)[near], "d": d[near]})
+                    near = np.argsort(d, kind="stable")[:k]
+                    yield pd.DataFrame({"id": i, "nb": ids[near], "d": d[near]})
 
-    pairs = packed(asked, 256, "q").crossJoin(packed(points.select("id", "v"), 1000, "p"))
+    pairs = packed(asked, 256, "q").crossJoin(packed(points.select("id", "v"), 4096, "p"))
     return nearest(fresh(pairs.mapInPandas(compare, LINK)), k).select(F.col("id").alias("q"), "nb", "d")
 
 
-def search_widening(graph: DataFrame, points: DataFrame, starts: DataFrame, dims: int, k: int) -> DataFrame:
-    """greedy_search with the first beam at which a sample of starts, compared with all points, has RECALL of its k nearest.
+def search_widening(graph: DataFrame, points: DataFrame, precise: DataFrame, starts: DataFrame, dims: int, n: int, k: int) -> DataFrame:
+    """greedy_search with the first beam at which a sample of starts, compared with all n points in double precision, has RECALL of its k nearest.
 
-    The beam that this takes depends on the vectors: without structure it grows almost as their number, otherwise hardly.
+    The beam that this takes depends on the vectors: without structure it grows almost as their number, otherwise hardly.  A search
+    compares about 2 * LINKS vectors for each kept vertex, so beyond a beam of n / (2 * LINKS) comparing all vectors takes less, and is done.
     """
     number = starts.count()
     sample = cut(starts.select("q").filter(F.pmod(F.xxhash64("q", F.lit(SEED)), F.lit(max(1, number // SAMPLE))) == 0))
-    truth = cut(exact(points, sample, k + 1))
+    truth = cut(exact(precise, sample, k + 1))
     beam, wanted = BEAM, truth.count()
     while True:
         found = cut(greedy_search(graph, points, sample, dims, beam))
         if found.join(truth.select("q", "nb"), ["q", "nb"], "left_semi").count() >= RECALL * wanted:
             break
-        beam += beam // 2  # at last all points are kept, and what is unreached is left to the caller
-        if beam > 2 * points.count():
-            break
+        beam += beam // 2
+        if beam * 2 * LINKS > n:
+            return exact(precise, starts, 2 * k + 2)
     rest = starts.select("q").join(sample, "q", "left_anti")
     return found if rest.isEmpty() else found.unionByName(greedy_search(graph, points, rest, dims, beam))
 
 
+def scaled(classes: DataFrame) -> DataFrame:
+    """id, v of classes (rep, v), centred and scaled into -1 to 1, in double precision: distances keep their order, and single precision resolves them better."""
+    top = classes.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0
+    means = {r.pos: r.mean for r in classes.select(F.posexplode("v")).groupBy("pos").agg(F.avg(F.col("col") / top).alias("mean")).collect()}  # a number for each dimension
+    mean = F.array(*[F.lit(float(means[i])) for i in range(len(means))])
+    moved = classes.select(F.col("rep").alias("id"), F.zip_with("v", mean, lambda x, m: x / top - m).alias("v"))
+    spread = moved.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0
+    return moved.select("id", F.transform("v", lambda x: x / spread).alias("v"))
+
+
 def search(vectors: DataFrame, k: int = 10, every: int = 100, beam: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each row whose id is divisible by `every`.
 
@@ -278,17 +292,20 @@ def search_equal(rows: DataFrame, dims: int, k: int, every: int, beam: int | Non
     """search among vectors of one length: id, v, h (equal for equal vectors)."""
     classes = cut(rows.groupBy("h").agg(F.min("id").alias("rep"), F.first("v").alias("v"), F.count("*").alias("n")))
     n, total = classes.agg(F.count("*"), F.sum("n")).first()
-    points = cut(classes.select(F.col("rep").alias("id"), F.col("v").cast("array<float>").alias("v")))
+    if not n:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    precise = cut(scaled(classes))
+    points = cut(precise.select("id", F.col("v").cast("array<float>").alias("v")))
     member = cut(join_counted(rows.select("id", "h"), classes.drop("v"), "h", total).select("id", "rep"))
     queries = member.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("rep").alias("q"))
     starts = cut(queries.groupBy("q").agg(F.count("*").alias("n")))
     graph = neighbour_graph(points, dims, n)
-    found = cut(greedy_search(graph, points, starts, dims, beam) if beam else search_widening(graph, points, starts, dims, k))
+    found = cut(greedy_search(graph, points, starts, dims, beam) if beam else search_widening(graph, points, precise, starts, dims, n, k))
     # what the graph does not reach is looked for among all vectors
     reached = found.groupBy("q").agg(F.count("*").alias("reached")).filter(F.col("reached") >= min(k + 1, n))
     short = cut(starts.select("q").join(reached, "q", "left_anti"))
     if not short.isEmpty():
-        found = found.join(short, "q", "left_anti").unionByName(exact(points, short, 2 * k + 2))
+        found = found.join(short, "q", "left_anti").unionByName(exact(precise, short, 2 * k + 2))
     close = found.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d", "nb"))).filter(F.col("place") <= 2 * k + 2)
     # all queries with one vector share their candidates; of equal vectors the k + 1 smallest ids are enough, for one may be the query's own
     few = member.withColumn("m", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("m") <= k + 1).select(F.col("rep").alias("nb"), F.col("id").alias("vec_id"))
