@@ -40,13 +40,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Rows without an id or without words are in no group and stay.
     """
     found = cut(jaccard.near_duplicates(docs))
-    gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct())
-    kept = docs.join(few(gone), F.col("doc_id") == F.col("__id"), "left_anti")
-    repeated = stored(found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).filter("n > 1").select("__id"))
+    gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct())
+    kept = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text").join(few(gone), "id", "left_anti")
+    repeated = stored(found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).filter("n > 1").select("id"))
     if repeated.isEmpty():
-        return kept
-    several = F.col("doc_id") == F.col("__id")
-    return kept.join(few(repeated), several, "left_anti").unionByName(kept.join(few(repeated), several, "left_semi").dropDuplicates(["doc_id", "text"]))
+        return kept.select("row.*")
+    several = kept.join(few(repeated), "id", "left_semi").dropDuplicates(["id", "text"])
+    return kept.join(few(repeated), "id", "left_anti").unionByName(several).select("row.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
