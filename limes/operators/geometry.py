@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limes.operators.tiles import edge_tiles, point_windings
+
 
 def round_grid(x: Column, y: Column, decimals: int = 7) -> Column:
     """struct(x, y) on the fixed grid, as integers."""
@@ -42,7 +44,7 @@ def label_points(polygons: DataFrame) -> DataFrame:
 
 def geometry_checks(polygons: DataFrame, bounds: tuple[int, int, int, int] | None = None, cell: int = 4000) -> DataFrame:
     """code, ring, fault: empty, unclosed, short, flat or repeated vertices, turned rings, vertices off the grid or out of bounds
-    (min x, min y, max x, max y), and edges of a ring that cross or touch other than in a row.
+    (min x, min y, max x, max y), edges of a ring that cross or touch other than in a row, and what ring_faults tells of a unit's rings.
     """
     v = F.col("vertices")
     n = F.coalesce(F.size(v), F.lit(0))
@@ -56,8 +58,31 @@ def geometry_checks(polygons: DataFrame, bounds: tuple[int, int, int, int] | Non
         F.when((n >= 4) & (area2 == 0), "flat"), F.when((n >= 4) & (area2 * shell < 0), "turned"), F.when((n > 0) & (F.size(drop_repeats(v)) < n), "repeated vertex"),
         F.when(outside, "out of bounds"), F.when(F.exists(v, lambda p: (p["x"] != F.round(p["x"])) | (p["y"] != F.round(p["y"]))), "off the grid"),
     ))
-    crossed = crossing_edges(ring_segments(polygons), cell).select("code", "ring").distinct().withColumn("fault", F.lit("crossing edges"))
-    return polygons.select("code", "ring", F.explode(faults).alias("fault")).unionByName(crossed)
+    segments = ring_segments(polygons)
+    crossed = crossing_edges(segments, cell).select("code", "ring").distinct().withColumn("fault", F.lit("crossing edges"))
+    return polygons.select("code", "ring", F.explode(faults).alias("fault")).unionByName(crossed).unionByName(ring_faults(segments, cell))
+
+
+def ring_faults(segments: DataFrame, cell: int) -> DataFrame:
+    """code, ring, fault: rings of a unit that cross or run along each other, holes outside their shell (ring 0) or within another hole.
+
+    Rings may touch at single points.  The middles of its edges tell where a hole lies, unless it crosses another ring.
+    """
+    met = crossing_rings(segments, cell)
+    crossing = met.select("code", F.explode(F.array("ring", "other")).alias("ring")).distinct()
+    halves = lambda df: df.select("code", "ring", "seq", *[(2 * F.col(c)).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    units = segments.groupBy("code").agg(F.max("ring").alias("last")).filter("last > 0").select("code")
+    rows = halves(segments.join(units, "code", "left_semi"))
+    holes = rows.filter("ring > 0")
+    points = holes.select("code", F.struct("ring", "seq").alias("id"), ((F.col("x1") + F.col("x2")) / 2).cast("long").alias("x"), ((F.col("y1") + F.col("y2")) / 2).cast("long").alias("y"))
+    within = point_windings(points, rows.withColumn("net", F.lit(1)), 2 * cell, "code", "ring").select("code", F.col("id.ring").alias("of"), "ring").filter("of <> ring")
+    # of rings that don't cross, most middles lie on one side; one at which rings touch may not
+    size = holes.groupBy("code", F.col("ring").alias("of")).agg(F.count("*").alias("n"))
+    held = within.groupBy("code", "of", "ring").agg(F.count("*").alias("k")).join(size, ["code", "of"]).filter("2 * k > n")
+    told = held.groupBy("code", F.col("of").alias("ring")).agg(F.bool_or(F.col("ring") == 0).alias("shell"), F.bool_or(F.col("ring") > 0).alias("hole"))
+    nested = size.select("code", F.col("of").alias("ring")).join(crossing, ["code", "ring"], "left_anti").join(told, ["code", "ring"], "left")
+    faults = F.array_compact(F.array(F.when(~F.coalesce("shell", F.lit(False)), "hole outside"), F.when(F.coalesce("hole", F.lit(False)), "hole in a hole")))
+    return nested.select("code", "ring", F.explode(faults).alias("fault")).unionByName(crossing.withColumn("fault", F.lit("crossing rings")))
 
 
 def turn(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
@@ -65,24 +90,60 @@ def turn(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column)
     return F.signum(((bx - ax) * (cy - ay) - (by - ay) * (cx - ax)).cast("double"))
 
 
-def crossing_edges(segments: DataFrame, cell: int) -> DataFrame:
-    """code, ring, seq, other: edges of one ring that cross or touch, neighbours apart from their common end; met by grid cells."""
-    low = lambda c: F.floor(F.least(f"{c}1", f"{c}2") / cell)
-    high = lambda c: F.floor(F.greatest(f"{c}1", f"{c}2") / cell)
-    cells = segments.filter("x1 <> x2 OR y1 <> y2").withColumn("cx", F.explode(F.sequence(low("x"), high("x")))).withColumn("cy", F.explode(F.sequence(low("y"), high("y"))))
-    a, b = cells.alias("a"), cells.alias("b")
-    pairs = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("code", "ring", "cx", "cy")]).filter(F.col("a.seq") < F.col("b.seq"))
+def meeting(segments: DataFrame, cell: int, same: list[str], apart: Column) -> tuple[DataFrame, dict[str, Column], list[Column]]:
+    """Pairs a, b of segments that agree in the columns `same` and pass one tile, their ends, and the turns from each to the other's ends."""
+    placed = edge_tiles(segments.filter("x1 <> x2 OR y1 <> y2"), cell)
+    a, b = placed.alias("a"), placed.alias("b")
+    pairs = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*same, "cx", "cy")]).filter(apart)
     p = {f"{s}{c}": F.col(f"{s}.{c}") for s in "ab" for c in ("x1", "y1", "x2", "y2")}
-    t1 = turn(p["ax1"], p["ay1"], p["ax2"], p["ay2"], p["bx1"], p["by1"])
-    t2 = turn(p["ax1"], p["ay1"], p["ax2"], p["ay2"], p["bx2"], p["by2"])
-    t3 = turn(p["bx1"], p["by1"], p["bx2"], p["by2"], p["ax1"], p["ay1"])
-    t4 = turn(p["bx1"], p["by1"], p["bx2"], p["by2"], p["ax2"], p["ay2"])
+    turns = [turn(*[p[f"{s}{c}"] for c in ("x1", "y1", "x2", "y2")], p[f"{o}x{k}"], p[f"{o}y{k}"]) for s, o in ("ab", "ba") for k in (1, 2)]
     boxes = (F.least(p["ax1"], p["ax2"]) <= F.greatest(p["bx1"], p["bx2"])) & (F.least(p["bx1"], p["bx2"]) <= F.greatest(p["ax1"], p["ax2"])) & (F.least(p["ay1"], p["ay2"]) <= F.greatest(p["by1"], p["by2"])) & (F.least(p["by1"], p["by2"]) <= F.greatest(p["ay1"], p["ay2"]))
+    return pairs.filter(boxes), p, turns
+
+
+def crossing_edges(segments: DataFrame, cell: int) -> DataFrame:
+    """code, ring, seq, other: edges of one ring that cross or touch, neighbours apart from their common end; met by tiles."""
+    pairs, p, (t1, t2, t3, t4) = meeting(segments, cell, ["code", "ring"], F.col("a.seq") < F.col("b.seq"))
     # edges in a row share an end; they are at fault only if the second runs back over the first
     in_row = ((p["ax2"] == p["bx1"]) & (p["ay2"] == p["by1"])) | ((p["bx2"] == p["ax1"]) & (p["by2"] == p["ay1"]))
     along = (p["ax2"] - p["ax1"]) * (p["bx2"] - p["bx1"]) + (p["ay2"] - p["ay1"]) * (p["by2"] - p["by1"])
     folded = (t1 == 0) & (t2 == 0) & (t3 == 0) & (t4 == 0) & (along < 0)
-    return pairs.filter(boxes & (t1 * t2 <= 0) & (t3 * t4 <= 0) & (~in_row | folded)).select("a.code", "a.ring", "a.seq", F.col("b.seq").alias("other")).distinct()
+    return pairs.filter((t1 * t2 <= 0) & (t3 * t4 <= 0) & (~in_row | folded)).select("a.code", "a.ring", "a.seq", F.col("b.seq").alias("other")).distinct()
+
+
+def crossing_rings(segments: DataFrame, cell: int) -> DataFrame:
+    """code, ring, other: rings of one unit that cross each other or have a stretch in common.
+
+    They cross where two edges do within, or where one passes through a corner of the other; rings that touch are looked at in whole.
+    """
+    pairs, p, (t1, t2, t3, t4) = meeting(segments, cell, ["code"], F.col("a.ring") < F.col("b.ring"))
+    span = lambda c: F.least(F.greatest(p[f"a{c}1"], p[f"a{c}2"]), F.greatest(p[f"b{c}1"], p[f"b{c}2"])) - F.greatest(F.least(p[f"a{c}1"], p[f"a{c}2"]), F.least(p[f"b{c}1"], p[f"b{c}2"]))
+    along = (t1 == 0) & (t2 == 0) & ((span("x") > 0) | (span("y") > 0))
+    across = (t1 * t2 < 0) & (t3 * t4 < 0)
+    cut = pairs.filter(along | across).select("a.code", "a.ring", F.col("b.ring").alias("other"))
+    touch = pairs.filter(~along & ~across & (t1 * t2 <= 0) & (t3 * t4 <= 0))
+    # a middle that lies on the other ring tells no side
+    halfway = {s: (p[f"{s}x1"] + p[f"{s}x2"], p[f"{s}y1"] + p[f"{s}y2"]) for s in "ab"}
+    on = {s: turn(*[2 * p[f"{o}{c}"] for c in ("x1", "y1", "x2", "y2")], *halfway[s]) == 0 for s, o in ("ab", "ba")}
+    middles = touch.select(F.col("a.code").alias("code"), F.explode(F.array(*[F.when(on[s], F.struct(F.col(f"{s}.ring").alias("of"), F.col(f"{s}.seq").alias("seq"), F.col(f"{o}.ring").alias("around"))) for s, o in ("ab", "ba")])).alias("m")).filter("m IS NOT NULL").select("code", "m.*").distinct()
+    touching = touch.select("a.code", "a.ring", F.col("b.ring").alias("other")).distinct()
+    return cut.unionByName(through_corners(segments, touching, middles, cell)).distinct()
+
+
+def through_corners(segments: DataFrame, touching: DataFrame, unclear: DataFrame, cell: int) -> DataFrame:
+    """code, ring, other of touching rings of which one passes to the other side where they touch: some middles of its edges lie inside the other, some outside.
+
+    unclear: code, of, seq, around of the edges whose middles are left out.
+    """
+    rows = segments.join(touching.select("code").distinct(), "code", "left_semi").select("code", "ring", "seq", *[(2 * F.col(c)).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    middles = rows.select("code", F.struct("ring", "seq").alias("id"), ((F.col("x1") + F.col("x2")) / 2).cast("long").alias("x"), ((F.col("y1") + F.col("y2")) / 2).cast("long").alias("y"))
+    keys = ["code", "of", "around"]
+    inside = point_windings(middles, rows.withColumn("net", F.lit(1)), 2 * cell, "code", "ring").select("code", F.col("id.ring").alias("of"), F.col("id.seq").alias("seq"), F.col("ring").alias("around")).filter("of <> around")
+    inner = inside.join(unclear, [*keys, "seq"], "left_anti").groupBy(*keys).agg(F.count("*").alias("inner"))
+    whole = rows.groupBy("code", F.col("ring").alias("of")).agg(F.count("*").alias("n"))
+    less = unclear.groupBy(*keys).agg(F.count("*").alias("less"))
+    mixed = inner.join(whole, ["code", "of"]).join(less, keys, "left").filter(F.col("inner") < F.col("n") - F.coalesce("less", F.lit(0)))
+    return touching.join(mixed.select("code", F.least("of", "around").alias("ring"), F.greatest("of", "around").alias("other")).distinct(), ["code", "ring", "other"], "left_semi")
 
 
 def undirected(segments: DataFrame) -> DataFrame:
@@ -159,20 +220,11 @@ def bbox_pairs(boxes: DataFrame, cell: int) -> DataFrame:
 
 
 def points_in_units(points: DataFrame, segments: DataFrame, cell: int) -> DataFrame:
-    """id, code of each point in a unit: points meet units by grid cells and bounding boxes, then crossings of a ray to the right are counted.
+    """id, code of each point (id, x, y) in a unit; a point meets the edges in its tile alone, however many vertices its unit has.
 
-    cell: about a unit's extent; a unit is placed in all cells of its box.
+    cell: extent of a tile, such that it holds some edges; a point on a border counts as a little right of it and above.
     """
-    boxes = segments.groupBy("code").agg(*[F.min(F.least(f"{c}1", f"{c}2")).alias(f"min_{c}") for c in "xy"], *[F.max(F.greatest(f"{c}1", f"{c}2")).alias(f"max_{c}") for c in "xy"])
-    cells = boxes.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell)))).withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))))
-    near = points.select("id", "x", "y", F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy")).join(cells, ["cx", "cy"])
-    near = near.filter(F.col("x").between(F.col("min_x"), F.col("max_x")) & F.col("y").between(F.col("min_y"), F.col("max_y"))).select("id", "x", "y", "code")
-    rows = near.join(segments.select("code", "x1", "y1", "x2", "y2"), "code")
-    under = (F.col("y1") <= F.col("y")) != (F.col("y2") <= F.col("y"))  # half-open, so a vertex counts once
-    dy = F.col("y2") - F.col("y1")
-    side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("x") - F.col("x1")) * dy
-    right = F.when(dy > 0, side > 0).otherwise(side < 0)
-    return rows.filter(under & right).groupBy("id", "code").agg(F.count("*").alias("n")).filter("n % 2 = 1").select("id", "code")
+    return point_windings(points, segments.withColumn("net", F.lit(1)), cell, "code").select("id", "code")
 
 
 def focus_bounds(measures: DataFrame, focus: str) -> DataFrame:

@@ -347,7 +347,7 @@ def label_points(s, d):
     return geometry.label_points(frames.parcels(s, d))
 
 
-@query("SELECT code, 'unclosed' AS fault FROM cell WHERE code LIKE '%07' UNION ALL SELECT code, 'repeated vertex' FROM cell WHERE code LIKE '%08' UNION ALL SELECT code, 'turned' FROM cell WHERE code LIKE '%09' UNION ALL SELECT code, unnest(['crossing edges', 'flat']) FROM cell WHERE code LIKE '%11' UNION ALL SELECT code, 'out of bounds' FROM cell WHERE gx = 99 UNION ALL SELECT code, 'off the grid' FROM cell WHERE code LIKE '%13' UNION ALL SELECT code, unnest(['short', 'unclosed']) FROM cell WHERE code LIKE '%14' UNION ALL SELECT code, 'empty' FROM cell WHERE code LIKE '%15' UNION ALL SELECT code, 'crossing edges' FROM cell WHERE code LIKE '%17'")
+@query("SELECT code, 'unclosed' AS fault FROM cell WHERE code LIKE '%07' UNION ALL SELECT code, 'repeated vertex' FROM cell WHERE code LIKE '%08' UNION ALL SELECT code, 'turned' FROM cell WHERE code LIKE '%09' UNION ALL SELECT code, unnest(['crossing edges', 'flat']) FROM cell WHERE code LIKE '%11' UNION ALL SELECT code, 'out of bounds' FROM cell WHERE gx = 99 UNION ALL SELECT code, 'off the grid' FROM cell WHERE code LIKE '%13' UNION ALL SELECT code, unnest(['short', 'unclosed']) FROM cell WHERE code LIKE '%14' UNION ALL SELECT code, 'empty' FROM cell WHERE code LIKE '%15' UNION ALL SELECT code, 'crossing edges' FROM cell WHERE code LIKE '%17' UNION ALL SELECT code, unnest(['crossing rings', 'crossing rings']) FROM cell WHERE code LIKE '%21' UNION ALL SELECT code, 'hole outside' FROM cell WHERE code LIKE '%22' UNION ALL SELECT code, 'hole in a hole' FROM cell WHERE code LIKE '%23'")
 def geometry_checks(s, d):
     """Parcels with one fault planted in some of each block: a bow-tie of no area and one with area among them."""
     code, v = F.col("code"), F.col("vertices")
@@ -358,7 +358,13 @@ def geometry_checks(s, d):
     faulty = bad("07", F.slice(double, 1, 16)).when(code.endswith("08"), F.concat(F.slice(double, 1, 1), double)).when(code.endswith("09"), F.reverse(double)).when(code.endswith("11"), flat)
     faulty = faulty.when(code.endswith("13"), F.transform(double, lambda p, i: F.struct(F.when(i == 2, p["x"] + 0.5).otherwise(p["x"]).alias("x"), p["y"].alias("y")))).when(code.endswith("14"), F.slice(double, 1, 3))
     faulty = faulty.when(code.endswith("15"), F.slice(double, 1, 0)).when(code.endswith("17"), F.concat(F.slice(double, 1, 2), F.slice(double, 7, 1), F.slice(double, 4, 3), F.slice(double, 3, 1), F.slice(double, 8, 10))).otherwise(double)
-    return geometry.geometry_checks(frames.parcels(s, d).withColumn("vertices", faulty), (-10_000, -10_000, 4000 * 99 + 3000, 1 << 40)).select("code", "fault")
+    parcels = frames.parcels(s, d)
+    # holes: one across its shell, one beside it, one within another, and two that are as they should be
+    box = lambda x, y, side: F.array(*[F.struct(*[(F.round(v[0][c] / 4000) * 4000 + k).cast("double").alias(c) for c, k in zip("xy", step)]) for step in ((x, y), (x, y + side), (x + side, y + side), (x + side, y), (x, y))])
+    holes = F.when(code.endswith("21"), F.array(box(3000, 1500, 2000))).when(code.endswith("22"), F.array(box(5000, 1000, 500))).when(code.endswith("23"), F.array(box(1000, 1000, 2000), box(1500, 1500, 500))).when(code.endswith("24"), F.array(box(1000, 1000, 500), box(2000, 2000, 500)))
+    more = parcels.select("code", F.posexplode(holes).alias("k", "vertices")).select("code", (F.col("k") + 1).alias("ring"), "vertices")
+    whole = parcels.withColumn("vertices", faulty).unionByName(more)
+    return geometry.geometry_checks(whole, (-10_000, -10_000, 4000 * 99 + 3000, 1 << 40)).select("code", "fault")
 
 
 @query("SELECT x1, y1, x2, y2, a, b, n_owners, left_code, right_code, n > 2 OR n = 2 AND (left_code IS NULL OR right_code IS NULL) AS fault FROM own")
@@ -681,10 +687,15 @@ def arc_sort(s, d):
     return order.numbered(pairs, "a", F.coalesce("b", F.lit("")), "min_x", "min_y").select("place", "a", "b")
 
 
-@query("SELECT sum(x1 * y2 - x2 * y1)::bigint AS area2, count(*) AS n, CASE WHEN sum(x1 * y2 - x2 * y1) <= 32000000 THEN 'sliver' ELSE 'hole' END AS kind FROM seg JOIN cell USING (code) WHERE code LIKE '%55' AND gy + 1 <= (SELECT max(gy) FROM cell WHERE gx = 99) GROUP BY code")
+#: A place of a block without its parcel, and a ring of eight such places around a parcel that stays.
+_LONE, _RING = ("22",), ("44", "45", "46", "54", "56", "64", "65", "66")
+
+
+@query(f", gone AS (SELECT code[1:10] AS block, code[11:12] = '22' AS lone, sum(x1 * y2 - x2 * y1)::bigint AS area2, count(DISTINCT code) AS parcels FROM seg WHERE code[11:12] IN {_LONE + _RING} AND (SELECT max(gy) FROM cell WHERE gx = 99) > code[1:8]::int * 10 + CASE WHEN code[11:12] = '22' THEN 2 ELSE 6 END GROUP BY 1, 2) SELECT area2, CASE WHEN lone THEN 16 ELSE 64 END AS n, CASE WHEN area2 <= 32000000 THEN 'sliver' ELSE 'hole' END AS kind FROM gone")
 def coverage_holes(s, d):
-    """Without one parcel in each block, whose place becomes a hole."""
-    return overlay.coverage_holes(_segments(s, d).filter("code NOT LIKE '%55'"), 32_000_000).select("area2", "n", "kind")
+    """Without one parcel in each block, and without eight around one that stays as an island in their place."""
+    seg = _segments(s, d).filter(~F.substring("code", 11, 2).isin(*_LONE, *_RING))
+    return overlay.coverage_holes(seg, 32_000_000).select("area2", "n", "kind")
 
 
 @query("SELECT code[1:10] AS code, sum(x1 * y2 - x2 * y1)::bigint AS area2 FROM seg GROUP BY 1")
@@ -831,6 +842,21 @@ def write_geojson(s, d):
     path = tables.scratch_folder(s, "boundaries")
     degrees = F.transform("vertices", lambda v: F.struct((v["x"] / 1e7).alias("lon"), (v["y"] / 1e7).alias("lat")))
     features.write_geojson(frames.parcels(s, d).select("code", F.lit(0).alias("part"), "ring", degrees.alias("vertices")), path)
+    v = features.read_boundaries(s, path, "code: string", by_line=True).select("code", F.explode("vertices").alias("v"))
+    grid = geometry.round_grid(F.col("v.lon"), F.col("v.lat"))
+    return v.groupBy("code").agg(F.count("*").alias("vertices"), F.min(grid["x"]).alias("min_x"), F.max(grid["y"]).alias("max_y"))
+
+
+@query("SELECT code, count(*) AS vertices, min(x) AS min_x, max(y) AS max_y FROM v GROUP BY 1")
+def read_boundaries(s, d):
+    """Parcels as one collection on a single line, read in splits onto the grid."""
+    path = tables.scratch_folder(s, "collection")
+    degrees = F.transform("vertices", lambda v: F.struct((v["x"] / 1e7).alias("lon"), (v["y"] / 1e7).alias("lat")))
+    lines = features.feature_lines(frames.parcels(s, d).select("code", F.lit(0).alias("part"), "ring", degrees.alias("vertices"))).select("line")
+    none = '{"type":"Feature","properties":null,"geometry":null}'
+    row = lambda text: s.range(1).select(F.lit(text).alias("line"))
+    whole = row('{"type":"FeatureCollection","features":[' + none).unionByName(lines).unionByName(row(none + "]}"))
+    whole.coalesce(1).write.option("lineSep", ",").text(path)  # one file with one line is what is to be read
     v = features.read_boundaries(s, path, "code: string").select("code", F.explode("vertices").alias("v"))
     grid = geometry.round_grid(F.col("v.lon"), F.col("v.lat"))
     return v.groupBy("code").agg(F.count("*").alias("vertices"), F.min(grid["x"]).alias("min_x"), F.max(grid["y"]).alias("max_y"))

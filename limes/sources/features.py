@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from limes.functions import columns as C
+from limes.sources.collections import feature_texts
 
 POLYGON = "array<array<array<double>>>"
 #: Digits of a code by level, deepest first. Fixed values.
 DIGITS = {"distrito": 6, "provincia": 4, "departamento": 2}
 
 
-def read_boundaries(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """properties.*, part, ring, vertices (array of lon, lat) of the features of a file with one feature per line.
+def read_boundaries(spark: SparkSession, path: str, properties: str, by_line: bool = False) -> DataFrame:
+    """properties.*, part, ring, vertices (array of lon, lat) of the features of files.
 
-    Lines around the features (head and foot of a collection) and commas at line ends are passed over; features without
-    a geometry have no row.
+    A file is a collection in any layout (all on one line, as services deliver it, or indented), an array of features, or one
+    feature after the other; large files are read in splits.  by_line: each feature stands on a line of its own, which Spark's own reader
+    splits; lines around the features (head and foot of a collection) and commas at line ends are passed over.
+    Features without a geometry have no row.
     """
-    lines = spark.read.text(path).select(F.regexp_replace("value", r",?\s*$", "").alias("line"))
+    lines = spark.read.text(path).select(F.regexp_replace("value", r",?\s*$", "").alias("line")) if by_line else feature_texts(spark, path).select(F.col("text").alias("line"))
     shape = f"type string, properties struct<{properties}>, geometry struct<type: string, coordinates: string>"
     rows = lines.select(F.from_json("line", shape).alias("f")).filter("f.type = 'Feature' AND f.geometry.type IN ('Polygon', 'MultiPolygon')")
     # a polygon is a multipolygon of one part; each depth is read with its own schema

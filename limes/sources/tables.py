@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -74,6 +75,12 @@ def write_layers(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("nivel").parquet(path)
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine find the package from any working folder; elsewhere it is installed."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    return spark
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder in spark.checkpoint.dir; only a session on this machine alone may use a temporary one."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
