@@ -158,35 +158,56 @@ def neighbour_graph(points: DataFrame, dims: int, n: int, links: int = LINKS) ->
             return graph.select("id", "nb", "d")
 
 
-def greedy_search(graph: DataFrame, points: DataFrame, starts: DataFrame, dims: int, beam: int) -> DataFrame:
+def links_of(graph: DataFrame) -> DataFrame:
+    """id, nbs: the vertices that a vertex is linked to and the nearest that are linked to it, 2 * LINKS at most."""
+    back = graph.select(F.col("nb").alias("id"), F.col("id").alias("nb"), "d", F.lit(True).alias("fresh"))
+    both = graph.select("id", "nb").unionByName(nearest(back, LINKS).select("id", "nb"))
+    return cut(both.repartition("id").groupBy("id").agg(F.collect_set("nb").alias("nbs")))
+
+
+def greedy_search(edges: DataFrame, points: DataFrame, starts: DataFrame, dims: int, beam: int) -> DataFrame:
     """q, nb, d: the `beam` nearest vertices found for each start (column q, ids of points), itself included at distance 0.
 
     It ends when all kept vertices of all starts were looked at.  Queries are searched for in slices of SLICE_BYTES.
     """
-    step = max(STEP, beam // 6)
-    back = graph.select(F.col("nb").alias("id"), F.col("id").alias("nb"), "d", F.lit(True).alias("fresh"))
-    both = graph.select("id", "nb").unionByName(nearest(back, LINKS).select("id", "nb"))
-    edges = cut(both.repartition("id").groupBy("id").agg(F.collect_set("nb").alias("nbs")))  # 2 * LINKS at most
     asked = cut(starts.select("q").distinct().join(points.withColumnRenamed("id", "q"), "q"))
     slices = max(1, math.ceil(asked.count() * dims * 4 / SLICE_BYTES))
     found = None
     for k in range(slices):
         part = asked.filter(F.pmod(F.xxhash64("q"), F.lit(slices)) == k).toArrow().sort_by("q")  # SLICE_BYTES, about
         if part.num_rows:
-            one = slice_search(edges, points, part, dims, beam, step)
+            one = slice_search(edges, points, part, dims, beam, beam).select("q", "nb", "d")
             found = one if found is None else found.unionByName(one)
     return points.sparkSession.createDataFrame([], "q long, nb long, d double") if found is None else found
 
 
-def slice_search(edges: DataFrame, points: DataFrame, asked: pa.Table, dims: int, beam: int, step: int) -> DataFrame:
-    """greedy_search for the vectors of asked (q, v; in order of q)."""
+def slice_search(edges: DataFrame, points: DataFrame, asked: pa.Table, dims: int, beam: int, keep: int, state: DataFrame | None = None) -> DataFrame:
+    """q, nb, d, done: greedy_search for the vectors of asked (q, v; in order of q); the `keep` nearest found stay, the `beam` nearest are looked at.
+
+    state: what a search with a smaller beam has kept.  If that was as much as `beam`, going on from there finds what a search from
+    the start would find, for nothing that was dropped could be among the nearest now.
+    """
     spark = points.sparkSession
     queries = asked["q"].to_numpy()
     vectors = spark.sparkContext.broadcast((queries, matrix(asked["v"].combine_chunks(), dims)))
-    worst = np.full(len(queries), np.inf)
-    state = spark.createDataFrame(asked.select(["q"])).select("q", F.col("q").alias("nb"), F.lit(0.0).alias("d"), F.lit(False).alias("done"), F.lit(True).alias("now"))
-    order = Window.partitionBy("q")
+    step, order = max(STEP, beam // 6), Window.partitionBy("q")
+
+    def turn(once: DataFrame) -> DataFrame:
+        """What is kept, and which of it is looked at now."""
+        kept = once.withColumn("place", F.row_number().over(order.orderBy("d", "nb"))).filter(F.col("place") <= keep)
+        near = F.col("place") <= beam
+        kept = kept.withColumn("turn", F.row_number().over(order.orderBy(F.col("done") | ~near, "d", "nb")))
+        return cut(kept.select("q", "nb", "d", "done", (near & ~F.col("done") & (F.col("turn") <= step)).alias("now")))
+
+    if state is None:
+        state = spark.createDataFrame(asked.select(["q"])).select("q", F.col("q").alias("nb"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
+    state = turn(state)
     while True:  # each round looks at new vertices, and a kept one only gives way to nearer ones
+        ends = state.groupBy("q").agg(F.when(F.count("*") == keep, F.max("d")).alias("worst"), F.count_if("now").alias("now")).toArrow().sort_by("q")
+        if not pa.compute.sum(ends["now"]).as_py():
+            vectors.unpersist()
+            return state.select("q", "nb", "d", "done")
+        worst = ends["worst"].fill_null(np.inf).to_numpy()
         met = state.filter("now").select("q", F.col("nb").alias("id")).join(edges, "id").select("q", F.explode("nbs").alias("id"))
         met = met.groupBy("id").agg(F.collect_set("q").alias("qs")).join(points, "id").select("id", "v", "qs")
 
@@ -205,15 +226,7 @@ def slice_search(edges: DataFrame, points: DataFrame, asked: pa.Table, dims: int
 
         new = met.mapInArrow(distances, "q long, nb long, d double")
         both = state.select("q", "nb", "d", (F.col("done") | F.col("now")).alias("done")).unionByName(new.withColumn("done", F.lit(False)))
-        once = both.repartition("q").groupBy("q", "nb").agg(F.min("d").alias("d"), F.bool_or("done").alias("done"))
-        kept = once.withColumn("place", F.row_number().over(order.orderBy("d", "nb"))).filter(F.col("place") <= beam)
-        turn = F.row_number().over(order.orderBy("done", "d", "nb"))
-        state = cut(kept.withColumn("now", ~F.col("done") & (turn <= step)).select("q", "nb", "d", "done", "now"))
-        ends = state.groupBy("q").agg(F.when(F.count("*") == beam, F.max("d")).alias("worst"), F.count_if("now").alias("now")).toArrow().sort_by("q")
-        if not pa.compute.sum(ends["now"]).as_py():
-            vectors.unpersist()
-            return state.select("q", "nb", "d")
-        worst = ends["worst"].fill_null(np.inf).to_numpy()
+        state = turn(both.repartition("q").groupBy("q", "nb").agg(F.min("d").alias("d"), F.bool_or("done").alias("done")))
 
 
 def exact(points: DataFrame, starts: DataFrame, k: int) -> DataFrame:
@@ -246,16 +259,21 @@ def search_widening(graph: DataFrame, points: DataFrame, precise: DataFrame, sta
     number = starts.count()
     sample = cut(starts.select("q").filter(F.pmod(F.xxhash64("q", F.lit(SEED)), F.lit(max(1, number // SAMPLE))) == 0))
     truth = cut(exact(precise, sample, k + 1))
-    beam, wanted = BEAM, truth.count()
+    edges = links_of(graph)
+    asked = sample.join(points.withColumnRenamed("id", "q"), "q").select("q", "v").toArrow().sort_by("q")  # 2 * SAMPLE rows, about
+    beam, wanted, found = BEAM, truth.count(), None
+    if not asked.num_rows:
+        return greedy_search(edges, points, starts, dims, beam)
     while True:
-        found = cut(greedy_search(graph, points, sample, dims, beam))
+        found = slice_search(edges, points, asked, dims, beam, 2 * beam, found)
         if found.join(truth.select("q", "nb"), ["q", "nb"], "left_semi").count() >= RECALL * wanted:
             break
         beam += beam // 2
         if beam * 2 * LINKS > n:
             return exact(precise, starts, 2 * k + 2)
+    found = found.select("q", "nb", "d")
     rest = starts.select("q").join(sample, "q", "left_anti")
-    return found if rest.isEmpty() else found.unionByName(greedy_search(graph, points, rest, dims, beam))
+    return found if rest.isEmpty() else found.unionByName(greedy_search(edges, points, rest, dims, beam))
 
 
 def scaled(classes: DataFrame) -> DataFrame:
@@ -300,7 +318,7 @@ def search_equal(rows: DataFrame, dims: int, k: int, every: int, beam: int | Non
     queries = member.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("rep").alias("q"))
     starts = cut(queries.groupBy("q").agg(F.count("*").alias("n")))
     graph = neighbour_graph(points, dims, n)
-    found = cut(greedy_search(graph, points, starts, dims, beam) if beam else search_widening(graph, points, precise, starts, dims, n, k))
+    found = cut(greedy_search(links_of(graph), points, starts, dims, beam) if beam else search_widening(graph, points, precise, starts, dims, n, k))
     # what the graph does not reach is looked for among all vectors
     reached = found.groupBy("q").agg(F.count("*").alias("reached")).filter(F.col("reached") >= min(k + 1, n))
     short = cut(starts.select("q").join(reached, "q", "left_anti"))

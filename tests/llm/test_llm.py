@@ -152,7 +152,7 @@ def test_embeddings(spark):
 def test_neighbour_search_looks_at_all_kept_vertices(spark):
     points = spark.createDataFrame([(k, [float(k), 0.0]) for k in range(40)], "id long, v array<float>")
     path = spark.createDataFrame([(k, k + 1, 1.0) for k in range(39)], "id long, nb long, d double")
-    found = neighbours.greedy_search(path, points, points.filter("id = 0").selectExpr("id AS q"), 2, beam=18).collect()
+    found = neighbours.greedy_search(neighbours.links_of(path), points, points.filter("id = 0").selectExpr("id AS q"), 2, beam=18).collect()
     assert sorted(r.nb for r in found) == list(range(18))
 
 
