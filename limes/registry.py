@@ -51,7 +51,10 @@ REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None
 
 def query(sql: str | None = None):
     def put(f):
-        REGISTERED[f.__name__] = (f, FRAMES + sql if sql and "FROM pages" not in sql else sql)
+        whole = FRAMES + sql if sql and "FROM pages" not in sql else sql
+        if whole and ", RECURSIVE " in whole:
+            whole = whole.replace("WITH c AS", "WITH RECURSIVE c AS", 1).replace(", RECURSIVE ", ", ", 1)
+        REGISTERED[f.__name__] = (f, whole)
         return f
 
     return put
@@ -665,11 +668,20 @@ def utm_round_trip(s, d):
     return there.select("event_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"), F.col("n").between(7_500_000, 10_000_000).alias("north"))
 
 
-@query(f"SELECT a, b, tipo, count(*) AS arcs, sum(n) AS segments, round(sum(length), 2) AS length, true AS sides FROM (SELECT a, b, CASE WHEN b IS NULL THEN 'exterior' ELSE 'interdistrital' END AS tipo, {_LEN} AS length, 1 AS n FROM own) GROUP BY ALL".replace("count(*) AS arcs, ", ""))
+#: Walks along the segments of a pair from each node to the next; r: the way is turned round where it ends at the lesser end.
+_WALK = f"""en AS (SELECT a, coalesce(b, '') AS b, x1 AS x, y1 AS y, x2 AS ox, y2 AS oy, left_code AS l, right_code AS r, {_LEN} AS len FROM own UNION ALL SELECT a, coalesce(b, ''), x2, y2, x1, y1, right_code, left_code, {_LEN} FROM own),
+nd AS (SELECT x, y FROM en GROUP BY ALL HAVING count(*) <> 2 OR count(DISTINCT (a, b)) > 1),
+wk(a, b, x0, y0, sx, sy, px, py, x, y, n, l, r, len, path) AS (SELECT a, b, x, y, ox, oy, x, y, ox, oy, 1, l, r, len, x || ' ' || y || ',' || ox || ' ' || oy FROM en SEMI JOIN nd USING (x, y)
+  UNION ALL SELECT w.a, w.b, x0, y0, sx, sy, w.x, w.y, e.ox, e.oy, n + 1, w.l, w.r, w.len + e.len, path || ',' || e.ox || ' ' || e.oy FROM (SELECT * FROM wk ANTI JOIN nd USING (x, y)) w JOIN en e ON e.a = w.a AND e.b = w.b AND e.x = w.x AND e.y = w.y AND (e.ox <> w.px OR e.oy <> w.py)),
+ar AS (SELECT * FROM wk SEMI JOIN nd USING (x, y) WHERE (x0, y0, sx, sy) < (x, y, px, py))"""
+
+
+@query(f", RECURSIVE {_WALK} SELECT a, nullif(b, '') AS b, CASE WHEN b = '' THEN 'exterior' ELSE 'interdistrital' END AS tipo, row_number() OVER (PARTITION BY a, b ORDER BY x0, y0, sx, sy) - 1 AS arc, l AS izquierda, r AS derecha, round(len, 2) AS length, path FROM ar")
 def boundary_arcs(s, d):
-    """Arcs of each pair of neighbours, and of each unit with the outside."""
-    found = arcs.boundary_arcs(_owners(s, d))
-    return found.groupBy("a", "b", "tipo").agg(F.sum(F.size("vertices") - 1).alias("segments"), F.round(F.sum("length"), 2).alias("length"), F.bool_and("lado_resuelto").alias("sides"))
+    """Arcs of each pair of neighbours, and of each unit with the outside, with their points in order."""
+    found = arcs.boundary_arcs(_owners(s, d)).filter("lado_resuelto")
+    path = F.array_join(F.transform("vertices", lambda v: F.concat_ws(" ", v["x"], v["y"])), ",")
+    return found.select("a", "b", "tipo", "arc", "izquierda", "derecha", F.round("length", 2).alias("length"), path.alias("path"))
 
 
 @query("SELECT a, b, count(*) AS segments FROM own WHERE n_owners = 2 AND left_code IS NOT NULL AND right_code IS NOT NULL AND left_code <> right_code GROUP BY 1, 2")
@@ -727,18 +739,33 @@ def overlaps(s, d):
     return overlay.overlaps(p.unionByName(twice), 4000, 1.0).select("a", "b", F.round("area", 1).alias("area"))
 
 
-@query()
+#: Between a side's five points and the chord of its corners: places along the chord and cross products, in pairs; then the areas of their trapezoids.
+_SIDE = """, sd AS (SELECT p.code, p.k AS k, p.x, p.y, c.x AS cx, c.y AS cy, e.x - c.x AS dx, e.y - c.y AS dy FROM v c JOIN v e ON e.code = c.code AND e.k = c.k + 4 JOIN v p ON p.code = c.code AND p.k BETWEEN c.k AND e.k WHERE c.k % 4 = 0),
+ct AS (SELECT code, k, cx, cy, ((x - cx) * dx + (y - cy) * dy)::double / (dx * dx + dy * dy) AS t, (dx * (y - cy) - dy * (x - cx))::double AS c FROM sd),
+tp AS (SELECT code, lead(t) OVER w - t AS dt, abs(c) AS a, abs(lead(c) OVER w) AS b, c * lead(c) OVER w < 0 AS over FROM ct WINDOW w AS (PARTITION BY code, cx, cy ORDER BY k)),
+dev AS (SELECT sum(CASE WHEN over THEN dt * (a * a + b * b) / (2 * (a + b)) ELSE dt * (a + b) / 2 END) AS moved FROM tp WHERE dt IS NOT NULL AND code NOT LIKE '%33' AND code NOT LIKE '%34'),
+quad AS (SELECT a.code, sum(a.x * b.y - b.x * a.y) AS area2 FROM v a JOIN v b ON a.code = b.code AND b.k = a.k + 4 WHERE a.k % 4 = 0 GROUP BY 1),
+hl AS (SELECT count(*) AS n, coalesce(sum(area2), 0) / 2 AS area FROM quad WHERE code LIKE '%33' AND code[1:8]::int * 10 + 3 < (SELECT max(gy) FROM cell WHERE gx = 99)),
+sz AS (SELECT sum(12 + length(x::varchar || y::varchar)) + 1 * count(DISTINCT code) AS f, sum(12 + length(x::varchar || y::varchar)) FILTER (WHERE k % 4 = 0 AND code NOT LIKE '%33') + count(DISTINCT code) FILTER (WHERE code NOT LIKE '%33') AS s FROM v),
+nn AS (SELECT count(*) AS n, count(*) FILTER (WHERE code LIKE '%33') AS n33, count(*) FILTER (WHERE code LIKE '%34') AS n34 FROM cell)
+SELECT measure, round(value::double, 6) AS value FROM (SELECT unnest(['lost', 'added', 'vertices kept', 'deviation', 'area moved', 'faults', 'overlaps', 'overlap area', 'holes', 'hole area', 'size']) AS measure,
+  unnest([n33 + n34, n34, (n - n33) / (4.0 * n), round(moved, 1), 2 * moved / (SELECT sum(x1 * y2 - x2 * y1) FROM seg), 0, 0, 0, (SELECT n FROM hl), (SELECT area FROM hl), (SELECT s / f FROM sz)]::double[]) AS value FROM nn, dev)"""
+
+
+@query(_SIDE)
 def simplify_audit(s, d):
+    """Parcels against their corners alone, of which one in each block is missing and one has another code."""
     p = frames.parcels(s, d)
-    return arcs.simplify_audit(p, arcs.simplify_layer(p, 300.0))
+    corners = p.filter("code NOT LIKE '%33'").select(F.when(F.col("code").endswith("34"), F.concat(F.substring("code", 1, 10), F.lit("9934"))).otherwise(F.col("code")).alias("code"), "ring", F.filter("vertices", lambda v, i: i % 4 == 0).alias("vertices"))
+    return arcs.simplify_audit(p, corners).select("measure", F.round(F.when(F.col("measure") == "deviation", F.round("value", 1)).otherwise(F.col("value")), 6).alias("value"))
 
 
-@query("SELECT code, true AS closed, true AS enough FROM cell")
+@query(f", RECURSIVE {_WALK} SELECT v.code, string_agg(x || ' ' || y, ',' ORDER BY k) AS path FROM v SEMI JOIN nd USING (x, y) WHERE k < 16 GROUP BY 1")
 def simplify_layer(s, d):
-    """Each parcel keeps a closed ring of three points or more."""
-    found = arcs.simplify_layer(frames.parcels(s, d), 300.0)
+    """With no bound on what may go, only the points stay at which borders meet."""
+    found = arcs.simplify_layer(frames.parcels(s, d), 1e9)
     v = F.col("vertices")
-    return found.select("code", (F.element_at(v, 1) == F.element_at(v, -1)).alias("closed"), (F.size(v) > 3).alias("enough"))
+    return found.select("code", F.array_join(F.transform(F.slice(v, 1, F.size(v) - 1), lambda p: F.concat_ws(" ", p["x"], p["y"])), ",").alias("path"))
 
 
 def _cut_entries(s: SparkSession, d: str) -> DataFrame:

@@ -75,10 +75,55 @@ def test_arcs_of_a_grid(spark):
     assert [(r.a, r.b or "") for r in arcs.arc_sort(arcs.boundary_arcs(owners)).collect()] == sorted((r.a, r.b or "") for r in found)
 
 
+def test_arcs_of_rings_loops_and_long_borders(spark):
+    """Rings without nodes, a loop that returns to its node, borders in several pieces, and sides that disagree."""
+    ring = lambda n, x, y, r: [(x + round(r * math.cos(2 * math.pi * k / n)), y + round(r * math.sin(2 * math.pi * k / n))) for k in range(n)]
+    lake, coast = ring(37, 0, 0, 1000), ring(64, 0, 0, 5000)
+    rows = [("01", 0, [*coast, coast[0]]), ("01", 1, [*lake[::-1], lake[-1]]), ("02", 0, [*lake, lake[0]])]
+    owners = geometry.segment_owners(geometry.ring_segments(spark.createDataFrame(rows, SHAPE)))
+    found = {(r.a, r.b): r for r in arcs.boundary_arcs(owners).collect()}
+    assert set(found) == {("01", None), ("01", "02")} and found["01", "02"].tipo == "interdistrital"
+    for pair, points in ((("01", None), coast), (("01", "02"), lake)):
+        v = [tuple(p) for p in found[pair].vertices]
+        k = points.index(min(points))
+        turned = points[k:] + points[:k]
+        assert v in ([*turned, turned[0]], [turned[0], *turned[1:][::-1], turned[0]]) and v[1] == min(turned[1], turned[-1])
+        assert found[pair].lado_resuelto and math.isclose(found[pair].length, sum(math.dist(p, q) for p, q in zip(v, v[1:])))
+    # two squares that touch at a corner: the corner is a node, and each square's outline a loop from it
+    loops = arcs.boundary_arcs(geometry.segment_owners(geometry.ring_segments(polygon(spark, [("1", square(0, 0)), ("2", square(10, 10))])))).collect()
+    assert sorted([tuple(p) for p in r.vertices] for r in loops) == [[(10, 10), (0, 10), (0, 0), (10, 0), (10, 10)], [(10, 10), (10, 20), (20, 20), (20, 10), (10, 10)]]
+    # a straight border of 1,000 segments is one arc with its points in order
+    zigzag = [(k, (k * 7) % 5) for k in range(1001)]
+    up, down = [*zigzag, (1000, 50), (0, 50), zigzag[0]], [*zigzag[::-1], (0, -50), (1000, -50), zigzag[-1]]
+    owners = geometry.segment_owners(geometry.ring_segments(polygon(spark, [("1", up), ("2", down)])))
+    shared = arcs.boundary_arcs(owners).filter("b IS NOT NULL").collect()
+    assert len(shared) == 1 and [tuple(p) for p in shared[0].vertices] == zigzag and (shared[0].izquierda, shared[0].derecha) == ("1", "2")
+
+
 def test_thinning_keeps_ends_and_sharp_points():
     line = [(0, 0), (10, 1), (20, 0), (30, 200), (40, 0), (50, 0)]
-    assert arcs.thinned(line, 500) == [(0, 0), (20, 0), (30, 200), (40, 0), (50, 0)] or (30, 200) in arcs.thinned(line, 500)
-    assert arcs.thinned(line, 1e12) == [(0, 0), (50, 0)] and arcs.thinned(line, 0) == line
+    kept = lambda least: [p for p, a in zip(line, arcs.importance(line)) if a >= least]
+    assert kept(500) == [(0, 0), (20, 0), (30, 200), (40, 0), (50, 0)] or (30, 200) in kept(500)
+    assert kept(1e12) == [(0, 0), (50, 0)] and kept(0) == line
+
+
+def test_simplification_repairs_what_meets(spark):
+    """A dent around an islet stays around it, and two borders that come close do not cross."""
+    dent = [(0, 0), (400, 0), (400, 120), (480, 140), (480, 0), (1000, 0)]
+    land = [*dent, (1000, 800), (0, 800), (0, 0)]
+    sea = [*dent[::-1], (0, -800), (1000, -800), (1000, 0)]
+    islet = [(430, 60), (450, 60), (450, 80), (430, 80), (430, 60)]
+    rows = spark.createDataFrame([("1", 0, land), ("2", 0, sea), ("2", 1, islet[::-1]), ("3", 0, islet)], SHAPE)
+    for interval in (200,):
+        simple = arcs.simplify_layer(rows, interval, cell=256)
+        assert overlay.overlaps(simple, 512, 1e-6).count() == 0
+        areas = {r.code: r.area2 for r in geometry.polygon_measures(geometry.ring_segments(simple)).collect()}
+        assert sum(areas.values()) == 2 * 1600 * 1000 and areas["3"] == 2 * 400
+        assert geometry.ring_faults(geometry.ring_segments(simple), 256).count() == 0
+        audit = {r.measure: r.value for r in arcs.simplify_audit(rows, simple, 0, 256).collect()}
+        assert audit["overlaps"] == audit["overlap area"] == audit["faults"] == audit["lost"] == audit["added"] == audit["holes"] == audit["hole area"] == 0
+    # without repair the chord over the dent would leave the islet on the other side
+    assert [p for p, a in zip(dent, arcs.importance(dent)) if a >= 1e9] == [dent[0], dent[-1]]
 
 
 def test_cut_of_a_part_with_a_hole(spark):
