@@ -211,12 +211,29 @@ def closure(children: DataFrame, parents: DataFrame, digits: int) -> DataFrame:
 
 
 def bbox_pairs(boxes: DataFrame, cell: int) -> DataFrame:
-    """Pairs a < b whose boxes meet, by an equi-join on grid cells."""
-    cells = boxes.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell)))).withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cell), F.floor(F.col("max_y") / cell))))
-    cells = cells.select("code", "min_x", "min_y", "max_x", "max_y", "cx", "cy")
-    a, b = cells.alias("a"), cells.alias("b")
+    """Pairs a < b whose boxes (code, min_x, min_y, max_x, max_y) meet, by grids of several sizes.
+
+    A box lives in the grid whose cells are as large as it, in four cells at most, and visits the grids of larger boxes, where it is in
+    four at most too.  A pair is found in the grid of its larger box, and counted in the cell alone that holds the lower corner of what they share.
+    """
+    side = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(1))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(side / cell))).cast("int")
+    rows = boxes.select("code", "min_x", "min_y", "max_x", "max_y", level.alias("own"))
+    levels = sorted(r[0] for r in rows.select("own").distinct().collect())  # doublings of a size: few
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
+    at = lambda c: F.floor(F.col(c) / size)
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("cx", F.explode(F.sequence(at("min_x"), at("max_x")))).withColumn("cy", F.explode(F.sequence(at("min_y"), at("max_y"))))
+
+    home = placed(rows.withColumn("level", F.col("own"))).alias("b")
+    visit = placed(rows.withColumn("level", F.explode(F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>"))).filter("level >= own")).alias("a")
     meet = (F.col("a.min_x") <= F.col("b.max_x")) & (F.col("b.min_x") <= F.col("a.max_x")) & (F.col("a.min_y") <= F.col("b.max_y")) & (F.col("b.min_y") <= F.col("a.max_y"))
-    return a.join(b, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.code") < F.col("b.code")) & meet).select(F.col("a.code").alias("a"), F.col("b.code").alias("b")).distinct()
+    once = (F.col("a.own") < F.col("b.own")) | (F.col("a.code") < F.col("b.code"))
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("b.level"))
+    corner = (F.floor(F.greatest("a.min_x", "b.min_x") / size) == F.col("b.cx")) & (F.floor(F.greatest("a.min_y", "b.min_y") / size) == F.col("b.cy"))
+    pairs = visit.join(home, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("level", "cx", "cy")]).filter(once & (F.col("a.code") != F.col("b.code")) & meet & corner)
+    return pairs.select(F.least("a.code", "b.code").alias("a"), F.greatest("a.code", "b.code").alias("b"))
 
 
 def points_in_units(points: DataFrame, segments: DataFrame, cell: int) -> DataFrame:

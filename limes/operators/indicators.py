@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limes.functions import columns as C
-from limes.operators.order import numbered
+from limes.sources.tables import stored
 
 
 def attach_indicator(units: DataFrame, values: DataFrame | None, areas: DataFrame | None = None) -> DataFrame:
@@ -21,22 +21,50 @@ def indicator_counts(attached: DataFrame) -> DataFrame:
     return attached.agg(F.count("value").alias("with_value"), F.count_if(F.col("value").isNull()).alias("without_value"))
 
 
-def ranked(values: DataFrame) -> DataFrame:
-    """measure, value, r (from 0), n: values without nulls in their measure's order; places come from a range partition, so no task holds a measure."""
-    rows = numbered(values.filter("value IS NOT NULL").select("measure", "value"), "measure", "value")
-    ends = rows.groupBy("measure").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    return rows.join(F.broadcast(ends), "measure").select("measure", "value", (F.col("place") - F.col("first")).alias("r"), "n")
+#: Buckets into which a range of values is split in each round, and values of a range that are sorted in one row at last.
+BUCKETS, SORTED = 4096, 10_000
+
+
+def selected(values: DataFrame, wanted: DataFrame) -> DataFrame:
+    """measure, r, value: the values at the wanted places (measure, r; from 0) of their measure's order, in double precision; finite values only.
+
+    No value is sorted but in small ranges: each round counts the values of the ranges that hold a wanted place in buckets, which combine in
+    the map tasks, and goes on with the buckets that hold one, from their least to their largest value.
+    """
+    rows = values.filter("value IS NOT NULL").select("measure", F.col("value").cast("double").alias("value"))
+    ends = rows.groupBy("measure").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
+    open_ = stored(wanted.join(ends, "measure").select("measure", "r", "lo", "hi", F.lit(0).cast("long").alias("base"), "n"))
+    done = None
+    while True:
+        found = open_.filter("lo = hi").select("measure", "r", F.col("lo").alias("value"))
+        done = found if done is None else done.unionByName(found)
+        small = open_.filter(f"lo < hi AND n <= {SORTED}")
+        large = open_.filter(f"lo < hi AND n > {SORTED}")
+        ranges = lambda df: F.broadcast(df.select("measure", "lo", "hi").distinct())  # noqa: E731 as many as places are wanted
+        within = lambda df: rows.join(ranges(df), "measure").filter(F.col("value").between(F.col("lo"), F.col("hi")))
+        lists = within(small).groupBy("measure", "lo", "hi").agg(F.sort_array(F.collect_list("value")).alias("v"))
+        done = done.unionByName(small.join(F.broadcast(lists), ["measure", "lo", "hi"]).select("measure", "r", F.element_at("v", (F.col("r") - F.col("base") + 1).cast("int")).alias("value")))
+        if large.isEmpty():
+            return done
+        scale = BUCKETS / (F.col("hi") - F.col("lo"))
+        inner = F.when(scale < float("inf"), F.least(F.lit(BUCKETS - 1), F.floor((F.col("value") - F.col("lo")) * scale))).otherwise(1)
+        bucket = F.when(F.col("value") == F.col("lo"), 0).when(F.col("value") == F.col("hi"), BUCKETS - 1).otherwise(inner)
+        counts = within(large).groupBy("measure", "lo", "hi", bucket.alias("bucket")).agg(F.min("value").alias("lo2"), F.max("value").alias("hi2"), F.count("*").alias("n2"))
+        below = F.coalesce(F.sum("n2").over(Window.partitionBy("measure", "lo", "hi").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        placed = large.join(F.broadcast(counts.withColumn("below", below)), ["measure", "lo", "hi"]).withColumn("base", F.col("base") + F.col("below"))
+        open_ = stored(placed.filter((F.col("r") >= F.col("base")) & (F.col("r") < F.col("base") + F.col("n2"))).select("measure", "r", F.col("lo2").alias("lo"), F.col("hi2").alias("hi"), "base", F.col("n2").alias("n")))
 
 
 def at_places(values: DataFrame, k: int, whole: bool) -> DataFrame:
     """measure, i, low, high, share: the values around the place i / k of the way, and how far it lies between them; whole places only if so asked."""
-    rows = ranked(values)
-    places = rows.select("measure", "n").distinct().select("measure", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("i"), "n")
+    sizes = values.filter("value IS NOT NULL").groupBy("measure").agg(F.count("*").alias("n"))
+    places = sizes.select("measure", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("i"), "n")
     exact = F.col("i") * (F.col("n") - 1)
-    places = places.select("measure", "i", F.floor(exact / k).cast("long").alias("r"), (F.lit(0.0) if whole else exact / k - F.floor(exact / k)).alias("share"))
-    each = places.select("measure", "i", "share", F.explode(F.array(F.struct("r", F.lit(0).alias("up")), F.struct((F.col("r") + 1).alias("r"), F.lit(1).alias("up")))).alias("x")).select("measure", "i", "share", "x.r", "x.up")
-    met = rows.join(F.broadcast(each), ["measure", "r"])
-    return met.groupBy("measure", "i", "share").agg(F.max(F.when(F.col("up") == 0, F.col("value"))).alias("low"), F.max(F.when(F.col("up") == 1, F.col("value"))).alias("high"))
+    places = stored(places.select("measure", "i", F.floor(exact / k).cast("long").alias("r"), (F.lit(0.0) if whole else exact / k - F.floor(exact / k)).alias("share")))
+    wanted = places.select("measure", "r")
+    found = stored(selected(values, (wanted if whole else wanted.unionByName(places.filter("share > 0").select("measure", (F.col("r") + 1).alias("r")))).distinct()))
+    low, high = found.withColumnRenamed("value", "low"), found.select("measure", (F.col("r") - 1).alias("r"), F.col("value").alias("high"))
+    return places.join(low, ["measure", "r"]).join(high, ["measure", "r"], "left").select("measure", "i", "share", "low", "high")
 
 
 def quantile_cuts(values: DataFrame, k: int = 6) -> DataFrame:

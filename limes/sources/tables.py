@@ -58,11 +58,19 @@ def law_lines(entries: DataFrame) -> DataFrame:
 
 
 def read_census_rows(spark: SparkSession, path: str, columns: int = 10) -> DataFrame:
-    """source, row_idx, cells: rows in file order, numbered within each file."""
+    """source, row_idx, cells: rows in file order, numbered within each file.
+
+    Large files are read in splits: a split's rows are counted, the counts of the splits before it are added up, and each row
+    adds its place in its own split.  The table of splits has a row for each split and is broadcast.
+    """
     schema = ", ".join(f"c{k} string" for k in range(columns))
     rows = spark.read.csv(path, schema=schema, header=False)
     rows = rows.select(F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("k"), F.array(*[f"c{k}" for k in range(columns)]).alias("cells"))
-    return rows.select("source", (F.row_number().over(Window.partitionBy("source").orderBy("block", "k")) - 1).cast("long").alias("row_idx"), "cells")
+    # a split's rows stand together in one task, so their ids follow each other
+    splits = rows.groupBy("source", "block").agg(F.min("k").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("source", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("less"))
+    return rows.join(F.broadcast(splits), ["source", "block"]).select("source", (F.col("k") + F.col("less")).cast("long").alias("row_idx"), "cells")
 
 
 def write_table_csv(df: DataFrame, path: str, code: str = "ubigeo") -> None:
