@@ -335,9 +335,20 @@ def indicator_json(s, d):
     return indicators.indicator_json(v).select("measure", text.alias("json"))
 
 
-@query("SELECT code, seq, x1, y1, x2, y2 FROM seg")
+@query("SELECT code, string_agg(x1 || ' ' || y1 || ' ' || x2 || ' ' || y2, ',' ORDER BY seq) AS segments FROM seg GROUP BY 1")
 def ring_segments(s, d):
-    return _segments(s, d).select("code", F.col("seq").cast("long").alias("seq"), "x1", "y1", "x2", "y2")
+    """The segments of each parcel in a row, in their order."""
+    rows = _segments(s, d).groupBy("code").agg(F.array_sort(F.collect_list(F.struct("seq", F.concat_ws(" ", "x1", "y1", "x2", "y2").alias("t")))).alias("e"))
+    return rows.select("code", F.array_join(F.transform("e", lambda e: e["t"]), ",").alias("segments"))
+
+
+@query(", g AS (SELECT code, k, round(x / 1e7 * 10000)::bigint AS x, round(y / 1e7 * 10000)::bigint AS y FROM v), h AS (SELECT *, k > 0 AND x = lag(x) OVER w AND y = lag(y) OVER w AS again FROM g WINDOW w AS (PARTITION BY code ORDER BY k)) SELECT code, count(*) FILTER (WHERE NOT again) AS points, count(*) FILTER (WHERE NOT again) < 4 AS collapsed, string_agg(x || ' ' || y, ',' ORDER BY k) FILTER (WHERE NOT again) AS path FROM h GROUP BY 1")
+def round_layer(s, d):
+    """Parcels on a grid about as wide as their edges: points that fall together are dropped, and rings that are left with too few have collapsed."""
+    grid = F.transform("vertices", lambda v: geometry.round_grid(v["x"] / 1e7, v["y"] / 1e7, 4))
+    v = geometry.drop_repeats(F.col("vertices"))
+    rows = frames.parcels(s, d).withColumn("vertices", grid).select("code", v.alias("v"))
+    return rows.select("code", F.size("v").cast("long").alias("points"), (F.size("v") < 4).alias("collapsed"), F.array_join(F.transform("v", lambda p: F.concat_ws(" ", p["x"], p["y"])), ",").alias("path"))
 
 
 @query(f"SELECT code, sum(x1 * y2 - x2 * y1)::bigint AS area2, round(sum({_LEN}), 3) AS perimeter, min(x1) AS min_x, min(y1) AS min_y, max(x1) AS max_x, max(y1) AS max_y, count(*) AS vertices FROM seg GROUP BY 1")
@@ -710,11 +721,10 @@ def coverage_holes(s, d):
     return overlay.coverage_holes(seg, 32_000_000).select("area2", "n", "kind")
 
 
-@query("SELECT code[1:10] AS code, sum(x1 * y2 - x2 * y1)::bigint AS area2 FROM seg GROUP BY 1")
+@query(", nt AS (SELECT code[1:10] AS code, x1, y1, x2, y2 FROM und GROUP BY ALL HAVING sum(CASE WHEN ahead THEN 1 ELSE -1 END) <> 0), lo AS (SELECT code, min(least((x1, y1), (x2, y2))) AS p, count(*) AS n FROM nt GROUP BY 1) SELECT code, p[1] AS x, p[2] AS y, area2, n FROM lo JOIN (SELECT code[1:10] AS code, sum(x1 * y2 - x2 * y1)::bigint AS area2 FROM seg GROUP BY 1) USING (code)")
 def dissolve_rings(s, d):
-    """Each block's outline as rings, whose areas are those of its parcels."""
-    found = overlay.ring_areas(geometry.dissolve(_segments(s, d), 10))
-    return found.groupBy("code").agg(F.sum("area2").cast("long").alias("area2"))
+    """Each block's outline, which is one ring: its least point, area and number of segments."""
+    return overlay.ring_areas(geometry.dissolve(_segments(s, d), 10)).select("code", "x", "y", F.col("area2").cast("long").alias("area2"), "n")
 
 
 @query("SELECT code[1:10] AS code, round(sum(CASE WHEN code LIKE '%01' OR code LIKE '%33' THEN (x1 * y2 - x2 * y1) / 2 ELSE 0 END), 1) AS area FROM seg GROUP BY 1 HAVING sum(CASE WHEN code LIKE '%01' OR code LIKE '%33' THEN 1 ELSE 0 END) > 0")
