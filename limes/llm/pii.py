@@ -1,7 +1,7 @@
 """Operator 10: personal data, found through disguises, with offsets in the source text.
 
-Plain finders give the base spans.  A chain of transducers then rewrites look-alike characters, spelled digits and
-at/dot disguises, and keeps for every character of its output the source characters that it stands for; the finders
+Plain finders give the base spans.  A chain of transducers then rewrites look-alike characters, invisible ones,
+character references of signs, spelled digits, letters among digits and at/dot disguises, and keeps for every character of its output the source characters that it stands for; the finders
 run over the rewritten text, and what they find there is mapped back to the source.
 """
 
@@ -55,6 +55,17 @@ BRACKETS = re.compile(r" ?[(\[{<] ?(at|dot|@|\.) ?[)\]}>] ?", re.I)
 WORDS = re.compile(r"(?<=[A-Za-z0-9]) (at|dot) (?=[A-Za-z0-9-]+(?: dot |\.)[A-Za-z0-9]|[A-Za-z]{2,10}\b|(?<=[0-9] dot )[0-9])", re.I)
 #: An ' at ' before a host with plain dots; others need a ' dot ' or a bracket to become an address.
 AT_HOST = re.compile(r" at [A-Za-z0-9-]+\.[A-Za-z0-9]", re.I)
+#: Characters without width inside an identifier, references of signs, signs set apart by blanks on both sides.
+INVISIBLE = re.compile(r"(?<=[A-Za-z0-9._%+@-])[\u00AD\u200B-\u200D\u2060\uFEFF]+(?=[A-Za-z0-9._%+@-])")
+REFERENCE = re.compile(r"&(?:(#0*64|#x0*40|commat)|#0*46|#x0*2e|period);", re.I)
+APART = re.compile(r"(?<=[A-Za-z0-9]) @ (?=[A-Za-z0-9-]+(?: \. [A-Za-z0-9-]+)* \. [a-z]{2,10}(?![A-Za-z0-9]))")
+HOST_APART = re.compile(r"[A-Za-z0-9-]+(?: \. [A-Za-z0-9-]+)+")
+PLUS = re.compile(r"(?<![A-Za-z])plus[ ,-]{1,2}(?=[0-9])", re.I)
+#: Figures with letters among them: tokens of digits and such letters, in a row.
+MIXED = re.compile(r"(?<![A-Za-z0-9])[0-9OolI](?:[0-9OolI]|[ ().-]{1,2}(?=[0-9OolI(]))*+(?![A-Za-z0-9])")
+TOKEN = re.compile(r"[0-9OolI]+")
+NEAR_DIGIT = re.compile(r"[0-9][OolI]|[OolI][0-9]")
+LETTER = {"O": "0", "o": "0", "l": "1", "I": "1"}
 SIGN = {"at": "@", "dot": ".", "@": "@", ".": "."}
 
 
@@ -100,15 +111,21 @@ class Tape:
         self.text, self.starts, self.ends, self.changed = text, range(len(text)), range(1, len(text) + 1), [False] * len(text)
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
-        """Replace text[a:b] by one character, for each (a, b, character) in order."""
+        """Replace text[a:b] by one character or none, for each (a, b, character) in order; where one goes, the one before it counts as changed."""
         if not edits:
             return
         parts, starts, ends, changed, at = [], [], [], [], 0
         for a, b, new in edits:
             parts += [self.text[at:a], new]
-            starts += [*self.starts[at:a], self.starts[a]]
-            ends += [*self.ends[at:a], self.ends[b - 1]]
-            changed += [*self.changed[at:a], True]
+            starts += self.starts[at:a]
+            ends += self.ends[at:a]
+            changed += self.changed[at:a]
+            if new:
+                starts.append(self.starts[a])
+                ends.append(self.ends[b - 1])
+                changed.append(True)
+            elif changed:
+                changed[-1] = True
             at = b
         parts.append(self.text[at:])
         starts += self.starts[at:]
@@ -125,29 +142,55 @@ def spelled_runs(text: str) -> Iterator[tuple[int, int]]:
             yield a, b
 
 
+def letters_among_digits(text: str) -> list[tuple[int, int, str]]:
+    """O and l in the place of 0 and 1, in tokens that hold digits or adjoin a dot, where they stand in a row with four digits or more."""
+    edits = []
+    for m in MIXED.finditer(text):
+        if sum(c.isdigit() for c in m[0]) >= 4:
+            for t in TOKEN.finditer(m[0]):
+                if DIGIT.search(t[0]) or "." in (m[0][t.start() - 1 : t.start()], m[0][t.end() : t.end() + 1]):
+                    edits += [(m.start() + t.start() + k, m.start() + t.start() + k + 1, LETTER[c]) for k, c in enumerate(t[0]) if c in LETTER]
+    return edits
+
+
 def disguised(text: str) -> Tape | None:
     """The text after all transducers, or None if none of them applies."""
     table = lookalikes()
-    folded = None if text.isascii() or table.keys().isdisjoint(map(ord, set(text))) else text.translate(table)
+    ascii_ = text.isascii()
+    folded = None if ascii_ or table.keys().isdisjoint(map(ord, set(text))) else text.translate(table)
+    hidden = not ascii_ and INVISIBLE.search(text) is not None
     plain_text = folded or text
     low = plain_text.lower() if plain_text.isascii() else plain_text.casefold()
-    spelled = list(spelled_runs(plain_text)) if any(x in low for x in SPELLED) else []
+    referred = "&" in low and REFERENCE.search(plain_text) is not None
+    names = any(x in low for x in SPELLED)
     signs = " dot " in low or " at " in low and AT_HOST.search(plain_text) is not None or BRACKETS.search(plain_text) is not None
-    if folded is None and not spelled and not signs:
+    apart = " @ " in low and APART.search(plain_text) is not None
+    mixed = NEAR_DIGIT.search(plain_text) is not None
+    if not (folded or hidden or referred or names or signs or apart or mixed):
         return None
     tape = Tape(text)
     if folded:
         tape.text, tape.changed = folded, [a != b for a, b in zip(text, folded, strict=True)]
-    # the blank after a digit's name goes with it, but what separates the run from the next word stays
-    tape.rewrite([(a + m.start(), a + m.end(), SPELLED[m[1].casefold()]) for a, b in spelled for m in NAME.finditer(tape.text[a:b])])
+    if hidden:
+        tape.rewrite([(m.start(), m.end(), "") for m in INVISIBLE.finditer(tape.text)])
+    if referred:
+        tape.rewrite([(m.start(), m.end(), "@" if m[1] else ".") for m in REFERENCE.finditer(tape.text)])
+    if names:
+        # the blank after a digit's name goes with it, but what separates the run from the next word stays
+        tape.rewrite([(a + m.start(), a + m.end(), SPELLED[m[1].casefold()]) for a, b in spelled_runs(tape.text) for m in NAME.finditer(tape.text[a:b])])
+        tape.rewrite([(m.start(), m.end(), "+") for m in PLUS.finditer(tape.text) if tape.changed[m.end()]])
     if signs:
         tape.rewrite([(m.start(), m.end(), SIGN[m[1].lower()]) for m in BRACKETS.finditer(tape.text)])
         tape.rewrite([(m.start(), m.end(), SIGN[m[1].lower()]) for m in WORDS.finditer(tape.text)])
-    return tape
+    if apart:
+        tape.rewrite([x for m in APART.finditer(tape.text) for x in ((m.start(), m.end(), "@"), *((m.end() + d.start(), m.end() + d.end(), ".") for d in re.finditer(r" \. ", HOST_APART.match(tape.text, m.end())[0])))])
+    if mixed:
+        tape.rewrite(letters_among_digits(tape.text))
+    return tape if any(tape.changed) else None
 
 
 def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Base spans, and those that the transducers add: of rewritten characters, clear of base spans of their kind."""
+    """Base spans, and those that the transducers add: of rewritten characters, and clear of base spans of their kind or around them."""
     base = plain(text)
     tape = disguised(text)
     if tape is None:
@@ -156,7 +199,8 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
     for kind, a, b in plain(tape.text):
         if any(tape.changed[a:b]):
             start, end = tape.starts[a], tape.ends[b - 1]
-            if not any(k == kind and s < end and start < e for k, s, e in base):
+            met = [(s, e) for k, s, e in base if k == kind and s < end and start < e]
+            if all(start <= s and e <= end and (s, e) != (start, end) for s, e in met):
                 added.append((kind, start, end))
     return base, added
 

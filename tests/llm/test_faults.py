@@ -2,8 +2,10 @@
 
 import numpy as np
 
+import pytest
+
 import corpus_pipeline
-from limes.llm import embeddings, linededup, neighbours
+from limes.llm import embeddings, linededup, neighbours, pii
 
 
 def test_neighbours_far_from_the_origin(spark):
@@ -37,3 +39,28 @@ def test_columns_with_the_names_of_helpers(spark):
     kept = corpus_pipeline.without_near_copies(spark, copies, "")
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3]
     assert linededup.remove_boilerplate(docs.limit(0)).columns == [*docs.columns, "n_removed"]
+
+
+@pytest.mark.parametrize(
+    "text, kind, part",
+    [
+        ("call plus four nine one five one two three four five six seven now", "phone", "plus four nine one five one two three four five six seven"),
+        ("write john @ example . com or", "email", "john @ example . com"),
+        ("tel. +1 (2O2) 555-O1O4 today", "phone", "+1 (2O2) 555-O1O4"),
+        ("see john&#64;example.com, or", "email", "john&#64;example.com"),
+        ("see john&commat;example&#x2E;com, or", "email", "john&commat;example&#x2E;com"),
+        ("see john\u200bdoe@example.com, or", "email", "john\u200bdoe@example.com"),
+        ("see jo\u00adhn@exam\u200b\u200dple.com, or", "email", "jo\u00adhn@exam\u200b\u200dple.com"),
+        ("host l92.l68.0.l up", "ip", "l92.l68.0.l"),
+    ],
+)
+def test_more_disguises(text, kind, part):
+    base, added = pii.spans(text)
+    a = text.index(part)
+    assert (kind, a, a + len(part)) in added
+    assert pii.redacted(text, base + added) == text.replace(part, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text", ["meet @ noon. Then go", "it is 5l or 10 l of 1O things", "plus one more", "+49 151 2345678 I am", "a soft\u00adhyphen and x\u200by", "R&#38;D and &period; alone", "a @ b . C"])
+def test_no_disguise(text):
+    assert pii.spans(text)[1] == []
