@@ -220,22 +220,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included).
 
     Texts that are null or hold no word have no shingles and are linked with nothing; texts of any length are cut into shingles
-    whole.  A null id is no node: its row has its n_shingles and a null component.  Rows that repeat an id are one node; if their sets differ,
-    copies of each are linked to it, and the one with the smallest hash is compared with sets that are no copies, unless another id
-    stands for it.  Other columns, whatever their names, are left out; an empty table gives an empty result.
+    whole.  A null id is no node: its row has its n_shingles and a null component.  Rows that repeat an id are one node, linked with
+    all that is similar to any of their texts.  Other columns, whatever their names, are left out; an empty table gives an
+    empty result.
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     all_points = cut(points(docs, keys))
     nodes = all_points.filter("n > 0 AND doc_id IS NOT NULL")
-    # ids with several sets; a set that other ids have too is better represented by one of them
-    odd = stored(nodes.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).filter("a <> b").select("doc_id", F.lit(True).alias("odd")))
-    marked = nodes.select("doc_id", "set_hash").join(few(odd), "doc_id", "left").withColumn("odd", F.col("odd").isNotNull())
+    several = nodes.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).filter("a <> b")
+    found = classes(nodes, docs) if several.isEmpty() else classes_of_sets(docs, keys)
+    return all_points.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def sets_of(docs: DataFrame) -> DataFrame:
+    """doc_id, text, set_hash of each row that has an id and a set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingles(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary())], ["doc_id", "text", "set_hash"])
+
+    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, text string, set_hash binary").filter("set_hash IS NOT NULL")
+
+
+def classes_of_sets(docs: DataFrame, keys: int | None) -> DataFrame:
+    """id and component as classes has them, where ids repeat with several sets: each set of an id is a node of its own, and an id joins the classes of its sets."""
+    # one text stands for all rows of an id with the same set
+    rows = sets_of(docs).groupBy("doc_id", "set_hash").agg(F.min("text").alias("text")).withColumn("node", F.monotonically_increasing_id())
+    rows = stored(rows.select("node", "doc_id", "text"))
+    texts = rows.select(F.col("node").alias("doc_id"), "text")
+    found = classes(cut(points(texts, keys)), texts)
+    of = stored(rows.select("node", "doc_id").join(found.withColumnRenamed("doc_id", "node"), "node", "left").select("doc_id", F.coalesce("component", "node").alias("class")))
+    least = stored(of.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1"))
+    links = join_counted(of, least, "class", of.count()).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    return components(links).withColumnRenamed("id", "doc_id")
+
+
+def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, component of each node (as points has them, one set for each id) that is linked; docs: their texts."""
     # equal sets: one document stands for all
-    same = cut(marked.groupBy("set_hash").agg(F.min(F.struct("odd", "doc_id"))["doc_id"].alias("rep"), F.count("*").alias("n")))
+    same = cut(nodes.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
     number = same.agg(F.sum("n")).first()[0] or 0
     copies = join_counted(nodes.select("doc_id", "set_hash"), same.filter("n > 1"), "set_hash", number).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    once = same.groupBy(F.col("rep").alias("doc_id")).agg(F.min("set_hash").alias("chosen"))
+    once = same.select(F.col("rep").alias("doc_id"), F.col("set_hash").alias("chosen"))
     alone = cut(nodes.join(once, "doc_id").filter("set_hash = chosen").drop("chosen").dropDuplicates(["doc_id"]).withColumn("nmax", F.col("n")))
     p = alone.drop("keys", "set_hash")
     # the smallest hashes have place 0, which excludes nothing
@@ -271,5 +299,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = leaves.alias("l").join(u, (F.col("u.key") == F.col("l.key")) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == F.col("l.key")) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))
     rest = stored(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct())
     links = links.unionByName(verified(rest, docs, alone)).unionByName(copies)
-    found = components(links).withColumnRenamed("id", "doc_id")
-    return all_points.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return components(links).withColumnRenamed("id", "doc_id")

@@ -198,6 +198,30 @@ def test_neighbouring_links_of_repeated_ids(spark):
     assert out == {(5, 5), (9, 5), (12, 5)}
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_jaccard_links_of_all_texts_of_an_id(spark, seed):
+    """Ids with up to three texts, each linked by its own: classes equal those of all pairs of texts."""
+    rng = random.Random(seed)
+    base = [[f"{t}w{k}" for k in range(60)] for t in range(25)]
+    data: list[tuple] = []
+    for _ in range(90):
+        text = list(rng.choice(base))
+        for _ in range(rng.randint(0, 2)):
+            text[rng.randrange(60)] = f"odd{rng.randrange(9)}"
+        data.append((rng.randint(-40, 40), " ".join(text)))
+    data += [data[0], (7, None), (None, data[1][1]), (8, " ")]
+    sets = [(i, {tuple(w[k : k + 5]) for k in range(len(w) - 4)}) for i, t in data if i is not None for w in ((t or "").split(),)]
+    part = {i: i for i, _ in data if i is not None}
+    for _ in part:
+        for i, x in sets:
+            for j, z in sets:
+                if x and z and 100 * len(x & z) >= 80 * len(x | z):
+                    part[i] = part[j] = min(part[i], part[j])
+    found = jaccard.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert len(found) == len(data) and max(sum(1 for j, _ in data if j == i) for i in part) > 1
+    assert {r.doc_id: r.component_id for r in found} == {**part, None: None}
+
+
 @pytest.mark.parametrize("keys", [None, 16])
 def test_jaccard_blocks_of_leaves(spark, monkeypatch, keys):
     monkeypatch.setattr(jaccard, "BLOCK", 4)
