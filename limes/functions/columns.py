@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
+import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Latin letters with marks and the letters without. Fixed values.
-MARKED = "ÁÀÂÄÃÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇáàâäãéèêëíìîïóòôöõúùûüñç"
-PLAIN = "AAAAAEEEEIIIIOOOOOUUUUNCaaaaaeeeeiiiiooooouuuunc"
 #: What a unit's census name begins with, by level; in a sheet, departments have no head word. Fixed values.
 HEADS = {"departamento": "DEPARTAMENTO ", "provincia": "PROVINCIA ", "distrito": "DISTRITO "}
 
@@ -27,9 +26,33 @@ def parent_codes(code: Column) -> list[Column]:
     return [F.substring(code, 1, 2).alias("dep"), F.substring(code, 1, 4).alias("prov"), F.substring(code, 5, 2).try_cast("int").alias("seq")]
 
 
+def decomposed(char: str) -> str:
+    """A character's compatibility decomposition without combining marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+
+
+@lru_cache(maxsize=1)
+def decompositions() -> tuple[str, str, dict[str, str]]:
+    """Characters that become one or nothing, what they become (so marks stand last), and what becomes several.
+
+    By the Unicode data of Python, for the planes that have decompositions, without surrogates and Hangul syllables.
+    """
+    change = {c: d for c in map(chr, [*range(0x80, 0xAC00), *range(0xE000, 0x30000)]) if (d := decomposed(c)) != c}
+    single = sorted((c for c, d in change.items() if len(d) < 2), key=lambda c: (not change[c], c))
+    return "".join(single), "".join(change[c] for c in single), {c: d for c, d in change.items() if len(d) > 1}
+
+
 def strip_accents(text: Column) -> Column:
-    """Marks off Latin letters."""
-    return F.translate(text, MARKED, PLAIN)
+    """Characters decomposed as by NFKD and combining marks dropped, in the JVM; Hangul syllables stay whole.
+
+    Single characters are translated; the rare ones that become several are looked up, in texts that hold one.
+    """
+    before, after, longer = decompositions()
+    table = F.str_to_map(F.lit("\uE000".join(f"{c}\uE001{d}" for c, d in longer.items())), F.lit("\uE000"), F.lit("\uE001"))
+    runs = [c for c in longer if chr(ord(c) - 1) not in longer], [c for c in longer if chr(ord(c) + 1) not in longer]
+    held = text.rlike("[" + "".join(f"\\x{{{ord(a):X}}}-\\x{{{ord(b):X}}}" for a, b in zip(*runs)) + "]")
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.translate(F.when(held, spelled).otherwise(text), before, after)
 
 
 def squash_text(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Column functions on small literal frames."""
 
 import math
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -25,6 +26,17 @@ def test_names(spark):
     assert one(spark, C.classify_unit(F.lit("NOTA")))[0].level is None
 
 
+def test_every_character_is_decomposed(spark):
+    """All characters but surrogates and Hangul syllables, alone and among letters, against Python's normal form."""
+    chars = [chr(c) for c in [*range(1, 0xAC00), *range(0xE000, 0x110000)] if unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    texts = [*chars, "Ĳssel ﬁna Åńgström ½ ㎏", "", None, *("".join(chars[k : k + 50]) for k in range(0, len(chars), 50))]
+    want = [t if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", C.strip_accents(F.col("t")).alias("t"))
+    got = dict(rows.toPandas().itertuples(index=False))
+    # marks of a whole text are put in order before they go, so only the order of what stays could differ
+    assert [(t, got[i], w) for i, (t, w) in enumerate(zip(texts, want)) if (got[i] or "") != (w or "")] == []
+
+
 def test_numbers(spark):
     assert [one(spark, C.parse_number(F.lit(x)))[0] for x in ("1,234.5", "-", ".", "", "x", "12 a")] == [1234.5, None, None, None, None, 12.0]
 
