@@ -10,9 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.operators.geometry import crossing_edges, polygon_measures, ring_segments
+from limes.functions.columns import from_utm, utm
+from limes.operators.geometry import crossing_edges, densify_points, polygon_measures, ring_segments
 from limes.operators.rays import bearing_vector, ray_exits
-from limes.sources.tables import stored
+from limes.sources.tables import shipped, stored
 
 #: How far a prolonged start reaches past the border, in units of the grid (metres in a legal line's projection).
 MARGIN = 500.0
@@ -147,11 +148,38 @@ def cut_parents(lines: DataFrame, polygons: DataFrame) -> DataFrame:
                             count[name] += 1
         return pd.DataFrame(out or [(entry, code, None, None, None, None, status)], columns=["entry", "code", "piece", "part", "ring", "vertices", "status"])
 
+    shipped(polygons.sparkSession)
     rings = polygons.select("code", "part", "ring", "vertices")
     both = lines.select(F.col("entry").cast("string").alias("entry"), "code", "line", "px", "py", "status").join(rings, "code", "left")
     return both.groupBy("entry").applyInPandas(cut, shape)
 
 
+def projected(points: str, zone: int, degrees: bool) -> Column:
+    """An array of points from degrees to metres of a southern UTM zone, or back to degrees."""
+    to = from_utm if degrees else utm
+    return F.transform(points, lambda p: F.struct(*[c.alias(k) for k, c in zip("xy", to(p["x"], p["y"], zone))]))
+
+
+def lines_in_metres(entries: DataFrame, polygons: DataFrame, zone: int, step: float, cell: int = 4000) -> DataFrame:
+    """Columns as build_cut_lines has them, with line in degrees: for laws whose points are metres of a UTM zone and parents in degrees.
+
+    A law's line is straight in metres, so the parents' borders are projected to prolong it there; the line then gets points
+    every `step` metres at most and goes to degrees, to cut the parents as they are.  Parents are never projected back: borders
+    that a cut doesn't touch stay equal, to the last digit, to those of their neighbours.  start_x, start_y stay in metres.
+    """
+    parents = polygons.join(entries.select("code").distinct(), "code", "left_semi")
+    segments = stored(ring_segments(parents.select("code", "ring", projected("vertices", zone, False).alias("vertices"))))
+    lines = build_cut_lines(entries, segments, cell)
+    return lines.withColumn("line", projected(densify_points(F.col("line"), step), zone, True))
+
+
+def cut_report_in_metres(lines: DataFrame, pieces: DataFrame, polygons: DataFrame, zone: int, tolerance: float) -> DataFrame:
+    """cut_report of pieces and polygons in degrees, with areas in square metres of a UTM zone."""
+    metres = lambda df: df.withColumn("vertices", projected("vertices", zone, False))
+    parents = polygons.join(lines.select("code").distinct(), "code", "left_semi")
+    return cut_report(lines, metres(pieces), metres(parents), tolerance)
+
+
 def cut_report(lines: DataFrame, pieces: DataFrame, polygons: DataFrame, tolerance: float) -> DataFrame:
     """entry, code, before, new, rest, drift, line_vertices, pieces, status: areas of a cut; status says so if they drift by more than tolerance."""
     cut = pieces.filter("piece IS NOT NULL").select(F.concat_ws("|", "entry", "piece").alias("code"), "ring", "vertices")

@@ -250,6 +250,19 @@ def focus_bounds(measures: DataFrame, focus: str) -> DataFrame:
     return measures.filter(in_focus(F.col("code"), focus)).agg(F.min("min_x").alias("min_x"), F.min("min_y").alias("min_y"), F.max("max_x").alias("max_x"), F.max("max_y").alias("max_y"))
 
 
+def densify_points(points: Column, step: float) -> Column:
+    """A line's points with further ones every `step` at most along each stretch, in one expression; shorter than two points it stays."""
+    at = lambda i: F.get(points, i)
+
+    def stretch(i: Column) -> Column:
+        dx, dy = at(i + 1)["x"] - at(i)["x"], at(i + 1)["y"] - at(i)["y"]
+        n = F.greatest(F.lit(1), F.ceil(F.hypot(dx, dy) / step).cast("int"))
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.struct((at(i)["x"] + dx * j / n).alias("x"), (at(i)["y"] + dy * j / n).alias("y")))
+
+    whole = F.concat(F.flatten(F.transform(F.sequence(F.lit(0), F.size(points) - 2), stretch)), F.slice(points, -1, 1))
+    return F.when(F.size(points) > 1, whole).otherwise(points)
+
+
 def densify(lines: DataFrame, step: float) -> DataFrame:
     """id, k, x, y: points every `step` at most along each stretch (id, seq, x1, y1, x2, y2), and each line's last point."""
     n = F.greatest(F.lit(1), F.ceil(seg_length() / step).cast("int"))

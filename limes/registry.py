@@ -174,6 +174,14 @@ def name_functions(s, d):
     return rows.select("ubigeo", C.normalize_name(spaced).alias("norm"), C.census_name(level, C.squash_text(spaced)).alias("census"), C.hierarchy_key(level, F.col("r_name"), F.col("n_name"), F.col("nombre")).alias("key"))
 
 
+@query("SELECT event_id, replace(replace(replace(replace(replace(replace('a' || strip_accents(c) || 'o', chr(306), 'IJ'), chr(307), 'ij'), chr(319), 'L·'), chr(320), 'l·'), chr(329), chr(700) || 'n'), chr(383), 's') AS text FROM (SELECT event_id, chr((192 + event_id * 7 % 192)::int) || chr((768 + event_id % 16)::int) AS c FROM events)")
+def strip_accents(s, d):
+    """Latin letters with marks of their own and a further mark."""
+    char = lambda code: F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+    e = s.read.parquet(f"{d}/events.parquet")
+    return e.select("event_id", C.strip_accents(F.concat(F.lit("a"), char(192 + F.col("event_id") * 7 % 192), char(768 + F.col("event_id") % 16), F.lit("o"))).alias("text"))
+
+
 @query("SELECT ubigeo, CASE WHEN value % 3 = 0 THEN NULL WHEN value % 3 = 1 THEN value::double ELSE -abs(value)::double END AS n FROM pop")
 def parse_number(s, d):
     text = F.when(F.col("value") % 3 == 0, F.lit(" - ")).when(F.col("value") % 3 == 1, F.format_number("value", 0)).otherwise(F.concat(F.lit("-"), F.abs("value").cast("string"), F.lit(" *")))
@@ -839,6 +847,45 @@ def area_conservation(s, d):
     return found.select("code", F.round(F.col("before2") / 2, 2).alias("before"), F.round(F.col("after2") / 2, 2).alias("after"), "ok")
 
 
+#: Longitude and latitude of a place on the grid: a unit is a millionth of a degree, strips of 4,000 rows of cells lie over each other.
+_DEGREES = "-75.2 + x / 1e6 AS lon, -17 + (y - gy // 4000 * 16000000) / 1e6 AS lat"
+_THIRD = "(1 / 298.257223563) / (2 - 1 / 298.257223563)"
+
+
+def _law_in_metres(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Parcels in degrees, and a law for one of each block with points in metres of zone 18, straight on at both ends."""
+    strip = F.floor((F.substring("code", 1, 8).cast("long") * 10 + F.substring("code", 11, 1).cast("long")) / 4000) * 16_000_000
+    degrees = lambda x, y: F.struct((x / 1e6 - 75.2).alias("x"), ((y - strip) / 1e6 - 17).alias("y"))
+    p = frames.parcels(s, d).filter("code LIKE '%4_'").withColumns({"part": F.lit(0), "vertices": F.transform("vertices", lambda v: degrees(v["x"], v["y"]))})
+    e = _cut_entries(s, d).withColumn("points", F.transform("points", lambda v: degrees(v["x"], v["y"]))).withColumn("inner", degrees(F.col("px"), F.col("py")))
+    straight = [F.lit("continuar").alias(c) for c in ("start_bearing", "end_bearing")]
+    return p, e.select("entry", "code", cuts.projected("points", 18, False).alias("points"), *straight, F.lit(300.0).alias("start_max"), F.lit(300.0).alias("end_max"), F.col("inner.x").alias("px"), F.col("inner.y").alias("py"))
+
+
+#: Corners of the parcels to be cut and the law's two points in metres (Krueger's series); then distances left of and along the line between these points.
+_METRES = f""", pt AS (SELECT v.code, k, x::double AS x, y, gy FROM v JOIN cell USING (code) WHERE code LIKE '%44' UNION ALL SELECT code, 100 + i, gx * 4000 + 2000, gy * 4000 + 1500 + i * 1000, gy FROM cell, (SELECT unnest([0, 1]) AS i) WHERE code LIKE '%44'),
+dg AS (SELECT code, k, {_DEGREES}, {_THIRD} AS n FROM pt),
+tt AS (SELECT code, k, n, radians(lon + 75) AS l, sinh(atanh(sin(radians(lat))) - 2 * sqrt(n) / (1 + n) * atanh(2 * sqrt(n) / (1 + n) * sin(radians(lat)))) AS t FROM dg),
+xe AS (SELECT code, k, n, atan2(t, cos(l)) AS xi, atanh(sin(l) / sqrt(1 + t * t)) AS eta, 0.9996 * 6378137.0 / (1 + n) * (1 + n * n / 4 + n * n * n * n / 64) AS a, n / 2 - 2 * n * n / 3 + 5 * n * n * n / 16 AS a1, 13 * n * n / 48 - 3 * n * n * n / 5 AS a2, 61 * n * n * n / 240 AS a3 FROM tt),
+en AS (SELECT code, k, 500000 + a * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta) + a3 * cos(6 * xi) * sinh(6 * eta)) AS e, 10000000 + a * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta) + a3 * sin(6 * xi) * cosh(6 * eta)) AS n FROM xe),
+ln AS (SELECT p.code, p.e, p.n, (q.e - p.e) / sqrt((q.e - p.e) ** 2 + (q.n - p.n) ** 2) AS dx, (q.n - p.n) / sqrt((q.e - p.e) ** 2 + (q.n - p.n) ** 2) AS dy FROM en p JOIN en q ON q.code = p.code AND p.k = 100 AND q.k = 101),
+uw AS (SELECT code, k, (en.e - ln.e) * dy - (en.n - ln.n) * dx AS u, (en.e - ln.e) * dx + (en.n - ln.n) * dy AS w FROM en JOIN ln USING (code) WHERE k < 100),
+rs AS (SELECT a.code, a.u AS x1, a.w AS y1, b.u AS x2, b.w AS y2, 0.0 AS c FROM uw a JOIN uw b ON a.code = b.code AND b.k = a.k + 1),
+ra AS (SELECT code, sum({_LEFT}) AS l, sum(x1 * y2 - x2 * y1) AS w FROM rs GROUP BY 1)"""
+
+
+@query(f"{_METRES} SELECT 'ley ' || code AS entry, code, round(w / 2, 1) AS before, round(l / w, 4) AS share, 16 AS inherited, 'ok' AS status FROM ra")
+def cut_in_metres(s, d):
+    """Parcels in degrees, cut along lines that are straight in metres; the vertices that they had are found in the pieces as they were."""
+    p, e = _law_in_metres(s, d)
+    lines = tables.stored(cuts.lines_in_metres(e, p, 18, 100.0).join(e.select("entry", "px", "py"), "entry"))
+    pieces = tables.stored(cuts.cut_parents(lines, p))
+    found = cuts.cut_report_in_metres(lines, pieces, p, 18, 1.0)
+    points = lambda df, *keys: df.select(*keys, F.explode("vertices").alias("v")).distinct()
+    kept = points(pieces, "entry", "code").join(points(p, "code"), ["code", "v"]).groupBy("entry").agg(F.count("*").alias("inherited"))
+    return found.join(kept, "entry").select("entry", "code", F.round("before", 1).alias("before"), F.round(F.col("new") / F.col("before"), 4).alias("share"), "inherited", "status")
+
+
 @query("SELECT ubigeo, nivel, clave_censo FROM cat")
 def read_catalogue(s, d):
     """The catalogue, written as sorted CSV and read back."""
