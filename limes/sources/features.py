@@ -56,6 +56,20 @@ def write_geojson(units: DataFrame, path: str, code: str = "code") -> None:
     feature_lines(units, code).orderBy(F.length(code), code).select("line").write.mode("overwrite").text(path)
 
 
+def write_collections(units: DataFrame, path: str, sheet: Column, code: str = "code") -> None:
+    """A collection for each value of sheet, told by the code: a folder with one file on a single line, features in the order of their codes.
+
+    A collection's first and last features have no geometry.  One task writes a collection, so sheet must bound its size.
+    """
+    none = '{"type":"Feature","properties":null,"geometry":null}'
+    ends = F.array(*[F.struct(F.lit(k).alias("at"), F.lit(x).alias("line")) for k, x in ((0, '{"type":"FeatureCollection","features":[' + none), (2, none + "]}"))])
+    lines = feature_lines(units, code).select(sheet.alias("sheet"), F.lit(1).alias("at"), F.col(code).alias("key"), "line")
+    framed = units.select(sheet.alias("sheet")).distinct().withColumn("e", F.explode(ends)).select("sheet", "e.at", F.lit(None).cast("string").alias("key"), "e.line")
+    # sorted in the task that writes them: partitions that are merely put together come in any order
+    whole = lines.unionByName(framed).repartition("sheet").sortWithinPartitions("sheet", "at", F.length("key"), "key")
+    whole.select("sheet", "line").write.mode("overwrite").partitionBy("sheet").option("lineSep", ",").text(path)
+
+
 def report_lines(rows: DataFrame, key: str) -> DataFrame:
     """key, line: a row as JSON with its fields in order; nulls are kept."""
     fields = F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)])

@@ -1,11 +1,13 @@
 """Collections of features in any layout, read in splits."""
 
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from limes import registry
 from limes.sources import collections, features
 
 
@@ -81,6 +83,28 @@ def test_empty_files(spark, tmp_path):
     assert features.read_boundaries(spark, str(tmp_path), "code: string").count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_written_collections(spark, tmp_path, tasks):
+    """Each file is one collection on one line, whatever tasks the features come from; all come back."""
+    square = "transform(array(0, 1, 3, 0), k -> named_struct('lon', double(k % 2), 'lat', double(k div 2)))"
+    units = spark.range(0, 5000, 1, tasks).selectExpr("lpad(string(id * 7919 % 5000), 6, '0') AS code", "0 AS part", "0 AS ring", f"{square} AS vertices")
+    features.write_collections(units, str(tmp_path / "out"), F.substring("code", 1, 3))
+    files = sorted((tmp_path / "out").rglob("part-*"))
+    read = [json.loads(f.read_text().rstrip(",")) for f in files]
+    assert len(read) == 5 and all(c["features"][0]["geometry"] is c["features"][-1]["geometry"] is None for c in read)
+    codes = [[f["properties"]["code"] for f in c["features"][1:-1]] for c in read]
+    assert codes == [[f"{k:06}" for k in range(n, n + 1000)] for n in range(0, 5000, 1000)]
+    assert features.read_boundaries(spark, str(tmp_path / "out"), "code: string").select("code").distinct().count() == 5000
+
+
+def test_query_reads_all_parcels(spark):
+    """On tables whose parcels come from several tasks; as one file put together from them, the head stood amid the features."""
+    data = "/root/testdata/sf0.01"
+    if not os.path.isdir(data):
+        pytest.skip("no tables")
+    assert registry.queries()["read_boundaries"](spark, data).count() == spark.read.parquet(f"{data}/orders.parquet").count()
+
+
 def test_outside():
     assert collections.outside('{"a\\"}":1', False) == ("{      :1", False)
     assert collections.outside('b}"}', True) == ("   }", False) and collections.outside("b\\\\", True) == ("   ", True)
