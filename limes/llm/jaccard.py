@@ -12,15 +12,15 @@ first (by a count sketch of all these documents), for which the prefix filter is
 order is kept: what stands before the first common key is not shared, which bounds the intersection of documents that
 have little but a common passage.  Under each key
 stands an R-tree of two levels: leaves of points that are known to hang together, with their bounding boxes, and
-points.  Leaf pairs are pruned by the minima of their upper corners, then pairs of points; the pairs left are verified
-on the sets themselves.  The leaves of a key are dealt into blocks, so that pairs of blocks are tasks of bounded size.  Before that, each point is verified against one hub of its key (and, under keys with many
+points.  Leaf pairs are pruned by the minima of their upper corners, then pairs of points, then by bitmaps of their sets, which
+bound what they share at a few bits a shingle; the pairs left are verified on the sets themselves.  The leaves of a key are dealt into blocks, so that pairs of blocks are tasks of bounded size.  Before that, each point is verified against one hub of its key (and, under keys with many
 parts left, against hubs drawn by hash, so that keys of one group differ), so that a group of
 near copies hangs together after as many checks as it has members, and its own leaf pairs fall away.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import cut, few, join_counted, prepare, stored
+from limes.llm.common import few, join_counted, prepare, stored
 from limes.llm.graph import components
 
 WORDS = 5
@@ -198,19 +198,61 @@ def hub_pairs(entries: DataFrame, hubs: DataFrame, p: DataFrame) -> DataFrame:
     return star.alias("s").join(p.alias("x"), F.col("s.a") == F.col("x.doc_id")).join(p.alias("y"), F.col("s.b") == F.col("y.doc_id")).filter(bound("x", "y")).select("a", "b")
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Which of a set's cells hold something: a power of two of them, twice its size or more, told by the low bits."""
+    cells = 1 << max(6, (2 * len(s) - 1).bit_length())
+    held = np.zeros(cells, np.uint8)
+    held[(s & np.uint64(cells - 1)).astype(np.int64)] = 1
+    return np.packbits(held).tobytes()
+
+
+def may_share(x: bytes, nx: int, y: bytes, ny: int) -> bool:
+    """Whether two sets of nx and ny may be similar by their bitmaps: in a cell of both at most one shingle is shared, and so many more as either has beyond one."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):  # the larger bitmap is folded onto fewer cells
+        if len(a) > len(b):
+            a = a[: len(a) // 2] | a[len(a) // 2 :]
+        else:
+            b = b[: len(b) // 2] | b[len(b) // 2 :]
+    both, ca, cb = (int(np.bitwise_count(c).sum(dtype=np.int64)) for c in (a & b, a, b))
+    return (both + min(nx - ca, ny - cb)) * (100 + PERCENT) >= PERCENT * (nx + ny)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar; sets are made anew, only of documents in a pair."""
+    """Those of the pairs (a, b) whose sets are similar; sets are made anew, only of documents in a pair that their bitmaps leave."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["id", "set_hash", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([len(s) for s in found], pa.int64()), pa.array(map(bitmap, found), pa.binary())], ["id", "set_hash", "n", "bits"])
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.select(["a", "b"]).filter(pa.array([may_share(*r) for r in zip(*(b.column(c).to_pylist() for c in ("xa", "na", "xb", "nb")))], pa.bool_()))
+
+    of = made_of(pairs, docs, chosen, bitmaps, "id long, set_hash binary, n long, bits binary")
+    met = pairs.join(of.withColumnsRenamed({"id": "a", "n": "na", "bits": "xa"}), "a").join(of.withColumnsRenamed({"id": "b", "n": "nb", "bits": "xb"}), "b")
+    return similar(stored(met.mapInArrow(left, "a long, b long")), docs, chosen)
 
+
+def made_of(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, make: Callable, schema: str) -> DataFrame:
+    """What make makes of the text of each document in a pair, once for each id; make tells the set's hash, which must be the chosen one."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     used = few(stored(chosen.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi")))
-    found = docs.join(used.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, set_hash binary, s array<long>")
-    # sets are shuffled once by id, for both sides of the pairs
-    of = found.join(used.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
+    found = docs.join(used.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(make, schema)
+    # shuffled once by id, for both sides of the pairs
+    return found.join(used.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
+
+
+def similar(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar, by the sets themselves."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingles(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["id", "set_hash", "s"])
+
+    of = made_of(pairs, docs, chosen, sets, "id long, set_hash binary, s array<long>")
     both = pairs.join(of.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(of.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.filter(common * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select("a", "b")
@@ -226,7 +268,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    all_points = cut(points(docs, keys))
+    all_points = stored(points(docs, keys))
     nodes = all_points.filter("n > 0 AND doc_id IS NOT NULL")
     several = nodes.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).filter("a <> b")
     found = classes(nodes, docs) if several.isEmpty() else classes_of_sets(docs, keys)
@@ -250,7 +292,7 @@ def classes_of_sets(docs: DataFrame, keys: int | None) -> DataFrame:
     rows = sets_of(docs).groupBy("doc_id", "set_hash").agg(F.min("text").alias("text")).withColumn("node", F.monotonically_increasing_id())
     rows = stored(rows.select("node", "doc_id", "text"))
     texts = rows.select(F.col("node").alias("doc_id"), "text")
-    found = classes(cut(points(texts, keys)), texts)
+    found = classes(stored(points(texts, keys)), texts)
     of = stored(rows.select("node", "doc_id").join(found.withColumnRenamed("doc_id", "node"), "node", "left").select("doc_id", F.coalesce("component", "node").alias("class")))
     least = stored(of.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1"))
     links = join_counted(of, least, "class", of.count()).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
@@ -260,30 +302,31 @@ def classes_of_sets(docs: DataFrame, keys: int | None) -> DataFrame:
 def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """doc_id, component of each node (as points has them, one set for each id) that is linked; docs: their texts."""
     # equal sets: one document stands for all
-    same = cut(nodes.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
+    first = F.min(F.struct("doc_id", "n", "keys", "counts")).alias("r")
+    alone = stored(nodes.groupBy("set_hash").agg(first, F.count("*").alias("copies")).select("set_hash", "r.*", "copies").withColumn("nmax", F.col("n")))
+    same = alone.select("set_hash", F.col("doc_id").alias("rep"), F.col("copies").alias("n"))
     number = same.agg(F.sum("n")).first()[0] or 0
     copies = join_counted(nodes.select("doc_id", "set_hash"), same.filter("n > 1"), "set_hash", number).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    once = same.select(F.col("rep").alias("doc_id"), F.col("set_hash").alias("chosen"))
-    alone = cut(nodes.join(once, "doc_id").filter("set_hash = chosen").drop("chosen").dropDuplicates(["doc_id"]).withColumn("nmax", F.col("n")))
-    p = alone.drop("keys", "set_hash")
+    p = alone.drop("keys", "set_hash", "copies")
     # the smallest hashes have place 0, which excludes nothing
     entries = alone.select("doc_id", "n", F.lit(0).alias("pos"), F.explode("keys").alias("key"))
     common = stored(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"))
     wide = stored(entries.join(common, "key").select("doc_id").distinct())
     if not wide.isEmpty():
         texts = docs.join(few(wide), "doc_id", "left_semi")
-        entries = entries.join(common, "key", "left_anti").unionByName(rare_keys(texts)).groupBy("doc_id", "key").agg(F.min("pos").alias("pos"), F.min("n").alias("n"))
-        entries = cut(entries)
-    shared = stored(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h"), F.max("doc_id").alias("last")).filter("h.doc_id < last").drop("last"))
-    entries = cut(entries.join(shared.select("key"), "key", "left_semi"))
-    links = stored(verified(stored(hub_pairs(entries, shared, p)), docs, alone))
+        entries = stored(entries.join(common, "key", "left_anti").unionByName(rare_keys(texts).select("doc_id", "n", "pos", "key")))
+    # most keys are of one document; an entry that is both a small hash and in a whole prefix has the lesser place
+    shared = stored(entries.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).filter("least < last").select("key"))
+    entries = stored(entries.join(shared, "key", "left_semi").groupBy("doc_id", "key").agg(F.min("pos").alias("pos"), F.min("n").alias("n")))
+    hubs = stored(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h")))
+    links = stored(verified(stored(hub_pairs(entries, hubs, p)), docs, alone))
     for turn in range(HUBS + 1):
         # what hangs together by now, under keys that still hold several parts
         parts = components(links)
         known = entries.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("part"))
-        sizes = cut(known.groupBy("key", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc_id", "key", F.lit(turn)).alias("draw"), "doc_id", "n", "pos")).alias("h")))
+        sizes = stored(known.groupBy("key", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc_id", "key", F.lit(turn)).alias("draw"), "doc_id", "n", "pos")).alias("h")))
         several = stored(sizes.groupBy("key").agg(F.count("*").alias("parts"), F.min("h").alias("h")).filter("parts > 1"))
-        known = cut(known.join(several.select("key"), "key", "left_semi"))
+        known = stored(known.join(several.select("key"), "key", "left_semi"))
         crowded = several.filter(F.col("parts") > PARTS).select("key", "h")
         if turn == HUBS or crowded.isEmpty():
             break
@@ -292,8 +335,8 @@ def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     sizes = sizes.join(several.select("key"), "key", "left_semi").select("key", "part", "size")
     # leaves: points under a key that hang together by now
     placed = known.join(sizes, ["key", "part"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / LEAF)))
-    placed = cut(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", "counts"))
-    boxes = cut(boxes_of(placed))
+    placed = stored(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", "counts"))
+    boxes = stored(boxes_of(placed))
     leaves = leaf_pairs(boxes)
     u, v = placed.alias("u"), placed.alias("v")
     near = leaves.alias("l").join(u, (F.col("u.key") == F.col("l.key")) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == F.col("l.key")) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))

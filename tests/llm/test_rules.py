@@ -249,3 +249,33 @@ def test_toxicity_with_few_and_conflicting_labels(spark):
     assert len(scores) == 40 and len(set(scores.values())) > 1
     again = toxicity.fit(d.repartition(7), labels)  # the model doesn't hang on partitions
     assert np.allclose(model.weights, again.weights, atol=1e-5)
+
+
+def test_bitmaps_keep_similar_sets():
+    """Never less than is shared, folded or not; unrelated sets of any size are told apart."""
+    rng = np.random.default_rng(5)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+    for n in (1, 2, 5, 31, 33, 400, 511, 513, 3000):
+        for k in range(20):
+            s = draw(n)
+            other = np.union1d(s[: len(s) - k * len(s) // 30], draw(k * len(s) // 60)) if k % 2 else s[: max(1, len(s) * (20 + k) // 40)]
+            common = len(np.intersect1d(s, other, assume_unique=True))
+            is_similar = 100 * common >= 80 * (len(s) + len(other) - common)
+            kept = jaccard.may_share(jaccard.bitmap(s), len(s), jaccard.bitmap(other), len(other))
+            assert kept == jaccard.may_share(jaccard.bitmap(other), len(other), jaccard.bitmap(s), len(s)) and kept >= is_similar
+        if n > 30:
+            s, t = draw(n), draw(n)
+            assert not jaccard.may_share(jaccard.bitmap(s), len(s), jaccard.bitmap(t), len(t))
+
+
+def test_sets_travel_only_where_bitmaps_leave_room(spark, monkeypatch):
+    """Long unrelated documents whose group counts agree have no sets made and shuffled; the similar pair is found."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(3000))
+    docs = spark.createDataFrame([(k, words(k % 9)) for k in range(9)] + [(9, words(0) + " more"), (10, words(0))], "doc_id long, text string")
+    chosen = jaccard.points(docs, jaccard.KEYS)
+    pairs = spark.createDataFrame([(a, b) for b in range(10) for a in range(b)], "a long, b long")
+    seen = []
+    inner = jaccard.similar
+    monkeypatch.setattr(jaccard, "similar", lambda p, *rest: (seen.extend(p.collect()), inner(p, *rest))[1])
+    assert [tuple(r) for r in jaccard.verified(pairs, docs, chosen).collect()] == [(0, 9)]
+    assert [tuple(r) for r in seen] == [(0, 9)]
