@@ -56,15 +56,26 @@ def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+#: Documents for each task that writes a step's table about them, at least.
+TASK_ROWS = 4096
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks that write a step's table about so many documents: enough for all cores, and no task for less than TASK_ROWS beyond that."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+def stored(df: DataFrame, path: str | None = None, tasks: int | None = None) -> DataFrame:
     """Like cut, as a Parquet table in the shared folder, read back in as many tasks as its bytes ask for.
 
     For narrow tables: a checkpoint has a file per partition, empty ones too, and each later shuffle a task for each.
-    A table at path, if given, is replaced.
+    A table at path, if given, is replaced.  No more than tasks files are written, if given: a task goes through several partitions, one after
+    another.  A file costs more than its rows if there are few: without Hadoop's native library an executor starts some four
+    processes for each (chmod of the file, its checksum and their folders), and each is a fork of the executor until it runs.
     """
     path = path or f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     with tidy(df.sparkSession):
-        df.write.mode("overwrite").parquet(path)
+        (df.coalesce(tasks) if tasks else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limes.llm.common import few, join_counted, prepare, stored
+from limes.llm.common import few, join_counted, prepare, stored, tasks_for
 from limes.llm.graph import components
 
 WORDS = 5
@@ -47,7 +47,8 @@ HUBS = 1
 PARTS = 16
 #: Counters of the sketch: 2 ** SKETCH_BITS, whatever the size of the corpus.
 SKETCH_BITS = 21
-REMEMBERED = 400_000
+#: Word hashes that a worker keeps, some 15 MB; it keeps them for later steps too.
+REMEMBERED = 100_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,9 +179,9 @@ def boxes_of(placed: DataFrame) -> DataFrame:
     return points.withColumn("counts", corner).drop("all")
 
 
-def leaf_pairs(boxes: DataFrame) -> DataFrame:
+def leaf_pairs(boxes: DataFrame, tasks: int | None = None) -> DataFrame:
     """key, pa, la, pb, lb: pairs of leaves of one key, but of different parts, that may hold similar sets."""
-    sizes = stored(boxes.groupBy("key").agg(F.count("*").alias("leaves")).withColumn("m", F.ceil(F.col("leaves") / BLOCK)))
+    sizes = stored(boxes.groupBy("key").agg(F.count("*").alias("leaves")).withColumn("m", F.ceil(F.col("leaves") / BLOCK)), tasks=tasks)
     total = sizes.agg(F.sum("leaves")).first()[0] or 0
     dealt = join_counted(boxes, sizes, "key", total, "leaves").withColumn("block", F.pmod(F.xxhash64("part", "leaf"), F.col("m")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
@@ -218,7 +219,7 @@ def may_share(x: bytes, nx: int, y: bytes, ny: int) -> bool:
     return (both + min(nx - ca, ny - cb)) * (100 + PERCENT) >= PERCENT * (nx + ny)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, tasks: int | None = None) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar; sets are made anew, only of documents in a pair that their bitmaps leave."""
 
     def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,21 +231,21 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
         for b in batches:
             yield b.select(["a", "b"]).filter(pa.array([may_share(*r) for r in zip(*(b.column(c).to_pylist() for c in ("xa", "na", "xb", "nb")))], pa.bool_()))
 
-    of = made_of(pairs, docs, chosen, bitmaps, "id long, set_hash binary, n long, bits binary")
+    of = made_of(pairs, docs, chosen, bitmaps, "id long, set_hash binary, n long, bits binary", tasks)
     met = pairs.join(of.withColumnsRenamed({"id": "a", "n": "na", "bits": "xa"}), "a").join(of.withColumnsRenamed({"id": "b", "n": "nb", "bits": "xb"}), "b")
-    return similar(stored(met.mapInArrow(left, "a long, b long")), docs, chosen)
+    return similar(stored(met.mapInArrow(left, "a long, b long"), tasks=tasks), docs, chosen, tasks)
 
 
-def made_of(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, make: Callable, schema: str) -> DataFrame:
+def made_of(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, make: Callable, schema: str, tasks: int | None = None) -> DataFrame:
     """What make makes of the text of each document in a pair, once for each id; make tells the set's hash, which must be the chosen one."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    used = few(stored(chosen.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi")))
+    used = few(stored(chosen.select("doc_id", "set_hash").join(ids, "doc_id", "left_semi"), tasks=tasks))
     found = docs.join(used.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(make, schema)
     # shuffled once by id, for both sides of the pairs
     return found.join(used.select(F.col("doc_id").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"]).drop("set_hash")
 
 
-def similar(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
+def similar(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, tasks: int | None = None) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar, by the sets themselves."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +253,7 @@ def similar(pairs: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
             found = [shingles(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["id", "set_hash", "s"])
 
-    of = made_of(pairs, docs, chosen, sets, "id long, set_hash binary, s array<long>")
+    of = made_of(pairs, docs, chosen, sets, "id long, set_hash binary, s array<long>", tasks)
     both = pairs.join(of.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(of.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.filter(common * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select("a", "b")
@@ -270,8 +271,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     all_points = stored(points(docs, keys))
     nodes = all_points.filter("n > 0 AND doc_id IS NOT NULL")
+    tasks = tasks_for(docs.sparkSession, all_points.count())
     several = nodes.groupBy("doc_id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).filter("a <> b")
-    found = classes(nodes, docs) if several.isEmpty() else classes_of_sets(docs, keys)
+    found = classes(nodes, docs, tasks) if several.isEmpty() else classes_of_sets(docs, keys, tasks)
     return all_points.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
@@ -286,60 +288,60 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, text string, set_hash binary").filter("set_hash IS NOT NULL")
 
 
-def classes_of_sets(docs: DataFrame, keys: int | None) -> DataFrame:
+def classes_of_sets(docs: DataFrame, keys: int | None, tasks: int | None = None) -> DataFrame:
     """id and component as classes has them, where ids repeat with several sets: each set of an id is a node of its own, and an id joins the classes of its sets."""
     # one text stands for all rows of an id with the same set
     rows = sets_of(docs).groupBy("doc_id", "set_hash").agg(F.min("text").alias("text")).withColumn("node", F.monotonically_increasing_id())
-    rows = stored(rows.select("node", "doc_id", "text"))
+    rows = stored(rows.select("node", "doc_id", "text"), tasks=tasks)
     texts = rows.select(F.col("node").alias("doc_id"), "text")
-    found = classes(stored(points(texts, keys)), texts)
-    of = stored(rows.select("node", "doc_id").join(found.withColumnRenamed("doc_id", "node"), "node", "left").select("doc_id", F.coalesce("component", "node").alias("class")))
-    least = stored(of.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1"))
+    found = classes(stored(points(texts, keys), tasks=tasks), texts, tasks)
+    of = stored(rows.select("node", "doc_id").join(found.withColumnRenamed("doc_id", "node"), "node", "left").select("doc_id", F.coalesce("component", "node").alias("class")), tasks=tasks)
+    least = stored(of.groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1"), tasks=tasks)
     links = join_counted(of, least, "class", of.count()).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    return components(links).withColumnRenamed("id", "doc_id")
+    return components(links, tasks=tasks).withColumnRenamed("id", "doc_id")
 
 
-def classes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def classes(nodes: DataFrame, docs: DataFrame, tasks: int | None = None) -> DataFrame:
     """doc_id, component of each node (as points has them, one set for each id) that is linked; docs: their texts."""
     # equal sets: one document stands for all
     first = F.min(F.struct("doc_id", "n", "keys", "counts")).alias("r")
-    alone = stored(nodes.groupBy("set_hash").agg(first, F.count("*").alias("copies")).select("set_hash", "r.*", "copies").withColumn("nmax", F.col("n")))
+    alone = stored(nodes.groupBy("set_hash").agg(first, F.count("*").alias("copies")).select("set_hash", "r.*", "copies").withColumn("nmax", F.col("n")), tasks=tasks)
     same = alone.select("set_hash", F.col("doc_id").alias("rep"), F.col("copies").alias("n"))
     number = same.agg(F.sum("n")).first()[0] or 0
     copies = join_counted(nodes.select("doc_id", "set_hash"), same.filter("n > 1"), "set_hash", number).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     p = alone.drop("keys", "set_hash", "copies")
     # the smallest hashes have place 0, which excludes nothing
     entries = alone.select("doc_id", "n", F.lit(0).alias("pos"), F.explode("keys").alias("key"))
-    common = stored(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"))
-    wide = stored(entries.join(common, "key").select("doc_id").distinct())
+    common = stored(entries.groupBy("key").agg(F.count("*").alias("count")).filter(F.col("count") > COMMON).select("key"), tasks=tasks)
+    wide = stored(entries.join(common, "key").select("doc_id").distinct(), tasks=tasks)
     if not wide.isEmpty():
         texts = docs.join(few(wide), "doc_id", "left_semi")
-        entries = stored(entries.join(common, "key", "left_anti").unionByName(rare_keys(texts).select("doc_id", "n", "pos", "key")))
+        entries = stored(entries.join(common, "key", "left_anti").unionByName(rare_keys(texts).select("doc_id", "n", "pos", "key")), tasks=tasks)
     # most keys are of one document; an entry that is both a small hash and in a whole prefix has the lesser place
-    shared = stored(entries.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).filter("least < last").select("key"))
-    entries = stored(entries.join(shared, "key", "left_semi").groupBy("doc_id", "key").agg(F.min("pos").alias("pos"), F.min("n").alias("n")))
-    hubs = stored(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h")))
-    links = stored(verified(stored(hub_pairs(entries, hubs, p)), docs, alone))
+    shared = stored(entries.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).filter("least < last").select("key"), tasks=tasks)
+    entries = stored(entries.join(shared, "key", "left_semi").groupBy("doc_id", "key").agg(F.min("pos").alias("pos"), F.min("n").alias("n")), tasks=tasks)
+    hubs = stored(entries.groupBy("key").agg(F.min(F.struct("doc_id", "n", "pos")).alias("h")), tasks=tasks)
+    links = stored(verified(stored(hub_pairs(entries, hubs, p), tasks=tasks), docs, alone, tasks), tasks=tasks)
     for turn in range(HUBS + 1):
         # what hangs together by now, under keys that still hold several parts
-        parts = components(links)
+        parts = components(links, tasks=tasks)
         known = entries.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("part"))
-        sizes = stored(known.groupBy("key", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc_id", "key", F.lit(turn)).alias("draw"), "doc_id", "n", "pos")).alias("h")))
-        several = stored(sizes.groupBy("key").agg(F.count("*").alias("parts"), F.min("h").alias("h")).filter("parts > 1"))
-        known = stored(known.join(several.select("key"), "key", "left_semi"))
+        sizes = stored(known.groupBy("key", "part").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("doc_id", "key", F.lit(turn)).alias("draw"), "doc_id", "n", "pos")).alias("h")), tasks=tasks)
+        several = stored(sizes.groupBy("key").agg(F.count("*").alias("parts"), F.min("h").alias("h")).filter("parts > 1"), tasks=tasks)
+        known = stored(known.join(several.select("key"), "key", "left_semi"), tasks=tasks)
         crowded = several.filter(F.col("parts") > PARTS).select("key", "h")
         if turn == HUBS or crowded.isEmpty():
             break
         met = known.join(crowded.select("key"), "key", "left_semi").drop("part")
-        links = stored(links.unionByName(verified(stored(hub_pairs(met, crowded, p)), docs, alone)).distinct())
+        links = stored(links.unionByName(verified(stored(hub_pairs(met, crowded, p), tasks=tasks), docs, alone, tasks)).distinct(), tasks=tasks)
     sizes = sizes.join(several.select("key"), "key", "left_semi").select("key", "part", "size")
     # leaves: points under a key that hang together by now
     placed = known.join(sizes, ["key", "part"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / LEAF)))
-    placed = stored(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", "counts"))
-    boxes = stored(boxes_of(placed))
-    leaves = leaf_pairs(boxes)
+    placed = stored(placed.drop("n").join(p, "doc_id").select("key", "part", "leaf", "doc_id", "n", "nmax", "pos", "counts"), tasks=tasks)
+    boxes = stored(boxes_of(placed), tasks=tasks)
+    leaves = leaf_pairs(boxes, tasks)
     u, v = placed.alias("u"), placed.alias("v")
     near = leaves.alias("l").join(u, (F.col("u.key") == F.col("l.key")) & (F.col("u.part") == F.col("pa")) & (F.col("u.leaf") == F.col("la"))).join(v, (F.col("v.key") == F.col("l.key")) & (F.col("v.part") == F.col("pb")) & (F.col("v.leaf") == F.col("lb")) & similar_sizes("u", "v") & reach("u", "v") & bound("u", "v"))
-    rest = stored(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct())
-    links = links.unionByName(verified(rest, docs, alone)).unionByName(copies)
-    return components(links).withColumnRenamed("id", "doc_id")
+    rest = stored(near.select(F.least("u.doc_id", "v.doc_id").alias("a"), F.greatest("u.doc_id", "v.doc_id").alias("b")).distinct(), tasks=tasks)
+    links = links.unionByName(verified(rest, docs, alone, tasks)).unionByName(copies)
+    return components(links, tasks=tasks).withColumnRenamed("id", "doc_id")

@@ -128,6 +128,29 @@ def test_components_with_a_hub(spark, monkeypatch, small):
     assert got == {**{k: 0 for k in range(60)}, **{k: 0 for k in range(100, 141)}, 300: 300, 301: 300}
 
 
+def test_steps_of_the_jaccard_join_write_few_files(spark, monkeypatch, tmp_path):
+    """However many partitions a shuffle has: each file is some forks of the executor."""
+    for module in (common, graph):
+        monkeypatch.setattr(module, "shared_folder", lambda _: str(tmp_path))
+    texts = [" ".join(f"w{g}x{k}" for k in range(60 + copy)) for g in range(150) for copy in (0, 1)]
+    most = common.tasks_for(spark, len(texts))
+    settings = {"spark.sql.shuffle.partitions": str(3 * most), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k: k - k % 2 for k in range(len(texts))}
+    files = {}
+    for f in tmp_path.rglob("part-*.parquet"):
+        files[f.parent] = files.get(f.parent, 0) + 1
+    assert len(files) > 10 and max(files.values()) <= most
+
+
 def test_licence_scan_against_its_sql(spark):
     rng = random.Random(11)
     words = "the mit license under released apache version 2 0 licensed cc by nc sa 4 all rights reserved gnu general public 3 é".split()
