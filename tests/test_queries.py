@@ -32,3 +32,9 @@ def test_query(spark, duck, name):
     want = duck.sql(registry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
+
+
+def test_planted_faults_are_made_once(spark):
+    """geometry_checks names the vertices in many places; with their formula in each, planning ran out of time or memory."""
+    plan = registry.queries()["geometry_checks"](spark, DATA)._jdf.queryExecution().analyzed().toString()
+    assert "104729" not in plan  # a factor of the formula
