@@ -1,7 +1,25 @@
 """What shows on large tables only: tables that Spark takes for small, rings far from the origin."""
 
+import os
+
+import pytest
+
+from limes import registry
 from limes.operators import geometry
 
+DATA = "/root/testdata/sf0.001"
+tables = pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@tables
+@pytest.mark.parametrize("name", ["points_in_units"])
+def test_exploded_tables_are_not_broadcast(spark, name):
+    assert "Broadcast" not in plan(registry.queries()[name](spark, DATA))
+
 
 def test_unclosed_ring_far_from_the_origin_is_not_turned(spark):
     x, y, side = 50, 36_000_000, 10
