@@ -16,7 +16,7 @@ def plan(df):
 
 
 @tables
-@pytest.mark.parametrize("name", ["ray_exits", "points_in_units"])
+@pytest.mark.parametrize("name", ["point_arc_distance", "ray_exits", "points_in_units"])
 def test_exploded_tables_are_not_broadcast(spark, name):
     assert "Broadcast" not in plan(registry.queries()[name](spark, DATA))
 
