@@ -27,3 +27,12 @@ def test_unclosed_ring_far_from_the_origin_is_not_turned(spark):
     rows = [("1", 0, ring), ("2", 0, [*ring, ring[0]]), ("3", 0, [*ring, ring[0]][::-1]), ("4", 0, ring[::-1])]
     shapes = spark.createDataFrame(rows, "code string, ring int, vertices array<struct<x: bigint, y: bigint>>")
     assert sorted((r.code, r.fault) for r in geometry.geometry_checks(shapes).collect()) == [("1", "unclosed"), ("3", "turned"), ("4", "turned"), ("4", "unclosed")]
+
+
+def test_closure_dissolves_both_sides_at_once(spark):
+    """One shuffle of all segments where there were four."""
+    square = lambda x: [(x, 0), (x + 1, 0), (x + 1, 1), (x, 1), (x, 0)]
+    shapes = lambda *rows: geometry.ring_segments(spark.createDataFrame([(c, 0, square(x)) for c, x in rows], "code string, ring int, vertices array<struct<x: bigint, y: bigint>>"))
+    out = geometry.closure(shapes(("11", 0), ("12", 1)), shapes(("11", 0), ("13", 2)), 1)
+    assert {(r.code, r.side): r.segments for r in out.collect()} == {("1", "children"): 2, ("1", "parents"): 4}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
