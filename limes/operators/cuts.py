@@ -6,17 +6,21 @@ meets the border are new, all inherited vertices stay as they are.  What can't b
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limes.functions.columns import from_utm, utm
 from limes.operators.geometry import crossing_edges, densify_points, polygon_measures, ring_segments
 from limes.operators.rays import bearing_vector, ray_exits
-from limes.sources.tables import shipped, stored
+from limes.sources.tables import SMALL_ROWS, few, shipped, shuffled, stored
 
 #: How far a prolonged start reaches past the border, in units of the grid (metres in a legal line's projection).
 MARGIN = 500.0
+#: Codes that are broadcast at most, some 16 MB too.
+CODES = 2 * SMALL_ROWS
 POINTS = "array<struct<x: double, y: double>>"
 
 
@@ -116,14 +120,13 @@ def cut_parents(lines: DataFrame, polygons: DataFrame) -> DataFrame:
     """
     shape = f"entry string, code string, piece string, part int, ring int, vertices {POINTS}, status string"
 
-    def cut(group: pd.DataFrame) -> pd.DataFrame:
-        row = group.iloc[0]
+    def cut(row: dict) -> list[tuple]:
         entry, code, status, px, py = row["entry"], row["code"], row["status"], row["px"], row["py"]
         out: list[tuple] = []
         if status == "ok":
             line = [(p["x"], p["y"]) for p in row["line"]]
             parts: dict[int, list] = {}
-            for part, _, vertices in sorted(zip(group["part"], group["ring"], group["vertices"]), key=lambda r: r[:2]):
+            for part, _, vertices in sorted(((r["part"], r["ring"], r["vertices"]) for r in row["rings"]), key=lambda r: r[:2]):
                 parts.setdefault(int(part), []).append([(p["x"], p["y"]) for p in vertices])
             holding = [k for k, rings in parts.items() if inside(px, py, rings)]
             if len(holding) != 1:
@@ -146,12 +149,25 @@ def cut_parents(lines: DataFrame, polygons: DataFrame) -> DataFrame:
                         for name, rings in layers:
                             out += [(entry, code, name, count[name], k, [{"x": float(x), "y": float(y)} for x, y in ring], status) for k, ring in enumerate(rings)]
                             count[name] += 1
-        return pd.DataFrame(out or [(entry, code, None, None, None, None, status)], columns=["entry", "code", "piece", "part", "ring", "vertices", "status"])
+        return out or [(entry, code, None, None, None, None, status)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                columns = zip(*(piece for row in batch.to_pylist() for piece in cut(row)))
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, fields)], schema=fields)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
     shipped(polygons.sparkSession)
-    rings = polygons.select("code", "part", "ring", "vertices")
-    both = lines.select(F.col("entry").cast("string").alias("entry"), "code", "line", "px", "py", "status").join(rings, "code", "left")
-    return both.groupBy("entry").applyInPandas(cut, shape)
+    fields = to_arrow_schema(StructType.fromDDL(shape))
+    parents = stored(lines.select("code").distinct())
+    rings = polygons.join(few(parents, CODES), "code", "left_semi").groupBy("code").agg(F.collect_list(F.struct("part", "ring", F.col("vertices").cast(POINTS).alias("vertices"))).alias("rings"))
+    asked = lines.select(F.col("entry").cast("string").alias("entry"), "code", "line", "px", "py", "status").dropDuplicates(["entry"])
+    both = asked.join(shuffled(rings), "code", "left").withColumn("rings", F.coalesce("rings", F.array().cast(rings.schema["rings"].dataType)))
+    tasks = 4 * polygons.sparkSession.sparkContext.defaultParallelism  # few bytes, but much work
+    return both.repartition(tasks, "entry").mapInArrow(run, shape)
 
 
 def projected(points: str, zone: int, degrees: bool) -> Column:
@@ -196,5 +212,5 @@ def new_layer(polygons: DataFrame, pieces: DataFrame, codes: DataFrame) -> DataF
     """polygons (code, part, ring, vertices) with cut parents replaced by what is left of them, and the new units under their codes (entry, new_code)."""
     done = pieces.filter("piece IS NOT NULL")
     named = done.join(codes.select(F.col("entry").cast("string").alias("entry"), "new_code"), "entry").select(F.when(F.col("piece") == "new", F.col("new_code")).otherwise(F.col("code")).alias("code"), "part", "ring", "vertices")
-    rest = polygons.join(done.select("code").distinct(), "code", "left_anti").select("code", "part", "ring", F.col("vertices").cast(POINTS).alias("vertices"))
+    rest = polygons.join(few(stored(done.select("code").distinct()), CODES), "code", "left_anti").select("code", "part", "ring", F.col("vertices").cast(POINTS).alias("vertices"))
     return rest.unionByName(named)

@@ -37,13 +37,13 @@ def point_arc_distance(points: DataFrame, owners: DataFrame) -> DataFrame:
     return nearest.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("d").alias("least"), F.avg("d").alias("mean"), F.max("d").alias("most"))
 
 
-def ray_exits(rays: DataFrame, segments: DataFrame, small: bool = False) -> DataFrame:
+def ray_exits(rays: DataFrame, segments: DataFrame) -> DataFrame:
     """id, hits, distance, ray_x, ray_y: how often each ray (id, code, x, y, dx, dy) meets the border of its unit, and its farthest hit.
 
     Segments are half-open, so a vertex counts once.  A ray that meets nothing has 0 hits.  With a column `most`, only hits within
-    that distance count.  small: the rays are few and stored, so they go to where the segments are.
+    that distance count.
     """
-    ray, seg = (F.broadcast(rays) if small else rays).alias("r"), segments.alias("s")
+    ray, seg = rays.alias("r"), segments.alias("s")
     ex, ey = F.col("s.x2") - F.col("s.x1"), F.col("s.y2") - F.col("s.y1")
     wx, wy = F.col("s.x1") - F.col("r.x"), F.col("s.y1") - F.col("r.y")
     cross = F.col("r.dx") * ey - F.col("r.dy") * ex
@@ -51,9 +51,9 @@ def ray_exits(rays: DataFrame, segments: DataFrame, small: bool = False) -> Data
     # sides of the ray's line on which the segment's ends lie, in the arithmetic of the input: exact on integers
     side1 = F.col("r.dx") * wy - F.col("r.dy") * wx >= 0
     side2 = F.col("r.dx") * (F.col("s.y2") - F.col("r.y")) - F.col("r.dy") * (F.col("s.x2") - F.col("r.x")) >= 0
-    met = ray.join(seg if small else shuffled(seg), F.col("r.code") == F.col("s.code")).filter((side1 != side2) & (t > 0) & ((t * F.hypot("r.dx", "r.dy") <= F.col("r.most")) if "most" in rays.columns else F.lit(True))).select(F.col("r.id").alias("id"), t.alias("t"))
+    met = ray.join(shuffled(seg), F.col("r.code") == F.col("s.code")).filter((side1 != side2) & (t > 0) & ((t * F.hypot("r.dx", "r.dy") <= F.col("r.most")) if "most" in rays.columns else F.lit(True))).select(F.col("r.id").alias("id"), t.alias("t"))
     far = met.groupBy("id").agg(F.count("*").alias("hits"), F.max("t").alias("t"))
-    out = rays.join(far if small else shuffled(far), "id", "left")
+    out = rays.join(shuffled(far), "id", "left")
     return out.select("id", F.coalesce("hits", F.lit(0)).cast("long").alias("hits"), (F.col("t") * F.hypot("dx", "dy")).alias("distance"), (F.col("x") + F.col("t") * F.col("dx")).alias("ray_x"), (F.col("y") + F.col("t") * F.col("dy")).alias("ray_y"))
 
 

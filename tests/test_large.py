@@ -29,6 +29,13 @@ def test_unclosed_ring_far_from_the_origin_is_not_turned(spark):
     assert sorted((r.code, r.fault) for r in geometry.geometry_checks(shapes).collect()) == [("1", "unclosed"), ("3", "turned"), ("4", "turned"), ("4", "unclosed")]
 
 
+def test_area_of_fractions_far_from_the_origin(spark):
+    x, y, side = 400_000.3, 1.4e9 + 0.25, 0.5
+    ring = [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+    shapes = spark.createDataFrame([("1", 0, ring)], "code string, ring int, vertices array<struct<x: double, y: double>>")
+    assert abs(geometry.polygon_measures(geometry.ring_segments(shapes)).first().area2 - 0.5) < 1e-6
+
+
 def test_closure_dissolves_both_sides_at_once(spark):
     """One shuffle of all segments where there were four."""
     square = lambda x: [(x, 0), (x + 1, 0), (x + 1, 1), (x, 1), (x, 0)]
