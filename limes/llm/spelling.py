@@ -97,7 +97,8 @@ def near_words(counted: DataFrame) -> DataFrame:
     a, b = rows.withColumnRenamed("word", "a"), rows.withColumnRenamed("word", "b")
     equal = F.length("a") == F.length("b")
     near = (F.col("a") < F.col("b")) & (equal == (F.col("sig") % 2 == 0)) & (F.levenshtein("a", "b", 1) == 1)
-    return a.join(b, "sig").filter(near).select("a", "b").distinct()
+    # each word has forty rows, but Spark takes them for as large as the words and would broadcast them
+    return a.join(b.hint("merge"), "sig").filter(near).select("a", "b").distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:

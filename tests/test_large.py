@@ -5,6 +5,7 @@ import os
 import pytest
 
 from limes import registry
+from limes.llm import spelling
 from limes.operators import geometry
 
 DATA = "/root/testdata/sf0.001"
@@ -21,6 +22,12 @@ def test_exploded_tables_are_not_broadcast(spark, name):
     assert "Broadcast" not in plan(registry.queries()[name](spark, DATA))
 
 
+def test_signatures_are_not_broadcast(spark):
+    words = spark.range(9).selectExpr("concat('worte', chr(97 + id)) AS word")
+    found = spelling.near_words(words)
+    assert "Broadcast" not in plan(found) and found.count() == 36
+
+
 def test_unclosed_ring_far_from_the_origin_is_not_turned(spark):
     x, y, side = 50, 36_000_000, 10
     ring = [(x, y + side), (x, y), (x + side, y), (x + side, y + side)]
